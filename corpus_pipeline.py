@@ -1 +1,46 @@
-"""The corpus pipeline: stages over documents, each written and read again by the next."""
+"""The corpus pipeline: stages over documents, each written and read again by the next.
+
+Every stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. All but the last return the columns
+of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ledgerloom.llm import decontaminate, language, ngram_join
+from ledgerloom.llm.shared import scratch
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops what language identification rejects. The languages are learned from the whole documents table."""
+    return language.keep_identified(docs, language.learn(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+
+
+def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near copies."""
+    return ngram_join.keep_first(docs)
+
+
+def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts benchmark passages out; drops documents that are mostly benchmark."""
+    return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+STAGES = [
+    ("language ID", identify_language),
+    ("n-gram Jaccard join", join_near_copies),
+    ("benchmark decontamination", remove_benchmark),
+]
+
+#: SQL can't express the stages.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for k, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = scratch(docs, name.replace(" ", "-"))
+    return docs

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import decontaminate, language
+from ledgerloom.llm import decontaminate, language, ngram_join
 
 QUERIES = {
     "op2_decontaminate": decontaminate.digest,
+    "op6_ngram_jaccard_join": ngram_join.classes_of,
     "op9_language_id": language.predictions,
 }
-ORACLES = {"op2_decontaminate": decontaminate.SQL}
+ORACLES = {"op2_decontaminate": decontaminate.SQL, "op6_ngram_jaccard_join": ngram_join.SQL}
