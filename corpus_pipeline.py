@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import decontaminate, language, ngram_join
+from ledgerloom.llm import decontaminate, language, line_dedup, ngram_join, packing
 from ledgerloom.llm.shared import scratch
 
 
@@ -17,6 +17,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return language.keep_identified(docs, language.learn(spark.read.parquet(f"{sf_dir}/documents.parquet")))
 
 
+def remove_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Deletes blocks of lines that an earlier document has too; documents that lose all their lines so go."""
+    return line_dedup.dedup(docs, drop_emptied=True).select(*docs.columns)
+
+
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies."""
     return ngram_join.keep_first(docs)
@@ -27,13 +32,20 @@ def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of the documents' pieces in sequences."""
+    return packing.packed(docs)
+
+
 STAGES = [
     ("language ID", identify_language),
+    ("line dedup", remove_shared_lines),
     ("n-gram Jaccard join", join_near_copies),
     ("benchmark decontamination", remove_benchmark),
+    ("best-fit packing", pack_sequences),
 ]
 
-#: SQL can't express the stages.
+#: SQL can't express the stages: compression, alignment and packing among them.
 ORACLE_SQL = None
 
 

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import decontaminate, language, ngram_join
+from ledgerloom.llm import decontaminate, language, line_dedup, ngram_join, packing
 
 QUERIES = {
+    "op1_line_dedup": line_dedup.cleaned,
     "op2_decontaminate": decontaminate.digest,
     "op6_ngram_jaccard_join": ngram_join.classes_of,
     "op9_language_id": language.predictions,
+    "op10_best_fit_packing": packing.placements,
+}
+#: Where SQL can express the query.
+ORACLES = {
+    "op2_decontaminate": decontaminate.SQL,
+    "op6_ngram_jaccard_join": ngram_join.SQL,
 }
-ORACLES = {"op2_decontaminate": decontaminate.SQL, "op6_ngram_jaccard_join": ngram_join.SQL}
