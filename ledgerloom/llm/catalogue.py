@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import decontaminate, language, line_dedup, ngram_join, packing
+from ledgerloom.llm import decontaminate, language, licenses, line_dedup, ngram_join, packing, quality
 
 QUERIES = {
     "op1_line_dedup": line_dedup.cleaned,
     "op2_decontaminate": decontaminate.digest,
+    "op5_quality_rules": quality.verdicts,
     "op6_ngram_jaccard_join": ngram_join.classes_of,
+    "op8_license_scan": licenses.detections,
     "op9_language_id": language.predictions,
     "op10_best_fit_packing": packing.placements,
 }
 #: Where SQL can express the query.
 ORACLES = {
     "op2_decontaminate": decontaminate.SQL,
+    "op5_quality_rules": quality.SQL,
     "op6_ngram_jaccard_join": ngram_join.SQL,
+    "op8_license_scan": licenses.SQL,
 }
