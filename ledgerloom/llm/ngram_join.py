@@ -186,7 +186,8 @@ def jaccard_join(
     sizes = members.groupBy("comp").agg(F.greatest(F.ceil(F.count("*") / block_docs), F.ceil(F.sum("size") / block_bytes)).cast("int").alias("parts"))
     placed = members.join(sizes, "comp").withColumn("part", F.pmod(F.xxhash64("key"), "parts").cast("int"))
     where = keyed(docs).alias("d")
-    m = placed.select("comp", "parts", "part", "key", "n", "rep").alias("m")
+    # members grow with the data, so this side is never broadcast
+    m = placed.select("comp", "parts", "part", "key", "n", "rep").hint("merge").alias("m")
     with_text = where.join(m, F.col("d.doc_id").eqNullSafe(F.col("m.rep.doc_id")) & (F.col("d.th") == F.col("m.rep.th")))
     pairs = with_text.select("comp", "part", "key", "n", "text", "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select(
         "comp", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "key", "n", "text"
