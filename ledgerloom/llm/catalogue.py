@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import decontaminate, language, licenses, line_dedup, ngram_join, packing, quality
+from ledgerloom.llm import decontaminate, html_text, language, licenses, line_dedup, ngram_join, packing, quality, secrets, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.cleaned,
     "op2_decontaminate": decontaminate.digest,
+    "op3_html_text": html_text.visible,
+    "op4_secret_scan": secrets.findings,
     "op5_quality_rules": quality.verdicts,
     "op6_ngram_jaccard_join": ngram_join.classes_of,
+    "op7_toxicity": toxicity.scores,
     "op8_license_scan": licenses.detections,
     "op9_language_id": language.predictions,
     "op10_best_fit_packing": packing.placements,
@@ -16,7 +19,10 @@ QUERIES = {
 #: Where SQL can express the query.
 ORACLES = {
     "op2_decontaminate": decontaminate.SQL,
+    "op3_html_text": html_text.visible,
+    "op4_secret_scan": secrets.findings,
     "op5_quality_rules": quality.SQL,
     "op6_ngram_jaccard_join": ngram_join.SQL,
+    "op7_toxicity": toxicity.scores,
     "op8_license_scan": licenses.SQL,
 }

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 #: Everything but 0-9, A-Z, a-z and non-ASCII parts words; A-Z become a-z.
 _CUT = bytes(
@@ -160,3 +160,16 @@ def map_groups(
 def fold(doc_id) -> "F.Column":
     """crc32 of the id as text, modulo 4; a null id has none."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4
+
+
+def sampled(df: DataFrame, group: str, n: int) -> DataFrame:
+    """At most n rows of each value of `group`, in the order of a hash of doc_id. Counts of the groups decide how many
+    hashes are looked at, so about 4 n rows a group are shuffled, however many there are. Groups must be few."""
+    counts = {r[group]: r["count"] for r in df.groupBy(group).count().collect()}
+    h = F.xxhash64("doc_id", F.lit(11))
+    share = F.lit(0.0)
+    for value, count in counts.items():
+        share = F.when(F.col(group) == F.lit(value), F.lit(min(1.0, 4 * n / count) if count > 8 * n else 1.0)).otherwise(share)
+    near = df.where(F.pmod(h, F.lit(1_000_000)) < share * 1_000_000)
+    turn = Window.partitionBy(group).orderBy(h, "doc_id", *[F.xxhash64(c) for c in df.columns if c not in ("doc_id", group)])
+    return near.withColumn("__turn", F.row_number().over(turn)).where(F.col("__turn") <= n).drop("__turn")
