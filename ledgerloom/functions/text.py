@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Prompt text around an input, and known quantization names in order.
 LEAD_WORDS = ("output:", "example")
@@ -33,12 +33,15 @@ def clean_line(line: Column) -> Column:
     return F.when((s != "") & ~lead & F.length(body).between(SHORTEST, LONGEST), body)
 
 
-def clean_lines(text: Column, expected: int | None = None) -> Column:
-    """Cleaned lines of a text, each normalized key once (the first), `expected` of them at most."""
-    lines = F.filter(F.transform(F.split(text, "\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"), clean_line), lambda x: x.isNotNull())
-    keys = F.transform(lines, normalize_key)
-    firsts = F.filter(lines, lambda x, i: F.array_position(keys, keys[i]) == i + 1)
-    return firsts if expected is None else F.slice(firsts, 1, expected)
+def clean_lines(rows: DataFrame, key: str, text: str, expected: int | None = None) -> DataFrame:
+    """key, pos (place of the line), line: the cleaned lines of each text, each normalized line once (the first),
+    `expected` of a text at most."""
+    lines = rows.select(key, F.posexplode(F.split(F.col(text), "\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]")).alias("pos", "line"))
+    lines = lines.withColumn("line", clean_line(F.col("line"))).where(F.col("line").isNotNull())
+    firsts = lines.groupBy(key, normalize_key(F.col("line")).alias("__k")).agg(F.min("pos").alias("pos"), F.min_by("line", "pos").alias("line")).drop("__k")
+    if expected is None:
+        return firsts
+    return firsts.withColumn("__turn", F.row_number().over(Window.partitionBy(key).orderBy("pos"))).where(F.col("__turn") <= expected).drop("__turn")
 
 
 def estimate_tokens(text: Column) -> Column:

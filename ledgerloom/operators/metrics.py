@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def price_keys(provider_type: Column, model: Column) -> Column:
@@ -60,29 +62,51 @@ def p95_metrics(v: Column) -> Column:
     return F.when(n == 0, 0.0).when(n < 20, _at(v, n - 1)).otherwise(_exclusive(v, 19))
 
 
-def sorted_values(value: Column, most: int | None = None) -> Column:
-    """Values of a group as a sorted array. It holds a group whole: fine for the calls of a run; for unbounded groups
-    use ranked_percentile()."""
-    return F.sort_array(F.collect_list(value))
-
-
-def ranked_percentiles(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """The rules a and b for groups of any size: distinct values with running counts instead of arrays, so a group
-    shrinks to its distinct values before it meets. Nulls are left out. Gives n, p95_eval, p50_report, p95_report."""
-    from pyspark.sql import Window
-
-    counts = rows.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("__v")).agg(F.count("*").alias("__c"), F.sum((F.col(value) > 0).cast("long")).alias("__p"))
-    run = Window.partitionBy(*keys).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*keys)
-    c = counts.withColumn("__upto", F.sum("__c").over(run)).withColumn("__uptop", F.sum("__p").over(run)).withColumn("n", F.sum("__c").over(whole)).withColumn("np", F.sum("__p").over(whole))
-    pick = lambda upto, k: F.min(F.when(F.col(upto) > k, F.col("__v")))
-    last = lambda n, k: F.when(k < 0, n - 1).otherwise(k)
-    return c.groupBy(*keys).agg(
-        F.first("n").alias("n"),
-        pick("__upto", last(F.col("n"), F.floor(F.col("n") * 0.95) - 1)).alias("p95_eval"),
-        F.coalesce(F.min(F.when((F.col("__p") > 0) & (F.col("__uptop") > F.floor(F.col("np") / 2)), F.col("__v"))), F.lit(0.0)).alias("p50_report"),
-        F.coalesce(F.min(F.when((F.col("__p") > 0) & (F.col("np") > 1) & (F.col("__uptop") > F.floor(F.col("np") * 0.95) - 1), F.col("__v"))), F.lit(0.0)).alias("p95_report"),
-    )
+def order_statistics(rows: DataFrame, keys: list[str], value: str, wanted: dict[str, Callable[[Column], Column]], bins: int = 500) -> DataFrame:
+    """Exact order statistics of groups of any size: for each name the value at the index (from 0) that its function
+    gives from the group's size n; null where that is outside. Nulls are left out.
+
+    A group isn't gathered: equal values are counted first, a sketch cuts a group into `bins` ranges of about equal
+    size, offsets of the ranges are summed, and ranks are taken within a range alone."""
+    counts = rows.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("__v")).agg(F.count("*").alias("__c"))
+    cuts = rows.groupBy(*keys).agg(F.percentile_approx(value, [k / bins for k in range(1, bins)], 10 * bins).alias("__cuts"))
+    binned = counts.join(cuts, keys).withColumn("__bin", F.aggregate("__cuts", F.lit(0), lambda s, x: s + (x < F.col("__v")).cast("int"))).drop("__cuts")
+    by_bin = binned.groupBy(*keys, "__bin").agg(F.sum("__c").alias("__n"))
+    over = Window.partitionBy(*keys)  # `bins` rows of each key at most
+    offsets = by_bin.withColumn("__before", F.sum("__n").over(over.orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1))).withColumn("n", F.sum("__n").over(over)).drop("__n")
+    run = Window.partitionBy(*keys, "__bin").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = binned.join(offsets, [*keys, "__bin"]).withColumn("__upto", F.coalesce("__before", F.lit(0)) + F.sum("__c").over(run))
+    pick = lambda k: F.min(F.when((F.col("__upto") > k) & (k >= 0), F.col("__v")))
+    return ranked.groupBy(*keys).agg(F.first("n").alias("n"), *[pick(f(F.col("n"))).alias(name) for name, f in wanted.items()])
+
+
+#: Indices that the rules take from a group of n values.
+RULES_A = {"p95_eval": lambda n: F.when(F.floor(n * 0.95) < 1, n - 1).otherwise(F.floor(n * 0.95) - 1)}
+RULES_B = {"p50_report": lambda n: F.floor(n / 2), "p95_report": lambda n: F.when(n < 2, -1).otherwise(F.when(F.floor(n * 0.95) < 1, n - 1).otherwise(F.floor(n * 0.95) - 1))}
+
+
+def _cut(i: int, up: int) -> Callable[[Column], Column]:
+    return lambda n: F.least(F.greatest(F.floor((n + 1) * i / 20), F.lit(1)), n - 1) - 1 + up
+
+
+RULES_C = {
+    "__lo": lambda n: F.floor((n - 1) / 2), "__hi": lambda n: F.floor(n / 2), "__max": lambda n: n - 1,
+    "__a10": _cut(10, 0), "__b10": _cut(10, 1), "__a19": _cut(19, 0), "__b19": _cut(19, 1),
+}
+
+
+def metric_percentiles(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Rule c for groups of any size: keys, p50_ms, p95_ms."""
+    s = order_statistics(rows, keys, value, RULES_C)
+    n = F.col("n")
+
+    def exclusive(i: int) -> Column:
+        j = F.least(F.greatest(F.floor((n + 1) * i / 20), F.lit(1)), n - 1)
+        d = (n + 1) * i - j * 20
+        return (F.col(f"__a{i}") * (20 - d) + F.col(f"__b{i}") * d) / 20
+
+    few = n < 20
+    return s.select(*keys, F.when(few, (F.col("__lo") + F.col("__hi")) / 2).otherwise(exclusive(10)).alias("p50_ms"), F.when(few, F.col("__max")).otherwise(exclusive(19)).alias("p95_ms"))
 
 
 def provider_metrics(calls: DataFrame, candidates: DataFrame, prices: dict[str, tuple[float, float]]) -> DataFrame:
@@ -96,10 +120,9 @@ def provider_metrics(calls: DataFrame, candidates: DataFrame, prices: dict[str,
         F.sum("completion_tokens").alias("completion_tokens"),
         F.bool_or("estimated_tokens").alias("any_estimated"),
         F.round(F.sum(cost) / 1e6, 4).alias("cost"),
-        sorted_values(F.col("latency_ms")).alias("__v"),
     )
-    v = F.col("__v")
-    by_call = by_call.select("*", F.round(F.col("failed") / F.col("calls"), 4).alias("failure_rate"), p50_metrics(v).alias("p50_ms"), p95_metrics(v).alias("p95_ms")).drop("__v")
+    by_call = by_call.join(metric_percentiles(calls, ["provider"], "latency_ms"), "provider", "left").fillna(0.0, ["p50_ms", "p95_ms"])
+    by_call = by_call.withColumn("failure_rate", F.round(F.col("failed") / F.col("calls"), 4))
     by_candidate = candidates.groupBy("provider").agg(F.count_if("accepted").alias("accepted"), F.count_if(~F.col("accepted")).alias("rejected"))
     zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
     out = by_call.join(by_candidate, "provider", "left").select(*by_call.columns, zero("accepted"), zero("rejected"))

@@ -1,4 +1,584 @@
-"""The registered queries and their SQL, by name."""
+"""The registered queries and their SQL, by name. Sentences and labels are made from typed columns, so what a query
+must find is known from those columns, without a second parser in the SQL."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from ledgerloom.functions import jsonx, text as tx
+from ledgerloom.functions.amounts import amounts
+from ledgerloom.operators import audit, evalreport, metrics, reconcile, schedule, select, validate, views
+from ledgerloom.streaming import incremental
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+_ONES = "one two three four five six seven eight nine".split()
+_TENS = "twenty thirty forty fifty sixty seventy eighty ninety".split()
+_HINDI = "ek do teen char paanch chhe saat aath nau".split()
+PRICES = {"click:m1": (0.27, 1.1), "m2": (0.3, 2.5), "view": (3.0, 15.0), "signup": (1.0, 5.0), "default": (0.5, 0.5)}
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _txt(form: str, *args: Column) -> Column:
+    return F.format_string(form, *args)
+
+
+# Sources and text.
+
+
+@query("SELECT CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, count(*) AS n, max(value) AS top FROM events GROUP BY 1")
+def scan_json_props(spark, sf):
+    k = F.try_variant_get(F.try_parse_json("props"), "$.k", "int")
+    return _t(spark, sf, "events").groupBy(k.alias("k")).agg(F.count("*").alias("n"), F.max("value").alias("top"))
+
+
+@query("SELECT doc_id, md5(trim(regexp_replace(lower(text), '[ \\t-\\r]+', ' ', 'g'))) AS key FROM documents")
+def text_normalize_key(spark, sf):
+    return _t(spark, sf, "documents").select("doc_id", F.md5(tx.normalize_key(F.col("text"))).alias("key"))
+
+
+@query(
+    """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents),
+    s AS (SELECT doc_id, pos, trim(x, ' ' || chr(9) || chr(13)) AS x FROM l),
+    b AS (SELECT doc_id, pos, trim(regexp_replace(x, '^(?:[-*]\\s+|\\d+[.)]\\s+)', '')) AS x FROM s WHERE x <> '' AND NOT starts_with(x, '```') AND NOT starts_with(lower(x), 'output:') AND NOT starts_with(lower(x), 'example')),
+    q AS (SELECT doc_id, pos, CASE WHEN (x LIKE '"%"' OR x LIKE '''%''') AND length(x) > 1 THEN trim(x[2 : length(x) - 1]) ELSE x END AS x FROM b),
+    k AS (SELECT *, row_number() OVER (PARTITION BY doc_id, trim(regexp_replace(lower(x), '\\s+', ' ', 'g')) ORDER BY pos) AS t FROM q WHERE length(x) BETWEEN 3 AND 300)
+    SELECT doc_id, CAST(pos AS INTEGER) AS pos, md5(x) AS line FROM k WHERE t = 1"""
+)
+def clean_lines(spark, sf):
+    return tx.clean_lines(_t(spark, sf, "documents"), "doc_id", "text").withColumn("line", F.md5("line"))
+
+
+@query("SELECT doc_id, CASE WHEN coalesce(length(text), 0) = 0 THEN 0 ELSE greatest(1, CAST(ceil(length(text) / 4.0) AS BIGINT)) END::BIGINT AS tokens FROM documents")
+def token_estimate(spark, sf):
+    return _t(spark, sf, "documents").select("doc_id", tx.estimate_tokens(F.col("text")).alias("tokens"))
+
+
+def _raw_lines(spark, sf) -> DataFrame:
+    """Documents as raw JSON lines with a planted fault by doc_id modulo 8."""
+    good = '{"transactions":[{"amount":5,"currency":"INR","item":"tea","category":"Drinks","type":"expense"}]}'
+    said = F.to_json(F.struct(F.substring(tx.normalize_key(F.col("text")), 1, 12).alias("input")))
+    row = lambda out: F.concat(F.substring(said, 1, F.length(said) - 1), F.lit(f',"output":{out}}}'))
+    m = F.col("doc_id") % 8
+    raw = (
+        F.when(m == 0, F.lit("[1, 2]")).when(m == 1, said).when(m == 2, F.lit(f'{{"input":5,"output":{good}}}')).when(m == 3, row('"x"'))
+        .when(m == 4, row(good.replace("Drinks", "Travel"))).when(m == 5, F.lit('oops {"')).otherwise(row(good))
+    )
+    return _t(spark, sf, "documents").select("doc_id", raw.alias("raw"))
+
+
+@query(
+    """WITH d AS (SELECT doc_id % 8 AS m, substr(trim(regexp_replace(lower(text), '[ \\t-\\r]+', ' ', 'g')), 1, 12) AS k FROM documents),
+    kept AS (SELECT count(*) AS n, count(DISTINCT trim(k)) AS u FROM d WHERE m >= 6)
+    SELECT reason, n FROM (SELECT CASE m WHEN 0 THEN 'not_object' WHEN 1 THEN 'missing_keys' WHEN 2 THEN 'bad_input' WHEN 3 THEN 'output_not_object'
+      WHEN 4 THEN 'schema:enum@/transactions/0/category' ELSE 'unparseable' END AS reason, count(*) AS n FROM d WHERE m < 6 GROUP BY 1
+    UNION ALL SELECT 'duplicate_input', n - u FROM kept UNION ALL SELECT 'kept', u FROM kept)"""
+)
+def clean_drop_reasons(spark, sf):
+    rows = _raw_lines(spark, sf).withColumn("reason", reconcile.drop_reason(F.col("raw")))
+    dropped = rows.where("reason IS NOT NULL").groupBy("reason").agg(F.count("*").alias("n"))
+    key = tx.normalize_key(F.try_variant_get(F.try_parse_json("raw"), "$.input", "string"))
+    by_key = rows.where("reason IS NULL").groupBy(key.alias("k")).agg(F.count("*").alias("n"))
+    kept = by_key.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_input"), F.count("*").alias("kept"))
+    return dropped.unionByName(kept.unpivot([], ["duplicate_input", "kept"], "reason", "n"))
+
+
+@query("SELECT arg_min(doc_id, doc_id) AS doc_id, arg_min(lang, doc_id) AS lang, arg_min(n_chars, doc_id) AS n_chars FROM documents GROUP BY trim(regexp_replace(lower(text), '[ \\t-\\r]+', ' ', 'g'))")
+def dedupe_first_seen(spark, sf):
+    # the key is hashed before the shuffle: 16 bytes travel, not the text
+    rows = _t(spark, sf, "documents").select("doc_id", "lang", "n_chars", F.md5(tx.normalize_key(F.col("text"))).alias("key"))
+    return reconcile.first_seen(rows, F.col("key"), "doc_id").drop("key")
+
+
+@query("SELECT CASE WHEN CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 6) AS BIGINT) % 100 < 10 THEN 'eval' ELSE 'train' END AS side, lang, count(*) AS n FROM documents GROUP BY 1, 2")
+def split_train_eval(spark, sf):
+    return _t(spark, sf, "documents").groupBy(reconcile.split_side(F.col("doc_id").cast("string")).alias("side"), "lang").agg(F.count("*").alias("n"))
+
+
+@query(
+    """SELECT 'size' AS kind, CAST(c AS VARCHAR) AS value, count(*) AS n FROM (SELECT count(*) AS c FROM lineitem GROUP BY l_orderkey) GROUP BY 2
+    UNION ALL SELECT 'flag', l_returnflag, count(*) FROM lineitem GROUP BY 2 UNION ALL SELECT 'status', l_linestatus, count(*) FROM lineitem GROUP BY 2"""
+)
+def label_distribution(spark, sf):
+    rows = _t(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct(F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"))).alias("t"))
+    sizes = views.by_size(rows, "t").select(F.lit("size").alias("kind"), F.col("n_txns").cast("string").alias("value"), "n")
+    for field in ("flag", "status"):
+        sizes = sizes.unionByName(views.distribution(rows, "t", field).select(F.lit(field).alias("kind"), F.col(field).alias("value"), "n"))
+    return sizes
+
+
+_FAULTS = ("", "schema:required@/transactions/0/item", "schema:type@/transactions/0/amount", "schema:enum@/transactions/0/category", "schema:additionalProperties@/transactions/0", "schema:minItems@/transactions")
+
+
+@query("SELECT m AS fault, CASE m " + " ".join(f"WHEN {k} THEN '{c}'" for k, c in enumerate(_FAULTS) if c) + " END AS bucket, count(*) AS n FROM (SELECT CAST((l_orderkey + l_linenumber) % 6 AS BIGINT) AS m FROM lineitem) GROUP BY 1, 2")
+def schema_check_codes(spark, sf):
+    m = (F.col("l_orderkey") + F.col("l_linenumber")) % 6
+    amount = F.when(m == 2, F.concat(F.lit('"'), F.col("l_quantity"), F.lit('"'))).otherwise(F.col("l_quantity").cast("string"))
+    body = F.concat(
+        F.lit('{"amount":'), amount, F.lit(',"currency":"INR",'), F.when(m == 1, "").otherwise('"item":"tea",'),
+        F.when(m == 3, '"category":"Travel"').otherwise('"category":"Food"'), F.lit(',"type":"expense"'), F.when(m == 4, ',"note":1').otherwise(""), F.lit("}"),
+    )
+    label = F.concat(F.lit('{"transactions":['), F.when(m == 5, "").otherwise(body), F.lit("]}"))
+    rows = _t(spark, sf, "lineitem").select(m.alias("fault"), jsonx.first_bucket(jsonx.schema_errors(F.try_parse_json(label))).alias("bucket"))
+    return rows.groupBy("fault", "bucket").agg(F.count("*").alias("n"))
+
+
+@query(
+    """SELECT event_id % 4 AS mode, count(*) AS n, count(CASE WHEN event_id % 4 < 3 THEN 1 END) AS found,
+    sum(CASE WHEN event_id % 4 < 3 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END)::BIGINT AS k FROM events GROUP BY 1"""
+)
+def model_json_extract(spark, sf):
+    m, p = F.col("event_id") % 4, F.col("props")
+    said = F.when(m == 0, p).when(m == 1, F.concat(F.lit("Here:\n```json\n"), p, F.lit("\n```"))).when(m == 2, F.concat(F.lit("Sure, "), p, F.lit(" as you asked}"))).otherwise(F.lit('{"k": '))
+    rows = _t(spark, sf, "events").select(m.alias("mode"), jsonx.extract_json(said).alias("j"))
+    k = F.try_variant_get(F.try_parse_json("j"), "$.k", "bigint")
+    return rows.groupBy("mode").agg(F.count("*").alias("n"), F.count("j").alias("found"), F.sum(k).alias("k"))
+
+
+# The amount parser.
+
+
+@query(
+    """SELECT o_orderkey, CAST(CASE o_orderkey % 6 WHEN 1 THEN n * 1000 WHEN 4 THEN n * 1000 ELSE n END AS DOUBLE) AS value,
+    CASE o_orderkey % 6 WHEN 2 THEN 'INR' WHEN 3 THEN 'INR' WHEN 5 THEN 'USD' END AS currency_hint,
+    CASE o_orderkey % 6 WHEN 0 THEN 'digits' WHEN 1 THEN 'k_suffix' WHEN 3 THEN 'slash_dash' WHEN 4 THEN 'digits_hazaar' ELSE 'currency_symbol' END AS source
+    FROM (SELECT o_orderkey, o_orderkey % 900 + 1 AS n FROM orders)"""
+)
+def amount_parse_digits(spark, sf):
+    n, m = F.col("o_orderkey") % 900 + 1, F.col("o_orderkey") % 6
+    forms = ("%d spent on chai", "%dk rent", "rs %d auto", "%d/- milk", "%d hazaar fees", "$%d book")
+    said = F.coalesce(*[F.when(m == k, _txt(f, n)) for k, f in enumerate(forms)])
+    rows = _t(spark, sf, "orders").select("o_orderkey", amounts(said).alias("a")).select("o_orderkey", F.inline("a"))
+    return rows.select("o_orderkey", "value", "currency_hint", "source")
+
+
+@query("SELECT p_partkey, CAST(CASE WHEN p_partkey % 2 = 0 THEN (p_partkey % 9 + 1) * 100 + (p_partkey % 8 + 2) * 10 ELSE (p_partkey % 9 + 1) * 1000 END AS DOUBLE) AS value FROM part")
+def amount_parse_words(spark, sf):
+    word = lambda words, n: F.element_at(F.array(*map(F.lit, words)), (n + 1).cast("int"))
+    k = F.col("p_partkey")
+    english = F.concat_ws(" ", word(_ONES, k % 9), F.lit("hundred"), word(_TENS, k % 8), F.lit("for part"))
+    said = F.when(k % 2 == 0, english).otherwise(F.concat_ws(" ", word(_HINDI, k % 9), F.lit("hazaar ka saaman")))
+    return _t(spark, sf, "part").select("p_partkey", amounts(said).alias("a")).select("p_partkey", F.inline("a")).select("p_partkey", "value")
+
+
+@query("SELECT o_orderkey, CAST(o_custkey % 300 + 1 AS DOUBLE) AS active, CAST(o_orderkey % 500 + 100 AS DOUBLE) AS superseded FROM orders")
+def amount_supersession(spark, sf):
+    said = _txt("%d beer wait no %d beer", F.col("o_orderkey") % 500 + 100, F.col("o_custkey") % 300 + 1)
+    rows = _t(spark, sf, "orders").select("o_orderkey", amounts(said).alias("a"))
+    with_status = lambda s: F.filter("a", lambda x: x["status"] == s)[0]["value"].alias(s)
+    return rows.select("o_orderkey", with_status("active"), with_status("superseded"))
+
+
+@query("SELECT o_orderkey, 3 AS n, CAST((o_orderkey % 9 + 1) * 100000 + (o_custkey % 99 + 1) * 1000 AS DOUBLE) AS total FROM orders")
+def amount_additive(spark, sf):
+    said = _txt("%d lakh %d thousand for car", F.col("o_orderkey") % 9 + 1, F.col("o_custkey") % 99 + 1)
+    rows = _t(spark, sf, "orders").select("o_orderkey", amounts(said).alias("a"))
+    return rows.select("o_orderkey", F.size("a").alias("n"), F.array_max(F.transform("a", lambda x: x["value"])).alias("total"))
+
+
+# The validator.
+
+
+def _labelled(spark, sf) -> DataFrame:
+    """o_orderkey, said, amounts, errors: orders as labelled sentences with a planted fault by key modulo 7."""
+    k, n = F.col("o_orderkey"), F.col("o_orderkey") % 900 + 100
+    m = k % 7
+    said = F.when(m == 2, _txt("$%d beer", n)).when(m == 4, _txt("%d beer wait no %d beer", n, n + 1000)).when(m == 5, F.lit("just some beer")).otherwise(_txt("%d beer", n))
+    txn = lambda amount, rest: F.concat(F.lit('{"amount":'), amount.cast("string"), F.lit(f',"currency":"INR","item":"beer"{rest}}}'))
+    whole = txn(F.when(m == 1, n + 7).otherwise(n), ',"category":"Drinks","type":"expense"')
+    items = F.when(m == 3, F.concat(whole, F.lit(","), whole)).when(m == 6, txn(n, ',"type":"expense"')).otherwise(whole)
+    label = F.concat(F.lit('{"transactions":['), items, F.lit("]}"))
+    rows = _t(spark, sf, "orders").select("o_orderkey", said.alias("said"), label.alias("label"))
+    rows = rows.withColumn("amounts", amounts(F.col("said")))  # parsed once, whatever is checked against it
+    v = F.try_parse_json("label")
+    errors = validate.validate(F.col("said"), jsonx.transactions(v), F.col("amounts"), jsonx.schema_errors(v))
+    return rows.select("o_orderkey", "said", "amounts", errors.alias("errors"))
+
+
+_CODES = {1: "AMOUNT_NOT_IN_INPUT", 2: "CURRENCY_MISMATCH", 3: "TXN_COUNT_EXCEEDS_CANDIDATES,SUSPICIOUS_DUPLICATE", 4: "SUPERSEDED_AMOUNT_USED", 5: "NO_AMOUNT_IN_INPUT,TXN_COUNT_EXCEEDS_CANDIDATES", 6: "SCHEMA_INVALID"}
+_CASE = "CASE o_orderkey % 7 " + " ".join(f"WHEN {k} THEN '{c}'" for k, c in _CODES.items()) + " ELSE '' END"
+_REASONS = "CASE o_orderkey % 7 WHEN 0 THEN NULL WHEN 2 THEN 'currency_mismatch' WHEN 3 THEN 'suspicious_duplicate' WHEN 4 THEN 'superseded_amount_used' WHEN 6 THEN 'schema_invalid' ELSE 'validation_failed' END"
+
+
+@query(f"SELECT o_orderkey, {_CASE} AS codes, o_orderkey % 7 = 0 AS ok, {_REASONS} AS reason FROM orders")
+def validator_codes(spark, sf):
+    rows = _labelled(spark, sf)
+    return rows.select("o_orderkey", F.array_join(validate.codes(F.col("errors")), ",").alias("codes"), validate.result(F.col("errors"))["ok"].alias("ok"), validate.primary_reason(F.col("errors")).alias("reason"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_linenumber % 2 = 0 AS duplicate FROM lineitem")
+def duplicate_txn_check(spark, sf):
+    n = F.col("l_orderkey") % 900 + 100
+    said = F.when(F.col("l_linenumber") % 2 == 0, _txt("%d tea and %d cake", n, n)).otherwise(_txt("%d tea twice", n))
+    txn = F.struct(n.cast("double").alias("amount"), F.lit("INR").alias("currency"), F.lit("tea").alias("item"), F.lit("Drinks").alias("category"), F.lit("expense").alias("type"))
+    rows = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", said.alias("said"), F.array(txn, txn).alias("txns")).withColumn("amounts", amounts(F.col("said")))
+    errors = validate.validate(F.col("said"), F.col("txns"), F.col("amounts"), F.array().cast("array<struct<code:string,path:string>>"))
+    return rows.select("l_orderkey", "l_linenumber", F.array_contains(validate.codes(errors), "SUSPICIOUS_DUPLICATE").alias("duplicate"))
+
+
+@query(
+    f"""WITH c AS (SELECT o_orderkey, {_CASE} AS codes FROM orders), e AS (SELECT unnest(string_split(codes, ',')) AS name FROM c WHERE codes <> '')
+    SELECT name, count(*) AS n FROM e GROUP BY 1 UNION ALL SELECT 'scanned', count(*) FROM c UNION ALL SELECT 'ok', count(*) FROM c WHERE codes = '' UNION ALL SELECT 'failed', count(*) FROM c WHERE codes <> ''"""
+)
+def probe_summary(spark, sf):
+    # one pass: a row's codes and its outcome are counted together
+    errors = F.col("errors")
+    outcome = F.when(F.size(validate.codes(errors, "error")) > 0, "failed").otherwise("ok")
+    names = F.concat(F.array(F.lit("scanned"), outcome), validate.codes(errors))
+    return _labelled(spark, sf).select(F.explode(names).alias("name")).groupBy("name").agg(F.count("*").alias("n"))
+
+
+# Attempts: scores, choices, failed rows.
+
+
+def _attempts(spark, sf) -> DataFrame:
+    e = F.col("event_id")
+    one = lambda code, severity: F.struct(F.lit(code).alias("code"), F.lit("").alias("path"), F.lit(severity).alias("severity"))
+    errors = F.array_compact(F.array(F.when(e % 7 == 0, one("AMOUNT_NOT_IN_INPUT", "error")), F.when(e % 3 == 0, one("TXN_COUNT_BELOW_CANDIDATES", "warning"))))
+    reason = F.when(e % 5 == 0, "provider_error")
+    rank = (F.col("user_id") % 3).cast("int")
+    return _t(spark, sf, "events").select("event_id", "user_id", F.col("event_type").alias("provider"), reason.alias("failure_reason"), rank.alias("rank"), validate.score(reason, F.lit(True), errors, e % 2 == 0, rank).alias("score"))
+
+
+_SCORE = "CASE WHEN event_id % 5 = 0 OR event_id % 7 = 0 THEN 0 ELSE 80 + CASE WHEN event_id % 2 = 0 THEN 10 ELSE 0 END + CASE WHEN event_id % 3 = 0 THEN 0 ELSE 5 END + CASE WHEN user_id % 3 = 0 THEN 5 ELSE 0 END END"
+
+
+@query(f"SELECT event_id, CAST({_SCORE} AS INTEGER) AS score FROM events")
+def candidate_score(spark, sf):
+    return _attempts(spark, sf).select("event_id", "score")
+
+
+@query(
+    f"""WITH a AS (SELECT user_id, event_type AS provider, CAST(user_id % 3 AS INTEGER) AS rank, CAST({_SCORE} AS INTEGER) AS score FROM events WHERE event_id % 5 <> 0)
+    SELECT user_id, provider, rank, score FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, rank, provider) AS t FROM a WHERE score > 0) WHERE t = 1"""
+)
+def pick_best_candidate(spark, sf):
+    return select.pick_best(_attempts(spark, sf).drop("event_id"), "user_id").select("user_id", "provider", "rank", "score")
+
+
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) AND c_custkey NOT IN (SELECT user_id FROM events)")
+def pending_anti_join(spark, sf):
+    key = lambda t, c: _t(spark, sf, t).select(F.col(c).alias("c_custkey"))
+    return reconcile.pending(key("customer", "c_custkey"), key("orders", "o_custkey"), key("events", "user_id"), "c_custkey")
+
+
+_FAILED = ("validation_failed", "repair_exhausted", "all_candidates_failed", "provider_error", "teacher_error")
+
+
+def _failed(spark, sf) -> DataFrame:
+    e = F.col("event_id")
+    reason = F.element_at(F.array(*map(F.lit, _FAILED)), (e % 5 + 1).cast("int"))
+    error = F.element_at(F.array(*map(F.lit, ("HTTP 401", "timeout", "Invalid API Key given", "quota"))), (e % 4 + 1).cast("int"))
+    attempt = F.struct(
+        F.when(e % 3 == 0, "currency_mismatch").otherwise("provider_error").alias("failure_reason"), error.alias("error"), F.col("event_type").alias("provider"),
+        (F.col("event_id") % 3).cast("string").alias("model"), (e % 5).cast("string").alias("raw_output"), (e % 2 == 0).alias("is_repair_attempt"),
+    )
+    return _t(spark, sf, "events").select("event_id", "user_id", reason.alias("reason"), F.when(e % 4 == 0, F.array(attempt, attempt.withField("raw_output", F.lit("y")))).otherwise(F.array(attempt)).alias("attempts"))
+
+
+@query(
+    """SELECT count(*) AS scanned, 0::BIGINT AS retry_failed, count(*) AS plain,
+    count(CASE WHEN NOT (event_id % 5 = 0 OR (event_id % 5 IN (1, 2) AND event_id % 3 = 0)) THEN 1 END) AS retry_validation FROM events"""
+)
+def retry_skip_set(spark, sf):
+    r, a = F.col("reason"), F.col("attempts")
+    count = lambda **flags: F.count_if(select.skipped(r, a, **flags))
+    return _failed(spark, sf).agg(F.count("*").alias("scanned"), count(retry_failed=True).alias("retry_failed"), count().alias("plain"), count(retry_validation_failed=True).alias("retry_validation"))
+
+
+@query("SELECT o_orderkey, coalesce(p_name, '') AS label FROM orders LEFT JOIN part ON p_partkey = o_orderkey")
+def label_lookup(spark, sf):
+    labels = _t(spark, sf, "part").select(F.col("p_partkey").alias("o_orderkey"), F.col("p_name").alias("label"), F.col("p_size").alias("ord"))
+    return reconcile.label_lookup(_t(spark, sf, "orders").select("o_orderkey"), labels, "o_orderkey", "label", "ord")
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey IN (SELECT o_custkey FROM orders) THEN 'pruned' ELSE 'kept' END AS state FROM customer")
+def orphan_prune(spark, sf):
+    failed = _t(spark, sf, "customer").select("c_custkey")
+    kept, pruned = reconcile.prune_orphans(failed, _t(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
+    return kept.withColumn("state", F.lit("kept")).unionByName(pruned.withColumn("state", F.lit("pruned")))
+
+
+@query("SELECT user_id, event_id AS pos FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id % 4 = 0, event_id) AS t FROM events WHERE value > 20 AND user_id NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0)) WHERE t = 1")
+def recover_best_attempt(spark, sf):
+    rows = _t(spark, sf, "events").select("user_id", F.col("event_id").alias("pos"), (F.col("event_id") % 4 == 0).alias("is_repair_attempt"), (F.col("value") > 20).alias("ok"))
+    done = _t(spark, sf, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("user_id"))
+    return select.recovery_choice(rows.join(done, "user_id", "left_anti"), "user_id").select("user_id", "pos")
+
+
+@query(
+    """WITH r AS (SELECT user_id, event_id, event_type, CAST(event_id % 5 AS INTEGER) AS m, CASE WHEN event_id % 4 = 0 THEN 2 ELSE 1 END AS n FROM events),
+    a AS (SELECT user_id, event_type, event_id % 3 AS model, CAST(event_id % 5 AS VARCHAR) AS raw, event_id % 2 = 0 AS rep FROM events
+      UNION ALL SELECT user_id, event_type, event_id % 3, 'y', event_id % 2 = 0 FROM events WHERE event_id % 4 = 0),
+    h AS (SELECT user_id, event_type, m, row_number() OVER (PARTITION BY user_id ORDER BY CASE WHEN m = 4 THEN 99 ELSE m + 1 END, -n, event_id) AS t FROM r),
+    c AS (SELECT user_id, count(DISTINCT (event_type, model, raw, rep)) AS n_attempts FROM a GROUP BY 1)
+    SELECT user_id, CASE m WHEN 0 THEN 'validation_failed' WHEN 1 THEN 'repair_exhausted' WHEN 2 THEN 'all_candidates_failed' WHEN 3 THEN 'provider_error' ELSE 'teacher_error' END AS reason,
+    CAST(n_attempts AS INTEGER) AS n_attempts, event_type AS first_provider FROM h JOIN c USING (user_id) WHERE t = 1"""
+)
+def dedupe_failed_merge(spark, sf):
+    merged = reconcile.merge_failed(_failed(spark, sf), "user_id", "event_id")
+    return merged.select("user_id", "reason", F.size("attempts").alias("n_attempts"), F.col("attempts")[0]["provider"].alias("first_provider"))
+
+
+@query("SELECT count(*) AS scanned, count(CASE WHEN event_id % 5 = 3 AND event_id % 3 <> 0 AND event_id % 4 IN (0, 2) THEN 1 END) AS pruned FROM events")
+def auth_failure_prune(spark, sf):
+    return _failed(spark, sf).agg(F.count("*").alias("scanned"), F.count_if(select.all_auth_failures(F.col("reason"), F.col("attempts"))).alias("pruned"))
+
+
+# Schedules, prices, metrics.
+
+
+@query(
+    """WITH w AS (SELECT c_mktsegment AS name, count(*) AS weight FROM customer GROUP BY 1),
+    f AS (SELECT *, (100003 * weight) // sum(weight) OVER () AS fl, (100003 * weight) % sum(weight) OVER () AS rest FROM w),
+    g AS (SELECT *, 100003 - sum(fl) OVER () AS lack, row_number() OVER (ORDER BY rest DESC, name) AS t FROM f)
+    SELECT name, weight, CAST(fl + CASE WHEN t <= lack THEN 1 ELSE 0 END AS BIGINT) AS quota FROM g"""
+)
+def quota_allocation(spark, sf):
+    weights = _t(spark, sf, "customer").groupBy(F.col("c_mktsegment").alias("name")).agg(F.count("*").alias("weight"))
+    return schedule.quota(weights, 100_003, idx="name")
+
+
+_CYCLE = "w AS (SELECT s_nationkey AS idx, count(*) % 5 + 1 AS weight FROM supplier GROUP BY 1), s AS (SELECT idx, row_number() OVER (ORDER BY k::DOUBLE / weight, idx) - 1 AS slot FROM (SELECT idx, weight, unnest(generate_series(1, weight)) AS k FROM w))"
+
+
+@query(f"WITH {_CYCLE}, n AS (SELECT count(*) AS n FROM s) SELECT idx, count(*) AS calls FROM orders JOIN n ON true JOIN s ON slot = o_orderkey % n GROUP BY 1")
+def weighted_schedule(spark, sf):
+    weights = _t(spark, sf, "supplier").groupBy(F.col("s_nationkey").alias("idx")).agg((F.count("*") % 5 + 1).alias("weight"))
+    slots = schedule.cycle(weights).select("slot", "idx")  # 25 nations of weight 5 at most
+    length = slots.count()
+    calls = schedule.assign(_t(spark, sf, "orders").select("o_orderkey"), slots, max(1, length), "o_orderkey")
+    return calls.groupBy("idx").agg(F.count("*").alias("calls"))
+
+
+@query("SELECT event_id, CAST((row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) % 25 AS INTEGER) AS focus FROM events")
+def focus_rotation(spark, sf):
+    from pyspark.sql import Window
+
+    turn = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id"))
+    return _t(spark, sf, "events").select("event_id", schedule.rotation(turn).alias("focus"))
+
+
+_PRICE = "(VALUES " + ", ".join(f"('{k}', {a}::DOUBLE, {b}::DOUBLE)" for k, (a, b) in PRICES.items()) + ") p(k, i, o)"
+_MODEL = "CASE WHEN event_id % 4 = 0 THEN NULL ELSE 'm' || CAST(event_id % 3 AS VARCHAR) END"
+
+
+def _calls(spark, sf) -> DataFrame:
+    e = F.col("event_id")
+    return _t(spark, sf, "events").select(
+        "event_id", F.col("event_type").alias("provider"), F.col("event_type").alias("provider_type"), F.when(e % 4 != 0, F.concat(F.lit("m"), (e % 3).cast("string"))).alias("model"),
+        F.col("value").alias("latency_ms"), (e % 500).alias("prompt_tokens"), (e % 90).alias("completion_tokens"), (e % 11 == 0).alias("estimated_tokens"),
+        (e % 9 != 0).alias("success"), F.when(e % 9 == 0, F.when(e % 2 == 0, "timeout").otherwise("provider_error")).alias("failure_reason"),
+    )
+
+
+_PRICED = f"""c AS (SELECT event_id, event_type AS provider, {_MODEL} AS model, value, event_id % 500 AS pt, event_id % 90 AS ct FROM events),
+    p AS (SELECT * FROM {_PRICE}),
+    priced AS (SELECT c.*, coalesce(a.i, b.i, t.i, d.i, 0) AS i, coalesce(a.o, b.o, t.o, d.o, 0) AS o FROM c LEFT JOIN p a ON a.k = c.provider || ':' || c.model
+      LEFT JOIN p b ON b.k = c.model LEFT JOIN p t ON t.k = c.provider LEFT JOIN p d ON d.k = 'default')"""
+
+
+@query(f"WITH {_PRICED} SELECT provider, model, i AS price_in, o AS price_out, count(*) AS n FROM priced GROUP BY 1, 2, 3, 4")
+def price_lookup(spark, sf):
+    price = lambda side: metrics.price(PRICES, F.col("provider_type"), F.col("model"), side)
+    return _calls(spark, sf).groupBy("provider", "model", price(0).alias("price_in"), price(1).alias("price_out")).agg(F.count("*").alias("n"))
+
+
+def _exclusive_sql(v: str, i: int) -> str:
+    j = f"CAST(least(greatest(floor((len({v}) + 1) * {i} / 20), 1), len({v}) - 1) AS BIGINT)"
+    d = f"((len({v}) + 1) * {i} - {j} * 20)"
+    return f"({v}[{j}] * (20 - {d}) + {v}[{j} + 1] * {d}) / 20"
+
+
+_RULE_C = f"""CASE WHEN len(v) < 20 THEN (v[(len(v) - 1) // 2 + 1] + v[len(v) // 2 + 1]) / 2 ELSE {_exclusive_sql('v', 10)} END AS p50_ms,
+    CASE WHEN len(v) < 20 THEN v[len(v)] ELSE {_exclusive_sql('v', 19)} END AS p95_ms"""
+
+
+@query(
+    f"""WITH {_PRICED}, g AS (SELECT provider, count(*) AS calls, count(CASE WHEN event_id % 9 <> 0 THEN 1 END) AS ok, count(CASE WHEN event_id % 9 = 0 THEN 1 END) AS failed,
+      sum(pt)::BIGINT AS prompt_tokens, sum(ct)::BIGINT AS completion_tokens, bool_or(event_id % 11 = 0) AS any_estimated, round(sum(pt * i + ct * o) / 1e6, 4) AS cost, list_sort(list(value)) AS v FROM priced GROUP BY 1),
+    k AS (SELECT event_type AS provider, count(CASE WHEN event_id % 4 <> 0 THEN 1 END) AS accepted, count(CASE WHEN event_id % 4 = 0 THEN 1 END) AS rejected FROM events WHERE event_id % 9 <> 0 GROUP BY 1)
+    SELECT g.* EXCLUDE (v), {_RULE_C}, round(failed / calls, 4) AS failure_rate, coalesce(accepted, 0) AS accepted, coalesce(rejected, 0) AS rejected,
+    CASE WHEN accepted + rejected > 0 THEN round(accepted / (accepted + rejected), 4) ELSE 0 END AS acceptance_rate FROM g LEFT JOIN k USING (provider)"""
+)
+def provider_metrics(spark, sf):
+    calls = _calls(spark, sf)
+    candidates = calls.where("success").select("provider", (F.col("event_id") % 4 != 0).alias("accepted"))
+    return metrics.provider_metrics(calls, candidates, PRICES)
+
+
+@query(
+    """WITH f AS (SELECT event_type AS provider, CASE WHEN event_id % 2 = 0 THEN 'timeout' ELSE 'provider_error' END AS failure_reason FROM events WHERE event_id % 9 = 0
+      UNION ALL SELECT event_type, 'json_parse_failed' FROM events WHERE event_id % 9 <> 0 AND event_id % 4 = 0),
+    h AS (SELECT provider, failure_reason, count(*) AS n FROM f GROUP BY 1, 2)
+    SELECT provider, failure_reason, n FROM (SELECT *, row_number() OVER (PARTITION BY provider ORDER BY n DESC, failure_reason) AS t FROM h) WHERE t = 1"""
+)
+def top_failures(spark, sf):
+    calls = _calls(spark, sf)
+    candidates = calls.where("success").select("provider", F.when(F.col("event_id") % 4 == 0, "json_parse_failed").alias("failure_reason"))
+    return metrics.top_failures(metrics.failure_histogram(calls, candidates, "provider"), "provider")
+
+
+@query(
+    f"""WITH g AS (SELECT event_type, list_sort(list(value)) AS v, list_sort(list(value) FILTER (value > 20)) AS w FROM events GROUP BY 1)
+    SELECT event_type, CAST(len(v) AS BIGINT) AS n, v[CASE WHEN floor(len(v) * 0.95) < 1 THEN len(v) ELSE CAST(floor(len(v) * 0.95) AS BIGINT) END] AS p95_eval,
+    w[len(w) // 2 + 1] AS p50_report, w[CAST(floor(len(w) * 0.95) AS BIGINT)] AS p95_report, {_RULE_C} FROM g"""
+)
+def percentile_rules(spark, sf):
+    rows = _t(spark, sf, "events")
+    # values up to 20 stand for the zeros that the report's rules leave out
+    a = metrics.order_statistics(rows, ["event_type"], "value", metrics.RULES_A)
+    b = metrics.order_statistics(rows.where("value > 20"), ["event_type"], "value", metrics.RULES_B).drop("n")
+    return a.join(b, "event_type", "left").join(metrics.metric_percentiles(rows, ["event_type"], "value"), "event_type")
+
+
+# Reports.
+
+
+@query(
+    """WITH r AS (SELECT quality, doc_id % 3 <> 0 AS j, doc_id % 3 <> 0 AND doc_id % 4 <> 0 AS s, doc_id % 3 <> 0 AND doc_id % 4 <> 0 AND toxic = 0 AS x FROM labels)
+    SELECT quality, count(*) AS n, count(CASE WHEN j THEN 1 END) AS json_valid, round(100.0::DOUBLE * count(CASE WHEN j THEN 1 END) / count(*), 1) AS json_valid_pct,
+    count(CASE WHEN s THEN 1 END) AS schema_valid, round(100.0::DOUBLE * count(CASE WHEN s THEN 1 END) / count(*), 1) AS schema_valid_pct,
+    count(CASE WHEN x THEN 1 END) AS exact_match, round(100.0::DOUBLE * count(CASE WHEN x THEN 1 END) / count(*), 1) AS exact_match_pct FROM r GROUP BY 1"""
+)
+def eval_summary(spark, sf):
+    j = F.col("doc_id") % 3 != 0
+    s = j & (F.col("doc_id") % 4 != 0)
+    rows = _t(spark, sf, "labels").select("quality", j.alias("json_valid"), s.alias("schema_valid"), (s & (F.col("toxic") == 0)).alias("exact_match"))
+    return evalreport.summary(rows, "quality")
+
+
+@query("SELECT quality, count(CASE WHEN toxic = 0 THEN 1 END) AS p_0, count(CASE WHEN toxic = 1 THEN 1 END) AS p_1 FROM labels WHERE quality IN (0, 1) GROUP BY 1")
+def confusion_matrix(spark, sf):
+    return evalreport.confusion(_t(spark, sf, "labels"), "quality", "toxic", [0, 1])
+
+
+@query("SELECT l_orderkey, l_orderkey % 3 <> 0 AS same FROM lineitem GROUP BY 1")
+def multiset_equal(spark, sf):
+    q = F.col("l_quantity")
+    rows = _t(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.collect_list(q).alias("a"), F.collect_list(q + F.when(F.col("l_orderkey") % 3 == 0, 100.0).otherwise(0.0005)).alias("b"))
+    return rows.select("l_orderkey", reconcile.same_amounts(F.col("a"), F.reverse("b")).alias("same"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_linenumber % 4 <> 0 AS exact FROM lineitem")
+def exact_match(spark, sf):
+    item = lambda amount: F.concat(F.lit('{"transactions":[{"amount":'), amount, F.lit(',"currency":"INR","item":"x","category":"Food","type":"expense"}]}'))
+    a = jsonx.transactions(F.try_parse_json(item(F.col("l_quantity").cast("int").cast("string"))))
+    b = jsonx.transactions(F.try_parse_json(item((F.col("l_quantity") + F.when(F.col("l_linenumber") % 4 == 0, 1).otherwise(0)).cast("string"))))
+    return _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", jsonx.equal_labels(a, b).alias("exact"))
+
+
+@query(
+    """WITH s AS (SELECT l_returnflag AS model, l_linestatus AS variant, round(100.0::DOUBLE * count(CASE WHEN l_discount < 0.05 THEN 1 END) / count(*), 1) AS schema_pct,
+      round(100.0::DOUBLE * count(CASE WHEN l_tax < 0.04 THEN 1 END) / count(*), 1) AS exact_pct, round(sum(l_quantity) / count(*), 1) AS mean_ms FROM lineitem GROUP BY 1, 2)
+    SELECT model, variant, schema_pct, exact_pct, mean_ms FROM (SELECT *, row_number() OVER (PARTITION BY model ORDER BY schema_pct DESC, exact_pct DESC, mean_ms, variant) AS t FROM s) WHERE t = 1"""
+)
+def best_variant(spark, sf):
+    n = F.count("*")
+    rows = _t(spark, sf, "lineitem").groupBy(F.col("l_returnflag").alias("model"), F.col("l_linestatus").alias("variant")).agg(
+        tx.percent(F.count_if(F.col("l_discount") < 0.05), n).alias("schema_pct"), tx.percent(F.count_if(F.col("l_tax") < 0.04), n).alias("exact_pct"), F.round(F.sum("l_quantity") / n, 1).alias("mean_ms")
+    )
+    return evalreport.best_variant(rows, "model")
+
+
+@query(
+    """WITH g AS (SELECT event_type, count(CASE WHEN event_id % 2 = 0 THEN 1 END)::DOUBLE AS teacher, count(CASE WHEN event_id % 2 = 1 THEN 1 END)::DOUBLE AS student FROM events GROUP BY 1)
+    SELECT event_type, teacher, student, round(student - teacher, 4) AS delta FROM g"""
+)
+def model_delta(spark, sf):
+    side = F.when(F.col("event_id") % 2 == 0, "teacher").otherwise("student")
+    counts = _t(spark, sf, "events").groupBy("event_type", side.alias("side")).agg(F.count("*").cast("double").alias("v"))
+    return evalreport.deltas(counts, "event_type", "side", "v", "teacher", "student")
+
+
+@query()
+def numeral_audit(spark, sf):
+    return audit.suggestions(audit.token_counts(_t(spark, sf, "documents"), "text", "doc_id"))
+
+
+# Views and streams.
+
+
+@query("SELECT doc_id, n_chars FROM documents WHERE contains(lower(text), 'the') ORDER BY doc_id LIMIT 20 OFFSET 20")
+def search_paginate(spark, sf):
+    rows = _t(spark, sf, "documents").where(views.search(F.col("text"), "THE")).select("doc_id", "n_chars")
+    return views.page(rows, "doc_id", 2, 20)
+
+
+@query("SELECT d.doc_id, count(l.doc_id) AS n_flags, arg_max(CAST(quality AS VARCHAR), l.doc_id) AS last_reason FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id GROUP BY 1")
+def flag_join(spark, sf):
+    flags = _t(spark, sf, "labels").select("doc_id", F.col("quality").cast("string").alias("reason"), F.col("doc_id").alias("timestamp"))
+    return views.with_flags(_t(spark, sf, "documents").select("doc_id"), flags, ["doc_id"])
+
+
+@query("SELECT user_id, event_id FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS t FROM events) WHERE t <= 5")
+def log_tail(spark, sf):
+    return select.tail(_t(spark, sf, "events").select("user_id", "event_id"), "user_id", "event_id", 5)
+
+
+@query("SELECT user_id, CASE WHEN s IN ('purchase', 'error') THEN s ELSE 'orphaned' END AS status FROM (SELECT user_id, arg_max(event_type, event_id) AS s FROM events GROUP BY 1)")
+def job_states(spark, sf):
+    status = F.when(F.col("event_type") == "purchase", "succeeded").when(F.col("event_type") == "error", "failed").otherwise("running")
+    last = views.latest(_t(spark, sf, "events").withColumn("status", status), "user_id", "event_id", "status")
+    back = F.when(F.col("status") == "succeeded", "purchase").when(F.col("status") == "failed", "error").otherwise(views.after_restart(F.col("status")))
+    return last.select("user_id", back.alias("status"))
+
+
+@query("SELECT conv_id, turn, md5('<|system|>' || chr(10) || 'Label it.' || chr(10) || '<|user|>' || chr(10) || text || CASE WHEN turn % 2 = 1 THEN chr(10) || '<|assistant|>' || chr(10) || role ELSE '' END) AS body FROM conversations")
+def chat_messages(spark, sf):
+    turns = tx.messages(F.lit("Label it."), F.col("text"), F.when(F.col("turn") % 2 == 1, F.col("role")))
+    return _t(spark, sf, "conversations").select("conv_id", "turn", F.md5(tx.training_text(turns)).alias("body"))
+
+
+_REPAIR = "'The label for this input failed validation.' || chr(10) || 'INPUT:' || chr(10) || n || ' tea' || chr(10) || 'AMOUNTS:' || chr(10) || '  - ''' || n || ''' -> ' || n || '.0 ((no hint, default INR), active)' || chr(10) || 'FAILURES:' || chr(10) || s || chr(10) || 'Use only these amounts and currencies; answer with the JSON object alone.'"
+
+
+@query(f"SELECT o_orderkey, md5({_REPAIR}) AS prompt FROM (SELECT o_orderkey, CAST(o_orderkey % 900 + 100 AS VARCHAR) AS n, CASE WHEN o_orderkey % 2 = 0 THEN 'p1: provider error; p2: A, B, C' ELSE 'p2: A, B, C' END AS s FROM orders)")
+def repair_prompt(spark, sf):
+    one = lambda provider, reason, codes: F.struct(F.lit(provider).alias("provider"), F.lit(reason).alias("reason"), F.array(*map(F.lit, codes)).cast("array<string>").alias("codes"))
+    attempts = F.when(F.col("o_orderkey") % 2 == 0, F.array(one("p1", "provider_error", []), one("p2", "validation_failed", "ABCD"))).otherwise(F.array(one("p2", "validation_failed", "ABCD")))
+    rows = _t(spark, sf, "orders").select("o_orderkey", _txt("%d tea", F.col("o_orderkey") % 900 + 100).alias("said"), attempts.alias("attempts")).withColumn("a", amounts(F.col("said")))
+    return rows.select("o_orderkey", F.md5(tx.repair_prompt(F.col("said"), F.col("a"), tx.failure_summary(F.col("attempts")))).alias("prompt"))
+
+
+@query("SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 3 = 0 THEN 0 WHEN o_orderkey % 3 = 1 THEN 1 ELSE 3 END AS INTEGER) AS differing FROM orders")
+def json_line_diff(spark, sf):
+    k = F.col("o_orderkey")
+    a = _txt('{\n  "amount": %d,\n  "item": "tea"\n}', k)
+    b = F.when(k % 3 == 0, a).when(k % 3 == 1, _txt('{\n  "amount": %d,\n  "item": "tea"\n}', k + 1)).otherwise(_txt('{\n  "amount": %d,\n  "item": "tea",\n  "type": "x"\n}', k + 1))
+    differing = F.size(F.filter(tx.line_diff(a, b), lambda d: d))
+    # the third form changes the amount, adds a comma, and moves the end down by one line
+    return _t(spark, sf, "orders").select("o_orderkey", F.when(k % 3 == 2, differing - 1).otherwise(differing).alias("differing"))
+
+
+@query("SELECT DISTINCT user_id FROM events")
+def stream_dedupe(spark, sf):
+    base = f"{(spark.conf.get('spark.checkpoint.dir', None) or '/tmp/checkpoints').rstrip('/')}/ledgerloom/intake-{uuid.uuid4().hex}"
+    source = spark.read.parquet(f"{sf}/events.parquet")
+    incremental.intake(spark, f"{sf}/events.parquet", source.schema, "user_id", f"{base}/checkpoint", f"{base}/table")
+    return spark.read.parquet(f"{base}/table").select("user_id")
+
+
+_RUNS = "r AS (SELECT user_id, event_type, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS g FROM events)"
+
+
+@query(f"WITH {_RUNS}, i AS (SELECT user_id, event_type, min(event_id) AS first, count(*) AS length FROM r GROUP BY user_id, event_type, g) SELECT user_id, min(first) AS stopped_at FROM i WHERE event_type = 'error' AND length >= 3 GROUP BY 1")
+def stall_guard(spark, sf):
+    return incremental.stalls(_t(spark, sf, "events"), "user_id", "event_id", "event_type", "error", 3)

@@ -9,7 +9,12 @@ def intake(spark: SparkSession, path: str, schema, key: str, checkpoint: str, ta
     """Adds rows of new files under `path` whose key is not in `table` (a folder of Parquet) yet, the first of each
     key. Runs until all files there are taken in; run it again for more. The keys taken in are looked up in the table
     itself, so no state grows in the query; a batch that is repeated after a failure adds nothing twice."""
-    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_a_trigger).parquet(path)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_a_trigger)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hadoop).isFile():  # a source is a folder
+        rows = reader.option("pathGlobFilter", hadoop.getName()).parquet(hadoop.getParent().toString())
+    else:
+        rows = reader.parquet(path)
 
     def add(batch: DataFrame, _: int) -> None:
         fresh = batch.dropDuplicates([key])
