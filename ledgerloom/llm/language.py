@@ -21,7 +21,7 @@ import pyarrow as pa
 import zstandard as zstd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm.shared import fold, map_batches
+from ledgerloom.llm.shared import fold, map_batches, sampled
 
 #: Labelled documents looked at for each language, and bytes of its dictionary.
 SAMPLE_ROWS = 400
@@ -41,13 +41,12 @@ def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, dict_bytes: int = DIC
     """language -> dictionary. Rows with null text, lang or id, or of fold 2, are left out."""
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     known = known.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold("doc_id") != 2))
+    own = known.select("doc_id", "lang", F.substring("text", 1, 2 * SHARE).alias("text"))
     counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    out = {}
-    for lang in (r["lang"] for r in counts):
-        own = known.where(F.col("lang") == lang).orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(sample_rows)
-        rows = own.select(F.substring("text", 1, 2 * SHARE).alias("t")).collect()
-        out[lang] = b"".join(dict.fromkeys(plain(r["t"])[:SHARE] for r in rows))[:dict_bytes]
-    return out
+    rows: dict[str, list[str]] = {r["lang"]: [] for r in counts}
+    for r in sampled(own.where(F.col("lang").isin(list(rows))), "lang", sample_rows).collect():
+        rows[r["lang"]].append(r["text"])
+    return {lang: b"".join(dict.fromkeys(plain(t)[:SHARE] for t in texts_))[:dict_bytes] for lang, texts_ in rows.items()}
 
 
 #: ASCII bytes that aren't lower-case letters become spaces.
