@@ -19,10 +19,7 @@ QUERIES = {
 #: Where SQL can express the query.
 ORACLES = {
     "op2_decontaminate": decontaminate.SQL,
-    "op3_html_text": html_text.visible,
-    "op4_secret_scan": secrets.findings,
     "op5_quality_rules": quality.SQL,
     "op6_ngram_jaccard_join": ngram_join.SQL,
-    "op7_toxicity": toxicity.scores,
     "op8_license_scan": licenses.SQL,
 }
