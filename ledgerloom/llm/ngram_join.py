@@ -4,7 +4,8 @@ A document's set holds its runs of `width` words (a shorter one that has words i
 are one class of copies. choose_bands() picks the number of bands and rows for the target recall at the threshold.
 
 1. One pass computes each document's set key and band hashes; copies collapse to a class.
-2. Classes that share a band hash are linked to the least of that bucket: as many links as members, not pairs.
+2. Each class takes the least class that it shares a band hash with, and classes that took the same one are one node.
+   Nodes that share a band hash are linked to the least of that bucket: as many links as members, not pairs.
    Components of these links hold every candidate pair.
 3. The texts of a component meet once, in blocks of bounded bytes and documents (each pair of blocks is a task's group,
    however large the component), where all pairs are compared on full sets. Only a row a document leaves: how many
@@ -166,6 +167,16 @@ def verified(rows: DataFrame, width: int, threshold: float) -> DataFrame:
     return map_groups(rows, ["comp", "i", "j"], one, "key binary, root binary, links long")
 
 
+def _connected(shared: DataFrame) -> DataFrame:
+    """h, comp from h, near and buckets: near is the least hub of h's buckets. Classes of one `near` are one node from
+    here on, so a large group of near copies, whose members nearly all have the same one, leaves few links."""
+    held = scratch(shared.select("near", F.explode("buckets").alias("bucket")).distinct(), "held")
+    low = held.groupBy("bucket").agg(F.min("near").alias("low"), F.max("near").alias("top")).where("low < top").select("bucket", "low")
+    links = held.join(low, "bucket").where("near != low").select("near", "low").distinct()
+    roots = components(links, "near", "low").select(F.col("node").alias("near"), "comp")
+    return shared.select("h", "near").join(roots, "near", "left").select("h", F.coalesce("comp", "near").alias("comp"))
+
+
 def jaccard_join(
     docs: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD, recall: float = RECALL,
     block_docs: int = BLOCK_DOCS, block_bytes: int = BLOCK_BYTES,
@@ -179,8 +190,9 @@ def jaccard_join(
     )
     rows = classes.select("h", F.explode("bands").alias("bucket"))
     hubs = rows.groupBy("bucket").agg(F.min("h").alias("hub"), F.max("h").alias("top")).where("hub < top")
-    links = rows.join(hubs, "bucket").where("h != hub").select("h", "hub").distinct()
-    comps = components(links, "h", "hub").withColumnRenamed("node", "h")
+    # a class has as many buckets as there are bands, at most
+    shared = scratch(rows.join(hubs, "bucket").groupBy("h").agg(F.min("hub").alias("near"), F.collect_list("bucket").alias("buckets")), "shared")
+    comps = _connected(shared)
     members = scratch(classes.join(comps, "h").select("key", "comp", "n", "size", "rep"), "members")
 
     sizes = members.groupBy("comp").agg(F.greatest(F.ceil(F.count("*") / block_docs), F.ceil(F.sum("size") / block_bytes)).cast("int").alias("parts"))
