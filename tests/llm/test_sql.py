@@ -148,11 +148,13 @@ def test_held_out_language(spark):
 
 
 def test_held_out_toxicity(spark):
-    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where("toxic is not null")
-    rows = toxicity.scores(spark, "/root/testdata/sf0.01").join(labels, "doc_id").where("held_out").collect()
+    """On sf0.1: the 43 toxic labels of the training fold at sf0.01 are too few to learn a lexicon (AUC 0.74 there)."""
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").where("toxic is not null")
+    rows = toxicity.scores(spark, "/root/testdata/sf0.1").join(labels, "doc_id").where("held_out").collect()
     toxic, clean = [r["score"] for r in rows if r["toxic"]], [r["score"] for r in rows if not r["toxic"]]
     wins = sum((a > b) + 0.5 * (a == b) for a in toxic for b in clean)
-    assert wins / max(1, len(toxic) * len(clean)) > 0.85
+    assert wins / (len(toxic) * len(clean)) > 0.93
+    assert sum(s >= 0.3 for s in toxic) > 0.9 * len(toxic) and sum(s >= 0.3 for s in clean) < 0.05 * len(clean)
 
 
 def test_line_dedup_takes_blocks_from_the_later(spark):
