@@ -6,12 +6,10 @@ within a document, as patience diff wants its anchors.
 
 1. Each line key has a holder: the first document with it. A document with a key that an earlier one holds is paired
    with that holder: one link a line, not all pairs of the documents that share it.
-2. A pair counts if the two share a rare line (held by at most `rare` documents) or lines of `shared_words` words in
-   all, so that a frequent short line alone, such as a licence notice, makes no pair, but no copy escapes by being
-   one of very many.
-3. Patience alignment of a pair: the longest run of shared lines in the order of both documents (longest increasing
+2. Patience alignment of a pair: the longest run of shared lines in the order of both documents (longest increasing
    subsequence). Maximal blocks are lines next to each other in both, blank lines between aside; a block of
-   `block_words` words or more is deleted from the later document, with the blank lines inside it.
+   `block_words` words or more is deleted from the later document, with the blank lines inside it, however many
+   documents hold its lines.
 
 A line whose holder is one document may be deleted from many; texts of the holder itself never lose it. Null and empty
 texts stay as they are. Rows that repeat doc_id and text are one document and fare alike.
@@ -28,10 +26,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.llm.shared import keyed, map_batches, texts
 
-#: Documents that hold a rare line, at most.
-RARE = 20
-#: Words in shared lines that make a pair without a rare line.
-SHARED_WORDS = 20
 #: Words of a block that is deleted, at least.
 BLOCK_WORDS = 10
 
@@ -89,8 +83,8 @@ def aligned(points: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def removals(text: str, links: list[dict], rare: int, shared_words: int, block_words: int) -> list[tuple[int, int]]:
-    """Blocks of lines (end exclusive) that align with earlier holders. links: pos, words, holder, at, held_by."""
+def removals(text: str, links: list[dict], block_words: int) -> list[tuple[int, int]]:
+    """Blocks of lines (end exclusive) that align with earlier holders. links: pos, words, holder, at."""
     lines = text.split("\n")
     blank = [not x.strip(_SPACE) for x in lines]
     by_holder: dict[tuple, list[dict]] = defaultdict(list)
@@ -98,8 +92,6 @@ def removals(text: str, links: list[dict], rare: int, shared_words: int, block_w
         by_holder[x["holder"]].append(x)
     blocks = []
     for shared in by_holder.values():
-        if min(x["held_by"] for x in shared) > rare and sum(x["words"] for x in shared) < shared_words:
-            continue
         words = {x["pos"]: x["words"] for x in shared}
         run: list[tuple[int, int]] = []
         for p, q in [*aligned(sorted((x["pos"], x["at"]) for x in shared)), (-2, -2)]:
@@ -119,17 +111,17 @@ def shared_lines(docs: DataFrame) -> DataFrame:
     firsts = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "th", "pos")
     holders = (
         lines.groupBy(*key)
-        .agg(F.min(firsts).alias("first"), F.max(order).alias("last"), F.count("*").alias("held_by"))
+        .agg(F.min(firsts).alias("first"), F.max(order).alias("last"))
         .where(F.struct("first.z", "first.doc_id", "first.th") != F.col("last"))
-        .select(*key, "first", "held_by")
+        .select(*key, "first")
     )
     links = lines.join(holders, key).where(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "th") != F.struct("first.z", "first.doc_id", "first.th"))
-    link = F.struct("pos", "words", F.struct("first.doc_id", "first.th").alias("holder"), F.col("first.pos").alias("at"), "held_by")
+    link = F.struct("pos", "words", F.struct("first.doc_id", "first.th").alias("holder"), F.col("first.pos").alias("at"))
     # at most as many as the document has lines
     return links.groupBy("doc_id", "th").agg(F.collect_set(link).alias("links"))
 
 
-def dedup(docs: DataFrame, rare: int = RARE, shared_words: int = SHARED_WORDS, block_words: int = BLOCK_WORDS, drop_emptied: bool = False) -> DataFrame:
+def dedup(docs: DataFrame, block_words: int = BLOCK_WORDS, drop_emptied: bool = False) -> DataFrame:
     """docs with their columns, and two more: removed (array of blocks of line numbers, end exclusive), n_lines.
     drop_emptied: documents of which nothing but white space is left go, if it was lines that were deleted."""
     names = docs.columns
@@ -147,7 +139,7 @@ def dedup(docs: DataFrame, rare: int = RARE, shared_words: int = SHARED_WORDS, b
             new, removed, counts, keep = [], [], [], []
             for text, found in zip(batch.column(at).to_pylist(), batch.column(size).to_pylist(), strict=True):
                 own = [(x["holder"]["doc_id"], x["holder"]["th"]) for x in found or ()]
-                blocks = removals(text, [x | {"holder": o} for x, o in zip(found, own, strict=True)], rare, shared_words, block_words) if found else []
+                blocks = removals(text, [x | {"holder": o} for x, o in zip(found, own, strict=True)], block_words) if found else []
                 counts.append(0 if text is None else text.count("\n") + 1)
                 if blocks:
                     gone = {p for a, b in blocks for p in range(a, b)}

@@ -164,6 +164,13 @@ def test_line_dedup_takes_blocks_from_the_later(spark):
     assert out == {1: f"first own line\n{block}\nlast", 2: "another opening\nits end", 3: "short\nline", 4: None}
 
 
+def test_line_dedup_takes_frequent_blocks_too(spark):
+    block = "one two three four five six\nseven eight nine ten eleven twelve"  # 12 words, held by 30 documents
+    docs = spark.createDataFrame([(k, f"opening {k}\n{block}\nend {k}") for k in range(30)], "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in line_dedup.dedup(docs).collect()}
+    assert out == {0: f"opening 0\n{block}\nend 0"} | {k: f"opening {k}\nend {k}" for k in range(1, 30)}
+
+
 def test_decontaminate_cuts_spans(spark):
     item = "one two three four five six seven eight nine ten"
     docs = spark.createDataFrame([(1, "a b c d e f g h i j k " + item + " rest of it"), (2, item), (3, "clean text, kept as it is"), (4, None)], "doc_id long, text string")
