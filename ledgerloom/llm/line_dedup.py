@@ -1,124 +1,111 @@
-"""Line dedup (1): documents that share lines are aligned, and blocks that align go from the later document.
+"""Line dedup (1): passages of lines that an earlier document has too go from the later one.
 
-Order: documents are ordered by doc_id (null last), then by the hash of their text. A line is compared without outer
-white space; its k-th occurrence in a document is compared with k-th occurrences elsewhere, so every key is unique
-within a document, as patience diff wants its anchors.
+Order: documents are ordered by doc_id (null last), then by the hash of their text. Lines are compared without outer
+white space, and blank lines don't count.
 
-1. Each line key has a holder: the first document with it. A document with a key that an earlier one holds is paired
-   with that holder: one link a line, not all pairs of the documents that share it.
-2. Patience alignment of a pair: the longest run of shared lines in the order of both documents (longest increasing
-   subsequence). Maximal blocks are lines next to each other in both, blank lines between aside; a block of
-   `block_words` words or more is deleted from the later document, with the blank lines inside it, however many
-   documents hold its lines.
+A passage is a run of lines next to each other, blank lines between aside, of `block_words` words or more. Every
+passage that two documents share, wherever it stands in either, is deleted from the later, with the blank lines inside:
 
-A line whose holder is one document may be deleted from many; texts of the holder itself never lose it. Null and empty
-texts stay as they are. Rows that repeat doc_id and text are one document and fare alike.
+1. The windows of a document are its shortest passages: from each line on, and back from each line. What a window holds
+   depends on nothing around it, so two documents that share a passage share the windows that lie within it, and these
+   cover all its lines: a line has `block_words` words of the passage from it on, or before it, or lies in the window
+   of the passage's first line.
+2. Each window has a holder: the first document with it. Windows that an earlier document holds are deleted.
+
+So no pair of documents is looked at, and none is left out: a document that shares a passage with any earlier one shares
+its windows with their first holders, be they one document or many. Alignment of a pair (a longest chain of shared
+lines in the order of both) finds blocks that are such passages; those that cross the chain it would leave.
+
+Holders never lose their windows to later documents. Null and empty texts stay as they are. Rows that repeat doc_id and
+text are one document and fare alike.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
-from collections import defaultdict
-
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.llm.shared import keyed, map_batches, texts
 
-#: Words of a block that is deleted, at least.
+#: Words of a passage that is deleted, at least.
 BLOCK_WORDS = 10
 
 #: What bytes.strip() takes off.
 _SPACE = " \t\n\r\x0b\x0c"
 
-LINES = "doc_id long, th long, pos int, occ int, words int, h long, c int"
-
-
-def lines_of(docs: DataFrame) -> DataFrame:
-    """One row for each line with a word: place, occurrence in its document, words, and 96 bits of its hash."""
+WINDOWS = "doc_id long, th long, a int, b int, h long, c int"
+
+
+def windows(sizes: list[int], least: int) -> list[tuple[int, int]]:
+    """Shortest runs (end exclusive) of `least` or more from each place on, and back from each."""
+    out = set()
+    held = b = 0
+    for a, n in enumerate(sizes):
+        while held < least and b < len(sizes):
+            held += sizes[b]
+            b += 1
+        if held < least:
+            break
+        out.add((a, b))
+        held -= n
+    held = a = 0
+    for b, n in enumerate(sizes, 1):
+        held += n
+        while held - sizes[a] >= least:
+            held -= sizes[a]
+            a += 1
+        if held >= least:
+            out.add((a, b))
+    return sorted(out)
+
+
+def windows_of(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """One row for each window: its place among the lines that aren't blank, and 96 bits of its hash."""
 
     def make():
         def one(batch: pa.RecordBatch) -> dict:
-            out: dict = {n.split()[0]: [] for n in LINES.split(", ")}
+            out: dict = {n.split()[0]: [] for n in WINDOWS.split(", ")}
             ids, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for doc_id, th, text in zip(ids, hashes, texts(batch), strict=True):
-                seen: dict[bytes, int] = defaultdict(int)
-                for pos, line in enumerate(text.split(b"\n") if text else ()):
-                    if line := line.strip():
-                        seen[line] += 1
-                        mark = xxhash.xxh3_128_intdigest(line)
-                        out["doc_id"].append(doc_id)
-                        out["th"].append(th)
-                        out["pos"].append(pos)
-                        out["occ"].append(seen[line])
-                        out["words"].append(line.count(b" ") + 1)
-                        out["h"].append((mark & (2**64 - 1)) - 2**63)
-                        out["c"].append((mark >> 64 & (2**32 - 1)) - 2**31)
+                lines = [x for line in text.split(b"\n") if (x := line.strip())] if text else []
+                marks = [xxhash.xxh3_128_digest(x) for x in lines]
+                for a, b in windows([x.count(b" ") + 1 for x in lines], block_words):
+                    mark = xxhash.xxh3_128_intdigest(b"".join(marks[a:b]))
+                    out["doc_id"].append(doc_id)
+                    out["th"].append(th)
+                    out["a"].append(a)
+                    out["b"].append(b)
+                    out["h"].append((mark & (2**64 - 1)) - 2**63)
+                    out["c"].append((mark >> 64 & (2**32 - 1)) - 2**31)
             return out
 
         return one
 
-    return map_batches(keyed(docs), make, LINES)
+    return map_batches(keyed(docs), make, WINDOWS)
 
 
-def aligned(points: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """The longest subsequence, of pairs sorted by their first, in which the second increases too (patience sorting)."""
-    tops: list[int] = []
-    at: list[int] = []
-    back = [-1] * len(points)
-    for i, (_, q) in enumerate(points):
-        k = bisect_left(tops, q)
-        back[i] = at[k - 1] if k else -1
-        if k == len(tops):
-            tops.append(q)
-            at.append(i)
+def removals(text: str, found: list[dict]) -> list[tuple[int, int]]:
+    """Blocks of lines (end exclusive) that the windows a to b cover."""
+    places = [p for p, x in enumerate(text.split("\n")) if x.strip(_SPACE)]
+    blocks: list[tuple[int, int]] = []
+    for a, b in sorted((x["a"], x["b"]) for x in found):
+        if blocks and a <= blocks[-1][1]:
+            blocks[-1] = (blocks[-1][0], max(b, blocks[-1][1]))
         else:
-            tops[k], at[k] = q, i
-    out = []
-    i = at[-1] if at else -1
-    while i >= 0:
-        out.append(points[i])
-        i = back[i]
-    return out[::-1]
-
-
-def removals(text: str, links: list[dict], block_words: int) -> list[tuple[int, int]]:
-    """Blocks of lines (end exclusive) that align with earlier holders. links: pos, words, holder, at."""
-    lines = text.split("\n")
-    blank = [not x.strip(_SPACE) for x in lines]
-    by_holder: dict[tuple, list[dict]] = defaultdict(list)
-    for x in links:
-        by_holder[x["holder"]].append(x)
-    blocks = []
-    for shared in by_holder.values():
-        words = {x["pos"]: x["words"] for x in shared}
-        run: list[tuple[int, int]] = []
-        for p, q in [*aligned(sorted((x["pos"], x["at"]) for x in shared)), (-2, -2)]:
-            if run and not (p - run[-1][0] == q - run[-1][1] > 0 and all(blank[run[-1][0] + 1 : p])):
-                if sum(words[x] for x, _ in run) >= block_words:
-                    blocks.append((run[0][0], run[-1][0] + 1))
-                run = []
-            run.append((p, q))
-    return sorted(blocks)
-
-
-def shared_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, th and links, for the documents with a line that an earlier one holds."""
-    lines = lines_of(docs)
+            blocks.append((a, b))
+    return [(places[a], places[b - 1] + 1) for a, b in blocks]
+
+
+def shared_windows(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """doc_id, th and found, for the documents with a window that an earlier one holds."""
+    own = windows_of(docs, block_words)
     order = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "th")
-    key = ["h", "c", "occ"]
-    firsts = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "th", "pos")
-    holders = (
-        lines.groupBy(*key)
-        .agg(F.min(firsts).alias("first"), F.max(order).alias("last"))
-        .where(F.struct("first.z", "first.doc_id", "first.th") != F.col("last"))
-        .select(*key, "first")
-    )
-    links = lines.join(holders, key).where(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "th") != F.struct("first.z", "first.doc_id", "first.th"))
-    link = F.struct("pos", "words", F.struct("first.doc_id", "first.th").alias("holder"), F.col("first.pos").alias("at"))
-    # at most as many as the document has lines
-    return links.groupBy("doc_id", "th").agg(F.collect_set(link).alias("links"))
+    key = ["h", "c"]
+    holders = own.groupBy(*key).agg(F.min(order).alias("first"), F.max(order).alias("last")).where("first <> last").select(*key, "first")
+    later = own.join(holders, key).where(order != F.col("first"))
+    # at most two for each of the document's lines
+    return later.groupBy("doc_id", "th").agg(F.collect_set(F.struct("a", "b")).alias("found"))
 
 
 def dedup(docs: DataFrame, block_words: int = BLOCK_WORDS, drop_emptied: bool = False) -> DataFrame:
@@ -126,9 +113,9 @@ def dedup(docs: DataFrame, block_words: int = BLOCK_WORDS, drop_emptied: bool =
     drop_emptied: documents of which nothing but white space is left go, if it was lines that were deleted."""
     names = docs.columns
     held = docs.select(*[F.col(f"`{n}`") for n in names], F.col("doc_id").cast("long").alias("__id"), F.xxhash64("text").alias("__th"))
-    links = shared_lines(docs).select(F.col("doc_id").alias("__i"), F.col("th").alias("__t"), F.col("links").alias("__links"))
-    rows = held.join(links, F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__th") == F.col("__t")), "left").select(*[F.col(f"`{n}`") for n in names], "__links")
-    schema = rows.drop("__links").withColumn("__removed", F.array().cast("array<struct<a:int,b:int>>")).withColumn("__n", F.lit(0)).schema
+    found = shared_windows(docs, block_words).select(F.col("doc_id").alias("__i"), F.col("th").alias("__t"), F.col("found").alias("__found"))
+    rows = held.join(found, F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__th") == F.col("__t")), "left").select(*[F.col(f"`{n}`") for n in names], "__found")
+    schema = rows.drop("__found").withColumn("__removed", F.array().cast("array<struct<a:int,b:int>>")).withColumn("__n", F.lit(0)).schema
     at, size = names.index("text"), len(names)
 
     def run(batches):
@@ -138,8 +125,7 @@ def dedup(docs: DataFrame, block_words: int = BLOCK_WORDS, drop_emptied: bool =
         for batch in batches:
             new, removed, counts, keep = [], [], [], []
             for text, found in zip(batch.column(at).to_pylist(), batch.column(size).to_pylist(), strict=True):
-                own = [(x["holder"]["doc_id"], x["holder"]["th"]) for x in found or ()]
-                blocks = removals(text, [x | {"holder": o} for x, o in zip(found, own, strict=True)], block_words) if found else []
+                blocks = removals(text, found) if found else []
                 counts.append(0 if text is None else text.count("\n") + 1)
                 if blocks:
                     gone = {p for a, b in blocks for p in range(a, b)}
@@ -157,7 +143,7 @@ def dedup(docs: DataFrame, block_words: int = BLOCK_WORDS, drop_emptied: bool =
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op1: text without its aligned blocks, the blocks and the counts of lines for each document."""
+    """op1: text without the passages of earlier documents, the blocks and the counts of lines for each document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     n = F.aggregate("__removed", F.lit(0), lambda s, x: s + x["b"] - x["a"])
     return dedup(docs).select("doc_id", "text", F.col("__n").cast("long").alias("n_lines"), n.cast("long").alias("n_removed"), F.array_join(F.transform("__removed", lambda x: F.concat_ws("-", x["a"], x["b"])), ",").alias("removed"))

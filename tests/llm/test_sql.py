@@ -2,7 +2,10 @@
 tables and on a fixture of odd rows."""
 
 import base64
+import bisect
+import collections
 import hashlib
+import itertools
 import re
 import zlib
 
@@ -171,6 +174,61 @@ def test_line_dedup_takes_frequent_blocks_too(spark):
     assert out == {0: f"opening 0\n{block}\nend 0"} | {k: f"opening {k}\nend {k}" for k in range(1, 30)}
 
 
+def test_line_dedup_finds_passages_with_lines_of_another(spark):
+    """The passage of 2 and 3 holds a line that 1 had alone: its parts are under 10 words each."""
+    one, two, three = "five words are in here", "a line that stood alone before it", "four words after it"
+    docs = spark.createDataFrame([(1, f"opening\n{two}\nend"), (2, f"x\n{one}\n{two}\n\n{three}"), (3, f"{one}\n{two}\n{three}\ny")], "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in line_dedup.dedup(docs).collect()}
+    assert out == {1: f"opening\n{two}\nend", 2: f"x\n{one}\n{two}\n\n{three}", 3: "y"}
+
+
+def _chain(points):
+    """The longest chain of points that increases in both."""
+    tops, at, back = [], [], []
+    for i, (_, q) in enumerate(points):
+        k = bisect.bisect_left(tops, q)
+        back.append(at[k - 1] if k else -1)
+        tops[k:k + 1], at[k:k + 1] = [q], [i]
+    i, out = at[-1] if at else -1, []
+    while i >= 0:
+        out.append(points[i])
+        i = back[i]
+    return out[::-1]
+
+
+def test_line_dedup_deletes_all_that_aligns_in_any_pair(spark):
+    """All pairs of documents, aligned as wholes (patience, k-th occurrence with k-th), and all runs two share."""
+    texts = documents(spark)
+    lines = {d: [(p, x.strip(" \t\n\r\x0b\x0c")) for p, x in enumerate(t.split("\n")) if x.strip(" \t\n\r\x0b\x0c")] for d, t in texts.items()}
+    keys = {}
+    for d, own in lines.items():
+        seen = collections.Counter()
+        keys[d] = {}
+        for i, (_, x) in enumerate(own):
+            seen[x] += 1
+            keys[d][x, seen[x]] = i
+    words = {d: [x.count(" ") + 1 for _, x in own] for d, own in lines.items()}
+    aligned, shared = collections.defaultdict(set), collections.defaultdict(set)
+    for a, b in itertools.combinations(sorted(lines), 2):
+        if not keys[a].keys() & keys[b].keys():
+            continue
+        where = collections.defaultdict(list)
+        for i, (_, x) in enumerate(lines[a]):
+            where[x].append(i)
+        for points, out in ((_chain(sorted((i, keys[a][k]) for k, i in keys[b].items() if k in keys[a])), aligned), ([(i, q) for i, (_, x) in enumerate(lines[b]) for q in where[x]], shared)):
+            points = set(points)
+            for i, q in points:
+                if (i - 1, q - 1) not in points:
+                    n = next(n for n in itertools.count(1) if (i + n, q + n) not in points)
+                    if sum(words[b][i:i + n]) >= 10:
+                        out[b].update(lines[b][k][0] for k in range(i, i + n))
+    got = {r["doc_id"]: {p for x in r["removed"].split(",") if x for p in range(*map(int, x.split("-")))} for r in line_dedup.cleaned(spark, SF).collect()}
+    assert sum(map(len, aligned.values())) > 0
+    for d, own in lines.items():
+        assert aligned[d] <= got[d]
+        assert shared[d] == got[d] & {p for p, _ in own}
+
+
 def test_decontaminate_cuts_spans(spark):
     item = "one two three four five six seven eight nine ten"
     docs = spark.createDataFrame([(1, "a b c d e f g h i j k " + item + " rest of it"), (2, item), (3, "clean text, kept as it is"), (4, None)], "doc_id long, text string")
