@@ -1,11 +1,11 @@
 """License scans (8) in DataFrame functions alone: ordered signature rules on word-normalised text.
 
 A text becomes its lower-cased (A-Z) words, each between two spaces (" a  b "), so a rule's pattern owns the space on
-both sides of its words and matches whole words only. Only texts that contain one of a few letter groups are looked at
-further. A rule belongs to a keyword: rules whose keyword a text lacks are not tried. What the others find are
-intervals; they are sorted by start, longest first, then by priority, and one that lies within an earlier one goes. Of
-equal intervals the rule with the best priority stays. A text's labels are those of the intervals that stay, and those
-of the base phrases, which always stay.
+both sides of its words and matches whole words only. A rule belongs to a keyword and, where a form goes around a
+name, to a hint of that form, both part of every match: rules of which a text lacks one are not tried. What the others
+find are intervals; they are sorted by start, longest first, then by priority, and one that lies within an earlier one
+goes. Of equal intervals the rule with the best priority stays. A text's labels are those of the intervals that stay,
+and those of the base phrases, which always stay.
 
 Null and empty texts have no words and no labels. Repeated rows fare alike. Other columns stay behind.
 """
@@ -98,12 +98,12 @@ NAMES = (
     ("busl", "business", "business source"),
     ("elastic", "elastic", "elastic(?: 2 0)?"),
 )
-#: Ways in which a name is used: priority (less is better), confidence, pattern around it.
+#: Ways in which a name is used: priority (less is better), confidence, hint (part of every match), pattern around it.
 FORMS = (
-    (0, 1.0, "spdx licen[cs]e identifier {}"),
-    (1, 0.95, "(?:licen[cs]ed|released|distributed|available|published|provided|covered|shared|dual licen[cs]ed) under (?:the )?(?:terms of )?(?:the )?{}(?: (?:public )?licen[cs]e)?"),
-    (2, 0.9, "under (?:the )?(?:terms of )?(?:the )?{}(?: (?:public )?licen[cs]e)"),
-    (3, 0.8, "{} (?:public )?licen[cs]e(?: agreement| terms| text)?"),
+    (0, 1.0, "spdx", "spdx licen[cs]e identifier {}"),
+    (1, 0.95, "under", "(?:licen[cs]ed|released|distributed|available|published|provided|covered|shared|dual licen[cs]ed) under (?:the )?(?:terms of )?(?:the )?{}(?: (?:public )?licen[cs]e)?"),
+    (2, 0.9, "under", "under (?:the )?(?:terms of )?(?:the )?{}(?: (?:public )?licen[cs]e)"),
+    (3, 0.8, "licen", "{} (?:public )?licen[cs]e(?: agreement| terms| text)?"),
 )
 #: Hand-written signatures of whole texts and notices: label, keyword, confidence, pattern.
 NOTICES = (
@@ -127,9 +127,6 @@ NOTICES = (
     ("non-commercial", "commercial", 0.5, "(?:for )?non ?commercial use only"),
     ("copyright-notice", "copyright", 0.3, "copyright (?:c )?(?:19|20)[0-9][0-9]"),
 )
-#: A text without any of these has no match of a rule or base phrase.
-GATE = "licen[cs]e|cc[^a-z]|gpl|mpl|cddl|eupl|osl|gfdl|spdx|copyright|hereby|rights|domain|proprietary|unauthorized|commercial|noninfringement|redistribut|endorse|waived|altered|mozilla|under"
-
 _NOT_WORD = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -139,13 +136,13 @@ def _apart(pattern: str) -> str:
     return " " + pattern.replace(" ?", "\0").replace(" ", "  ").replace("\0", "(?:  )?") + " "
 
 
-def rules() -> list[tuple[int, str, str, float, str]]:
-    """priority, label, keyword, confidence, pattern; in order of priority."""
-    out = [(p, label, word, sure, form.replace("{}", name)) for p, sure, form in FORMS for label, word, name in NAMES]
+def rules() -> list[tuple[int, str, str, float, str, str]]:
+    """priority, label, keyword, confidence, pattern, hint; in order of priority."""
+    out = [(p, label, word, sure, form.replace("{}", name), hint) for p, sure, hint, form in FORMS for label, word, name in NAMES]
     # the names that hold their own proof need no form around them
-    out += [(4, label, word, 0.7, name) for label, word, name in NAMES if " " in name.replace("(?: ", "") and word not in ("mit", "software", "common", "side", "business", "elastic")]
-    out += [(1, label, word, sure, text) for label, word, sure, text in NOTICES]
-    return [(p, label, word, sure, _apart(text)) for p, label, word, sure, text in sorted(out, key=lambda r: r[0])]
+    out += [(4, label, word, 0.7, name, word) for label, word, name in NAMES if " " in name.replace("(?: ", "") and word not in ("mit", "software", "common", "side", "business", "elastic")]
+    out += [(1, label, word, sure, text, word) for label, word, sure, text in NOTICES]
+    return [(p, label, word, sure, _apart(text), hint) for p, label, word, sure, text, hint in sorted(out, key=lambda r: r[0])]
 
 
 def _spans(norm: Column, rule: Column) -> Column:
@@ -165,13 +162,13 @@ def _spans(norm: Column, rule: Column) -> Column:
 
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans for each row of docs."""
-    table = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(label).alias("label"), F.lit(word).alias("word"), F.lit(sure).alias("sure"), F.lit(text).alias("pattern")) for p, label, word, sure, text in rules()])
-    keywords = F.array(*map(F.lit, sorted({r[2] for r in rules()})))
+    table = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(label).alias("label"), F.lit(word).alias("word"), F.lit(hint).alias("hint"), F.lit(sure).alias("sure"), F.lit(text).alias("pattern")) for p, label, word, sure, text, hint in rules()])
+    keywords = F.array(*map(F.lit, sorted({w for r in rules() for w in (r[2], r[5])})))
     t, norm = F.col("__text"), F.col("__norm")
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("__text"))
     rows = rows.withColumn("__words", F.array_remove(F.split(t, _NOT_WORD), ""))
     joined = F.concat(F.lit(" "), F.array_join("__words", "  "), F.lit(" "))
-    rows = rows.select("doc_id", F.size("__words").cast("long").alias("n_words"), F.when(F.lower(t).rlike(GATE), F.translate(joined, _UPPER, _LOWER)).otherwise(F.lit("")).alias("__norm"))
+    rows = rows.select("doc_id", F.size("__words").cast("long").alias("n_words"), F.translate(joined, _UPPER, _LOWER).alias("__norm"))
 
     places, firsts, lasts, labels = [], [], [], []
     for phrase, label in BASE:
@@ -189,9 +186,9 @@ def scan(docs: DataFrame) -> DataFrame:
         "doc_id", "n_words", "__norm",
         sum(places[1:], places[0]).alias("n_base"), F.least(*firsts).alias("first_word"), F.greatest(*lasts).alias("last_word"),
         F.array_sort(F.array_compact(F.array(*labels))).alias("__base"),
-        F.when(norm != "", present).otherwise(F.array().cast("array<string>")).alias("__present"),
+        present.alias("__present"),
     )
-    rows = rows.withColumn("__rules", F.when(F.size("__present") > 0, F.filter(table, lambda r: F.array_contains("__present", r["word"]))))
+    rows = rows.withColumn("__rules", F.when(F.size("__present") > 0, F.filter(table, lambda r: F.array_contains("__present", r["word"]) & F.array_contains("__present", r["hint"]))))
     found = F.coalesce(F.flatten(F.transform("__rules", lambda r: _spans(norm, r))), F.array().cast("array<struct<a:int,minus_b:int,p:int,label:string,sure:double>>"))
     rows = rows.withColumn("__found", F.sort_array(found)).drop("__rules", "__present")
     empty = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<a:int,minus_b:int,p:int,label:string,sure:double>>").alias("out"))
@@ -215,7 +212,7 @@ def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql() -> str:
-    listed = ",\n".join(f"({p}, '{label}', '{word}', {sure}::DOUBLE, '{text}')" for p, label, word, sure, text in rules())
+    listed = ",\n".join(f"({p}, '{label}', '{word}', {sure}::DOUBLE, '{text}')" for p, label, word, sure, text, _ in rules())
     phrases = ", ".join(f"('{_apart(phrase)}', '{label}')" for phrase, label in BASE)
     return f"""
 WITH rule(p, label, word, sure, pattern) AS (VALUES {listed}),

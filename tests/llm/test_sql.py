@@ -257,6 +257,18 @@ def test_bands_reach_their_recall():
     assert 1 - (1 - ngram_join.THRESHOLD**rows) ** bands >= ngram_join.RECALL and bands * rows <= ngram_join.MAX_HASHES
 
 
+def test_license_names_alone_equal_sql(spark, tmp_path):
+    """Names that need no form around them, in texts without any other word of a rule."""
+    names = ["Apache-2.0", "BSD-3-Clause", "FreeBSD", "Creative Commons Attribution 4.0", "Eclipse Public", "Python Software Foundation", "general public", "WTFPL", "the WTFPL"]
+    spark.createDataFrame([*enumerate(names), (99, "no name at all")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    got, want = licenses.detections(spark, str(tmp_path)).toPandas(), con.sql(licenses.SQL).df()
+    assert listed(got) == listed(want)
+    found = dict(zip(got.doc_id, got.labels, strict=True))
+    assert found[0] == "apache-2" and found[1] == "bsd-3-clause" and found[4] == "epl" and found[99] == ""
+
+
 def test_blocks_change_nothing(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = lambda **o: sorted(tuple(r) for r in ngram_join.jaccard_join(docs, **o).select("doc_id", "class_id", "n_links").collect())
