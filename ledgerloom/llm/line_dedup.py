@@ -3,7 +3,9 @@
 Order: documents are ordered by doc_id (null last), then by the hash of their text. Lines are compared without outer
 white space, and blank lines don't count.
 
-A passage is a run of lines next to each other, blank lines between aside, of `block_words` words or more. Every
+A passage is a run of lines next to each other, blank lines between aside, of `block_words` words or more. White space
+parts words; in scripts that are written without it, two characters count as a word (Han, kana) or four (Thai, Lao,
+Tibetan, Burmese, Khmer and others). Every
 passage that two documents share, wherever it stands in either, is deleted from the later, with the blank lines inside:
 
 1. The windows of a document are its shortest passages: from each line on, and back from each line. What a window holds
@@ -22,6 +24,8 @@ text are one document and fare alike.
 
 from __future__ import annotations
 
+import re
+
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -37,6 +41,23 @@ _SPACE = " \t\n\r\x0b\x0c"
 WINDOWS = "doc_id long, th long, a int, b int, h long, c int"
 
 
+#: Letters and marks of scripts without spaces, of which two count as a word, and of which four do.
+_TWO = re.compile("[\u3005-\u3007\u3040-\u30ff\u3100-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U0003ffff]")
+_FOUR = re.compile("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u1950-\u19df\u1a20-\u1aaf\u1b00-\u1b7f\ua980-\ua9ff\uaa60-\uaadf]")
+
+
+def words_in(line: bytes) -> int:
+    """Words of a line that isn't blank, one at least."""
+    if line.isascii():
+        return len(line.split())
+    text = line.decode(errors="replace")
+    rest, two = _TWO.subn(" ", text)
+    rest, four = _FOUR.subn(" ", rest)
+    if not two and not four:
+        return len(text.split()) or 1
+    return sum(any(map(str.isalnum, w)) for w in rest.split()) + -(-two // 2) + -(-four // 4)
+
+
 def windows(sizes: list[int], least: int) -> list[tuple[int, int]]:
     """Shortest runs (end exclusive) of `least` or more from each place on, and back from each."""
     out = set()
@@ -70,7 +91,7 @@ def windows_of(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
             for doc_id, th, text in zip(ids, hashes, texts(batch), strict=True):
                 lines = [x for line in text.split(b"\n") if (x := line.strip())] if text else []
                 marks = [xxhash.xxh3_128_digest(x) for x in lines]
-                for a, b in windows([x.count(b" ") + 1 for x in lines], block_words):
+                for a, b in windows([words_in(x) for x in lines], block_words):
                     mark = xxhash.xxh3_128_intdigest(b"".join(marks[a:b]))
                     out["doc_id"].append(doc_id)
                     out["th"].append(th)

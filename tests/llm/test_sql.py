@@ -207,7 +207,7 @@ def test_line_dedup_deletes_all_that_aligns_in_any_pair(spark):
         for i, (_, x) in enumerate(own):
             seen[x] += 1
             keys[d][x, seen[x]] = i
-    words = {d: [x.count(" ") + 1 for _, x in own] for d, own in lines.items()}
+    words = {d: [len(x.split()) for _, x in own] for d, own in lines.items()}
     aligned, shared = collections.defaultdict(set), collections.defaultdict(set)
     for a, b in itertools.combinations(sorted(lines), 2):
         if not keys[a].keys() & keys[b].keys():
@@ -229,6 +229,14 @@ def test_line_dedup_deletes_all_that_aligns_in_any_pair(spark):
         assert shared[d] == got[d] & {p for p, _ in own}
 
 
+def test_line_dedup_measures_scripts_without_spaces(spark):
+    passages = ["这是一个没有空格的段落它在两个文档里都出现过", "これは空白のない段落で二つの文書に同じ形で現れる", "นี่คือย่อหน้าที่ไม่มีช่องว่างและปรากฏในเอกสารสองฉบับเหมือนกัน", "parted\tby\ttabs\talone\tthis\tline\tholds\tten\twords\there"]
+    docs = spark.createDataFrame([(10 * k + n, f"{n} own\n{x}\nend {n}") for k, x in enumerate(passages) for n in (1, 2)] + [(98, "短句重复\na"), (99, "短句重复\nb")], "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in line_dedup.dedup(docs).collect()}
+    assert [out[10 * k + 2] for k in range(4)] == ["2 own\nend 2"] * 4
+    assert out[1] == f"1 own\n{passages[0]}\nend 1" and out[99] == "短句重复\nb"
+
+
 def test_decontaminate_cuts_spans(spark):
     item = "one two three four five six seven eight nine ten"
     docs = spark.createDataFrame([(1, "a b c d e f g h i j k " + item + " rest of it"), (2, item), (3, "clean text, kept as it is"), (4, None)], "doc_id long, text string")
