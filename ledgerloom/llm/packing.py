@@ -10,8 +10,9 @@ underfull bin as a rule, one in `SHARD_BINS`. Repeated rows are documents of the
 order of arrival in the shard.
 
 Local search: the emptiest bin gives to fuller ones, by moving a piece, exchanging one for one, two for one or one for
-two, always the exchange that raises the sum of squared fills most, until it is empty or none raises it; it ends at
-the least number of bins that the tokens need or when no bin can be emptied.
+two, always the exchange that raises the sum of squared fills most, until it is empty or none raises it; then comes
+the next emptiest. It ends at the least number of bins that the tokens need, or when each underfull bin has been tried
+since the last exchange. A bin tried in vain is tried again only with bins that have changed since.
 """
 
 from __future__ import annotations
@@ -35,8 +36,6 @@ SHARD_BINS = 1024
 SHARD_PIECES = 40_000
 #: Bytes of a tokenizer file that is broadcast, at most.
 FILE_BYTES = 64 << 20
-#: Emptiest bins that a round of local search tries in vain before it ends.
-TRIES = 16
 
 _CACHED = 300_000
 _LOADED: dict[int, "Encoder"] = {}
@@ -164,42 +163,44 @@ def empty_bins(bins: list[list[int]], lengths: list[int], capacity: int) -> list
     full = [b for b in bins if sum(lengths[i] for i in b) == capacity]
     open_ = [b for b in bins if sum(lengths[i] for i in b) < capacity]
     fill = [sum(lengths[i] for i in b) for b in open_]
-    vain = 0
-    while len(full) + len(open_) > least and len(open_) > 1 and vain < TRIES:
-        order = sorted(range(len(open_)), key=fill.__getitem__)
-        if vain >= len(order) - 1:
-            break
-        e = order[vain]
-        if _drain(e, open_, fill, lengths, capacity):
-            del open_[e], fill[e]
-            vain = 0
-        else:
-            vain += 1
-    return full + open_
-
-
-def _drain(e: int, bins: list[list[int]], fill: list[int], lengths: list[int], capacity: int) -> bool:
+    held, fills = dict(enumerate(open_)), dict(enumerate(fill))
+    clock = 1
+    changed, tried = dict.fromkeys(held, 1), dict.fromkeys(held, 0)
+    while len(full) + len(held) > least and (left := [k for k in held if tried[k] < clock]):
+        e = min(left, key=fills.__getitem__)
+        clock = _drain(e, held, fills, changed, tried[e], clock, lengths, capacity)
+        tried[e] = clock
+        if not held[e]:
+            del held[e]
+    return full + list(held.values())
+
+
+def _drain(e: int, bins: dict[int, list[int]], fill: dict[int, int], changed: dict[int, int], since: int, clock: int, lengths: list[int], capacity: int) -> int:
+    """Exchanges until bin e is empty or none gains; the clock after them. since: when e was last tried in vain."""
     size = lengths.__getitem__
     while bins[e]:
         best: tuple = (0, None)
-        targets = [f for f in range(len(bins)) if f != e and fill[f] < capacity and fill[f] >= fill[e]]
-        for kind in (_moves, _swaps, _pairs):
-            for f in targets:
+        new = changed[e] > since
+        most = {f: 2 * d * (fill[f] - fill[e] + d) for f in bins if f != e and fill[f] >= fill[e] and (new or changed[f] > since) and (d := min(capacity - fill[f], fill[e])) > 0}
+        for f in sorted(most, key=most.__getitem__, reverse=True):
+            if most[f] <= best[0]:
+                break
+            for kind in (_moves, _swaps, _pairs):
                 for given, taken in kind(bins[e], bins[f], capacity - fill[f], size):
                     d = sum(map(size, given)) - sum(map(size, taken))
                     gain = 2 * d * (fill[f] - fill[e] + d)
                     if d > 0 and gain > best[0]:
                         best = (gain, (f, given, taken, d))
-            if best[1]:
-                break
         if not best[1]:
-            return False
+            break
         f, given, taken, d = best[1]
         bins[e] = [i for i in bins[e] if i not in given] + list(taken)
         bins[f] = [i for i in bins[f] if i not in taken] + list(given)
         fill[e] -= d
         fill[f] += d
-    return True
+        clock += 1
+        changed[e] = changed[f] = clock
+    return clock
 
 
 def _moves(mine: list[int], theirs: list[int], room: int, size) -> list:

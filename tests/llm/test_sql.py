@@ -6,6 +6,7 @@ import bisect
 import collections
 import hashlib
 import itertools
+import random
 import re
 import zlib
 
@@ -143,6 +144,16 @@ def test_local_search_empties_a_bin():
     assert sorted(map(sorted, found)) == [[0, 3], [1, 2]]
 
 
+def test_local_search_tries_each_bin():
+    rnd = random.Random(104)
+    lengths = [rnd.randint(26, 60) for _ in range(rnd.randint(36, 60))]
+    bins = packing.best_fit(lengths, 100)
+    found = packing.empty_bins([list(b) for b in bins], lengths, 100)
+    assert (len(bins), len(found)) == (16, 15)
+    assert sorted(i for b in found for i in b) == list(range(len(lengths)))
+    assert max(sum(lengths[i] for i in b) for b in found) <= 100
+
+
 def test_held_out_language(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = language.predictions(spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang"), "doc_id").where("held_out and lang_pred <> 'und' and lang is not null")
