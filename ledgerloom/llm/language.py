@@ -2,8 +2,9 @@
 
 Texts are lower-cased, what isn't a letter becomes a space and a word that follows itself counts once. Training takes,
 for each language, texts of the training fold in the order of a hash of their ids, `SHARE` bytes of each, until they
-fill a raw-content zstandard dictionary of `dict_bytes`. That is the only bound: at most `sample_rows` labelled
-documents a language are looked at. Prediction cuts the whole text into pieces of `piece_bytes`, compresses each with
+fill a raw-content zstandard dictionary of `dict_bytes`. Its bounds: of a text only the first 2 * `SHARE` characters are
+read, at most `sample_rows` labelled documents a language are looked at, and only the `MAX_LANGUAGES` most frequent
+languages are learned, so documents of others get one of these. Prediction cuts the whole text into pieces of `piece_bytes`, compresses each with
 each dictionary and sums the sizes; of a short text, all its endings from each word on are summed, as whole bytes tell
 too little. The smallest sum wins, the more frequent language on a tie. The margin is how much larger the second
 smallest sum is; a text whose margin is below `min_margin` is rejected.
