@@ -4,16 +4,17 @@ A document's set holds its runs of `width` words (a shorter one that has words i
 are one class of copies. choose_bands() picks the number of bands and rows for the target recall at the threshold.
 
 1. One pass computes each document's set key and band hashes; copies collapse to a class.
-2. Each class takes the least class that it shares a band hash with, and classes that took the same one are one node.
-   Nodes that share a band hash are linked to the least of that bucket: as many links as members, not pairs.
-   Components of these links hold every candidate pair.
-3. The texts of a component meet once, in blocks of bounded bytes and documents (each pair of blocks is a task's group,
-   however large the component), where all pairs are compared on full sets. Only a row a document leaves: how many
-   documents it is linked with, and the least class it is connected with there.
-4. Components that span blocks are connected over those rows.
-
-So no pairs are emitted and nothing is capped; the comparisons within a component stay quadratic in its different
-texts, spread over block pairs.
+2. Rows are shuffled on band hashes. Each class takes the least class that it shares one with as its hub, and classes
+   of one hub are a block, so near copies of one text, which share most bands, mostly stand in one block. A hub with
+   more classes or bytes than a block may hold is dealt by a hash to as many blocks as that needs.
+3. A class meets the others of its block, and those of each block in which a class shares a band hash with it. Each
+   pair of blocks that meet is one group of bounded size, however large a bucket is, where all pairs are verified on full
+   n-gram sets. A pair of classes has one pair of blocks, so no link is counted twice. Only a row a class leaves: how
+   many documents it is linked with there, and the least class it is connected with.
+4. Classes are connected over those rows.
+
+So no pairs are emitted and nothing is capped: blocks meet only where a band hash is shared. Within a bucket whose texts
+all differ, the comparisons stay quadratic, since every link counts; they are spread over the pairs of its blocks.
 
 n_links counts the other documents with a similarity of `threshold` or more, copies included; class_id is the least
 doc_id that links connect a document with. Documents without words (null and empty texts among them) have no links and
@@ -31,14 +32,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ledgerloom.llm.components import components
-from ledgerloom.llm.shared import WordHashes, keyed, map_batches, map_groups, scratch, shingles, texts, words_of
+from ledgerloom.llm.shared import WordHashes, every, free_names, keyed, map_batches, map_groups, scratch, shingles, texts, words_of
 
 WIDTH = 5
 THRESHOLD = 0.8
 RECALL = 0.999
 #: Hash functions at most.
 MAX_HASHES = 256
-#: A block of a component: documents and bytes of text at most (a single longer document is a block).
+#: A block: documents and bytes of text at most (a single longer document is a block).
 BLOCK_DOCS = 1024
 BLOCK_BYTES = 6_000_000
 
@@ -135,10 +136,10 @@ def similar_pairs(sets: list[np.ndarray], threshold: float, chunk: int = 4096) -
 
 
 def verified(rows: DataFrame, width: int, threshold: float) -> DataFrame:
-    """From comp, i, j, part, key, n, text: for each block pair and class with links there key, root, links, spans."""
+    """From i, j, block, key, n, text: for each pair of blocks and class with links there key, root, links."""
 
     def one(group: tuple, columns: dict[str, list]) -> dict[str, list]:
-        _, i, j = group
+        i, j = group
         at = {k: p for p, k in enumerate(columns["key"])}  # rows that repeat a document give its class twice
         places = list(at.values())
         out: dict[str, list] = {"key": [], "root": [], "links": []}
@@ -148,7 +149,7 @@ def verified(rows: DataFrame, width: int, threshold: float) -> DataFrame:
         keys = [columns["key"][p] for p in places]
         linked = similar_pairs([signer.set_of(columns["text"][p]) for p in places], threshold)
         if i != j:
-            side = np.array([columns["part"][p] == i for p in places])
+            side = np.array([columns["block"][p] == i for p in places])
             linked &= side[:, None] != side[None, :]
         weights = np.array([columns["n"][p] for p in places], np.int64)
         labels = np.array(sorted(range(len(keys)), key=keys.__getitem__)).argsort()  # by the order of keys
@@ -164,17 +165,26 @@ def verified(rows: DataFrame, width: int, threshold: float) -> DataFrame:
             out["links"].append(int(weights[linked[p]].sum()))
         return out
 
-    return map_groups(rows, ["comp", "i", "j"], one, "key binary, root binary, links long")
+    return map_groups(rows, ["i", "j"], one, "key binary, root binary, links long")
 
 
-def _connected(shared: DataFrame) -> DataFrame:
-    """h, comp from h, near and buckets: near is the least hub of h's buckets. Classes of one `near` are one node from
-    here on, so a large group of near copies, whose members nearly all have the same one, leaves few links."""
-    held = scratch(shared.select("near", F.explode("buckets").alias("bucket")).distinct(), "held")
-    low = held.groupBy("bucket").agg(F.min("near").alias("low"), F.max("near").alias("top")).where("low < top").select("bucket", "low")
-    links = held.join(low, "bucket").where("near != low").select("near", "low").distinct()
-    roots = components(links, "near", "low").select(F.col("node").alias("near"), "comp")
-    return shared.select("h", "near").join(roots, "near", "left").select("h", F.coalesce("comp", "near").alias("comp"))
+def _meetings(classes: DataFrame, block_docs: int, block_bytes: int) -> DataFrame:
+    """h, block, others: for each class that shares a band hash with another, its block and the blocks that it meets,
+    its own among them if another class is in it."""
+    rows = classes.select("h", "size", F.explode("bands").alias("bucket"))
+    hubs = rows.groupBy("bucket").agg(F.min("h").alias("hub"), F.max("h").alias("top")).where("hub < top")
+    # a class has as many buckets as there are bands, at most
+    shared = scratch(rows.join(hubs, "bucket").groupBy("h").agg(F.min("hub").alias("near"), F.first("size").alias("size"), F.collect_list("bucket").alias("buckets")), "shared")
+    sizes = shared.groupBy("near").agg(F.count("*").alias("n"), F.greatest(F.ceil(F.count("*") / block_docs), F.ceil(F.sum("size") / block_bytes)).cast("int").alias("parts"))
+    part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("h", "near"), "parts")).otherwise(F.lit(0))
+    placed = scratch(shared.join(sizes, "near").select("h", "buckets", F.xxhash64("near", part).alias("block"), (F.col("n") > 1).alias("more")), "placed")
+    held = placed.select("h", "block", F.explode("buckets").alias("bucket"))
+    met = held.groupBy("bucket").agg(F.collect_set("block").alias("blocks")).where(F.size("blocks") > 1)
+    far = held.join(met, "bucket").groupBy("h").agg(F.array_distinct(F.flatten(F.collect_list("blocks"))).alias("blocks"))
+    none = F.array().cast("array<bigint>")
+    own = F.when(F.col("more"), F.array("block")).otherwise(none)
+    others = F.concat(own, F.array_remove(F.coalesce("blocks", none), F.col("block")))
+    return scratch(placed.join(far, "h", "left").select("h", "block", others.alias("others")), "meetings")
 
 
 def jaccard_join(
@@ -188,31 +198,20 @@ def jaccard_join(
         signed.where("key is not null").groupBy("key").agg(F.first("h").alias("h"), F.count("*").alias("n"), F.max("size").alias("size"), F.min(order).alias("rep"), F.first("bands").alias("bands")),
         "classes",
     )
-    rows = classes.select("h", F.explode("bands").alias("bucket"))
-    hubs = rows.groupBy("bucket").agg(F.min("h").alias("hub"), F.max("h").alias("top")).where("hub < top")
-    # a class has as many buckets as there are bands, at most
-    shared = scratch(rows.join(hubs, "bucket").groupBy("h").agg(F.min("hub").alias("near"), F.collect_list("bucket").alias("buckets")), "shared")
-    comps = _connected(shared)
-    members = scratch(classes.join(comps, "h").select("key", "comp", "n", "size", "rep"), "members")
-
-    sizes = members.groupBy("comp").agg(F.greatest(F.ceil(F.count("*") / block_docs), F.ceil(F.sum("size") / block_bytes)).cast("int").alias("parts"))
-    placed = members.join(sizes, "comp").withColumn("part", F.pmod(F.xxhash64("key"), "parts").cast("int"))
-    where = keyed(docs).alias("d")
+    m = classes.join(_meetings(classes, block_docs, block_bytes), "h").select("key", "n", "rep", "block", "others")
     # members grow with the data, so this side is never broadcast
-    m = placed.select("comp", "parts", "part", "key", "n", "rep").hint("merge").alias("m")
-    with_text = where.join(m, F.col("d.doc_id").eqNullSafe(F.col("m.rep.doc_id")) & (F.col("d.th") == F.col("m.rep.th")))
-    pairs = with_text.select("comp", "part", "key", "n", "text", "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select(
-        "comp", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "key", "n", "text"
+    m = scratch(m, "members").hint("merge").alias("m")
+    with_text = keyed(docs).alias("d").join(m, F.col("d.doc_id").eqNullSafe(F.col("m.rep.doc_id")) & (F.col("d.th") == F.col("m.rep.th")))
+    pairs = with_text.select("block", "key", "n", "text", F.explode("others").alias("other")).select(
+        F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "key", "n", "text"
     )
     found = scratch(verified(pairs, width, threshold), "found")
-    # a class of a component in one block has one row; only where a component spans blocks is there more to connect
-    spread = scratch(members.join(sizes.where("parts > 1"), "comp").select("key"), "spread")
-    far = found.join(spread, "key", "left_semi")
-    linked = found.groupBy("key").agg(F.sum("links").alias("links"), F.min("root").alias("root"))
-    if spread.head(1):
-        roots = components(far.select("key", "root"), "key", "root").select(F.col("node").alias("key"), "comp")
-        linked = linked.join(roots, "key", "left").select("key", "links", F.coalesce("comp", "root").alias("root"))
-    linked = classes.join(linked, "key").select("key", "root", "links", "rep")
+    linked = scratch(found.groupBy("key").agg(F.sum("links").alias("links"), F.min("root").alias("root"), F.max("root").alias("top")), "linked")
+    if linked.where("root < top").head(1):  # a class that met several blocks may have several roots
+        ends = found.join(linked.select("key", F.col("root").alias("low")), "key").where("root != low").select("root", "low").distinct()
+        roots = components(ends, "root", "low").select(F.col("node").alias("root"), "comp")
+        linked = linked.join(roots, "root", "left").select("key", "links", F.coalesce("comp", "root").alias("root"))
+    linked = classes.join(linked.select("key", "links", "root"), "key").select("key", "root", "links", "rep")
     heads = linked.groupBy("root").agg(F.min("rep").alias("head"))
     verdicts = classes.select("key", "n", "rep").join(linked.join(heads, "root").select("key", "links", "head"), "key", "left").select(
         "key", F.coalesce("head", "rep").alias("head"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links")
@@ -229,14 +228,15 @@ def jaccard_join(
 
 
 def keep_first(docs: DataFrame, **options) -> DataFrame:
-    """docs with their columns, one document of each class: that with the least doc_id."""
-    found = jaccard_join(docs, **options).where("first").select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.lit(1).alias("__one")).dropDuplicates(["__id", "__th"])
-    held = docs.select("*", F.col("doc_id").cast("long").alias("__id"), F.xxhash64("text").alias("__th"))
+    """docs with their columns, one document of each class: that with the least doc_id. Documents without words stay."""
+    own, th, i, t, words, turn = free_names(docs.columns, "own_id", "own_th", "first_id", "first_th", "has_words", "turn")
+    found = jaccard_join(docs, **options).where("first").select(F.col("doc_id").alias(i), F.col("th").alias(t)).distinct()
+    letters = F.coalesce(F.col("text"), F.lit("")).rlike("[0-9A-Za-z\\x{80}-\\x{10FFFF}]")
+    held = docs.select(*every(docs.columns), F.col("doc_id").cast("long").alias(own), F.xxhash64("text").alias(th), letters.alias(words))
     # the join and the window deal rows out alike: repeated rows lose their second
-    turn = Window.partitionBy("__id", "__th").orderBy(F.lit(1))
-    rows = held.join(found.withColumnRenamed("__id", "__i").withColumnRenamed("__th", "__t"), F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__th") == F.col("__t")), "left_semi")
-    rows = rows.withColumn("__turn", F.row_number().over(turn)).where((F.col("__turn") == 1) | (F.size(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("[0-9A-Za-z\\x{80}-\\x{10FFFF}]"), F.lit(0))) == 0))
-    return rows.select(*docs.columns)
+    rows = held.join(found, F.col(own).eqNullSafe(F.col(i)) & (F.col(th) == F.col(t)), "left_semi")
+    rows = rows.withColumn(turn, F.row_number().over(Window.partitionBy(own, th).orderBy(F.lit(1))))
+    return rows.where((F.col(turn) == 1) | ~F.col(words)).select(*every(docs.columns))
 
 
 def classes_of(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -63,10 +65,13 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
+    """The shared folder for scratch tables. A session that names none gets a folder of its own on a local master, as in
+    tests; on a cluster that is an error, since executors share no other folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = "/tmp/checkpoints"  # only where the session names none, as in tests
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share")
+        base = f"{tempfile.gettempdir()}/ledgerloom-checkpoints"
     return f"{base.rstrip('/')}/ledgerloom"
 
 
@@ -76,6 +81,22 @@ def clear_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free_names(columns: list[str], *names: str) -> list[str]:
+    """Names like these that no column has, whatever its case."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def every(columns: list[str]) -> "list[F.Column]":
+    """The columns by name, dots in names and all."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in columns]
+
+
 def keyed(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id (long), th (hash of the text) and text. Both keys together stand for a row: rows that repeat both are
     the same document and fare alike. Other columns, whatever their names, stay behind."""
