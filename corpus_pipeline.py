@@ -19,7 +19,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def remove_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Deletes blocks of lines that an earlier document has too; documents that lose all their lines so go."""
-    return line_dedup.dedup(docs, drop_emptied=True).select(*docs.columns)
+    return line_dedup.dedup(docs, drop_emptied=True, more=None)
 
 
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
