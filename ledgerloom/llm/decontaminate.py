@@ -1,30 +1,36 @@
 """Benchmark decontamination (2): a generalised suffix automaton over the words of all test items.
 
-The automaton is built on the driver from the items, in blocks of at most `block_words` words (so what is broadcast is
-bounded whatever the benchmark's size; each block is one more pass of the same stream, without a shuffle). Documents
+The automaton is built once, on the driver, from a block of items of at most `block_words` words (a longer item is a
+block of its own), and broadcast: blocks bound what the driver and a task hold, whatever the benchmark's size. Documents
 stream through it word by word; the state and the length of the longest match ending at each word are tracked. Wherever
-a match reaches a window (`width` words, or all words of a shorter item), the words it covers are hit.
+a match reaches a window (`width` words, or all words of a shorter item), the words it covers are hit. A benchmark of
+several blocks is one pass for each, without a shuffle; passes are written to the scratch folder, so one automaton is
+alive at a time, and what counts is the union of the hits of all blocks.
 
-Nulls and empty texts have no words, hence no hits; an item without words has no window. Repeated items each count.
-Repeated rows fare alike. An empty benchmark hits nothing; empty documents give an empty result.
+Nulls and empty texts have no words, hence no hits; an item without words has no window. Items are told apart by their
+ids: rows that repeat one, be their texts alike or not, are one item with the windows of all (a null id is an empty
+one). Repeated rows of documents fare alike. An empty benchmark hits nothing; empty documents give an empty result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm.shared import _CUT, map_batches, texts, words_of
+from ledgerloom.llm.shared import _CUT, every, free_names, map_batches, scratch, texts, words_of
 
 WIDTH = 10
-#: Words of items in one automaton, of about 1 KB each at most.
-BLOCK_WORDS = 100_000
+#: Words of items in one automaton, of about 0.5 KB each at most.
+BLOCK_WORDS = 200_000
 #: Documents of which this share of the words or more is hit are dropped, not cut.
 MAX_COVERAGE = 0.5
 
 
 class Automaton:
-    """Suffix automaton of many word sequences. next, link and length by state; found: what ends in a state."""
+    """Suffix automaton of many word sequences: moves (by state and word), link and length by state; windows and whole:
+    what ends in a state."""
 
     def __init__(self, items: list[tuple[str, list[bytes]]], width: int) -> None:
         self.width = width
@@ -47,14 +53,21 @@ class Automaton:
         for v in order:  # what ends in a state ends in the states of its suffixes
             if self.link[v] > 0:
                 ends[self.link[v]] |= ends[v]
-        #: By state: items whose window of `width` words ends there, when a match is that long.
-        self.windows: list[tuple[int, ...]] = [()] * len(self.next)
-        #: By state: (length, item) of whole short items that end there, the longest last.
-        self.whole: list[list[tuple[int, int]]] = short
+        #: Items whose window of `width` words ends in a state, when a match is that long.
+        self.windows: dict[int, tuple[int, ...]] = {}
+        #: (length, item) of whole short items that end in a state, the longest last.
+        self.whole: dict[int, tuple[tuple[int, int], ...]] = {}
         for v in reversed(order):
             up = self.link[v]
-            self.windows[v] = () if self.length[v] < width else tuple(sorted(ends[v])) if self.length[up] < width else self.windows[up]
-            self.whole[v] = self.whole[up] + sorted(short[v])
+            if self.length[v] >= width:
+                self.windows[v] = tuple(sorted(ends[v])) if self.length[up] < width else self.windows[up]
+            if both := self.whole.get(up, ()) + tuple(sorted(short[v])):
+                self.whole[v] = both
+        #: What is sent: words by number, and one table of moves from state * words + word.
+        self.number = {w: k for k, w in enumerate(sorted({w for moves in self.next for w in moves}))}
+        n = len(self.number)
+        self.moves = {v * n + self.number[w]: to for v, moves in enumerate(self.next) for w, to in moves.items()}
+        del self.next
 
     def _extend(self, last: int, w: bytes, ends: list, short: list) -> int:
         nxt, link, length = self.next, self.link, self.length
@@ -92,20 +105,20 @@ class Automaton:
 
     def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[int]]:
         """Spans of hit words (end exclusive, apart from each other) and the items whose windows occur."""
-        nxt, link, length, whole, windows, width = self.next, self.link, self.length, self.whole, self.windows, self.width
+        move, link, length, whole, windows, width, n_words = self.moves.get, self.link, self.length, self.whole, self.windows, self.width, len(self.number)
         spans: list[list[int]] = []
         seen: set[int] = set()
         items: set[int] = set()
         v = n = 0
-        for i, w in enumerate(words):
-            to = nxt[v].get(w)
+        for i, w in enumerate(map(self.number.get, words)):
+            if w is None:  # in no item
+                v = n = 0
+                continue
+            to = move(v * n_words + w)
             if to is None:
                 while v > 0 and to is None:
                     v = link[v]
-                    to = nxt[v].get(w)
-                if to is None:
-                    v = n = 0
-                    continue
+                    to = move(v * n_words + w)
                 n = length[v]
             v = to
             n += 1
@@ -114,8 +127,8 @@ class Automaton:
                 if v not in seen:
                     seen.add(v)
                     items.update(windows[v])
-                    items.update(k for _, k in whole[v])
-            elif whole[v]:
+                    items.update(k for _, k in whole.get(v, ()))
+            elif v in whole:
                 fit = [(m, k) for m, k in whole[v] if m <= n]
                 if not fit:
                     continue
@@ -129,24 +142,24 @@ class Automaton:
         return [(a, b) for a, b in spans], items
 
 
-def item_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> "list[list[tuple[str, list[bytes]]]]":
-    """Items with words, in blocks of bounded size. They come to the driver one partition at a time."""
-    blocks: list[list[tuple[str, list[bytes]]]] = []
-    size = block_words
+def automatons(benchmark: DataFrame, width: int, block_words: int) -> Iterator[tuple[Automaton, bool]]:
+    """The automaton of each block of items, and whether it is the last; one at least. Items come to the driver one
+    partition at a time, and a block at a time is held."""
+    held: list[tuple[str, list[bytes]]] = []
+    size = 0
     rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"), F.col("text").cast("string").alias("t"))
     for i, t in rows.toLocalIterator():
         if words := words_of(t):
-            if size + len(words) > block_words and size:
-                blocks.append([])
-                size = 0
-            blocks[-1].append((i, words))
+            if held and size + len(words) > block_words:
+                yield Automaton(held, width), False
+                held, size = [], 0
+            held.append((i, words))
             size += len(words)
-    return blocks
+    yield Automaton(held, width), True
 
 
 def find(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_words: int = BLOCK_WORDS) -> DataFrame:
     """doc_id, n_words, spans (array of first and end word, joined over all items) and items (ids as strings)."""
-    spark = docs.sparkSession
     out = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
@@ -154,16 +167,18 @@ def find(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_words:
         F.array().cast("array<string>").alias("items"),
     )
     found = "doc_id long, n_words long, spans array<struct<a:int,b:int>>, items array<string>"
-    blocks = item_blocks(benchmark, block_words) or [[]]
-    for k, items in enumerate(blocks):  # only a further pass needs the texts
-        more = k + 1 < len(blocks)
-        out = map_batches(out, _finder(spark.sparkContext.broadcast(items), width, more), found + ", text string" * more)
+    for automaton, last in automatons(benchmark, width, block_words):  # only a further pass needs the texts
+        sent = docs.sparkSession.sparkContext.broadcast(automaton)
+        out = map_batches(out, _finder(sent, not last), found + ", text string" * (not last))
+        if not last:
+            out = scratch(out, "scanned")
+            sent.destroy()
     return out
 
 
-def _finder(sent, width: int, more: bool):
+def _finder(sent, more: bool):
     def make():
-        automaton = Automaton(sent.value, width)
+        automaton = sent.value
 
         def one(batch: pa.RecordBatch) -> dict:
             old = {n: batch.column(batch.schema.get_field_index(n)) for n in ("doc_id", "spans", "items")}
@@ -210,36 +225,100 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, max_coverage: float = MAX_COVERAGE, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """docs with their columns: texts lose their hit spans, again until none is left (a cut may join the parts of an
-    item); documents of which the items of one block hit `max_coverage` of the words or more go. Texts without hits
-    stay as they are."""
-    at = docs.columns.index("text")
-    for items in item_blocks(benchmark, block_words):
-        docs = docs.mapInArrow(_cutter(docs.sparkSession.sparkContext.broadcast(items), width, max_coverage, at), docs.schema)
-    return docs
+    """docs with their columns: documents of which the items hit `max_coverage` of the words or more go; the others lose
+    their hit spans, again until none is left (a cut may join the parts of an item). Texts without hits stay as they
+    are. All blocks of items are looked at before a document is judged or cut, so `block_words` changes nothing."""
+    spark, names = docs.sparkSession, docs.columns
+    at, size = names.index("text"), len(names)
+    first = automatons(benchmark, width, block_words)
+    automaton, last = next(first)
+    if last:
+        return docs.mapInArrow(_cleaner(spark.sparkContext.broadcast(automaton), max_coverage, at), docs.schema)
+    spans, again = free_names(names, "hit_spans", "was_cut")
+    todo, done, judge = docs.select(*every(names), F.array().cast("array<struct<a:int,b:int>>").alias(spans)), None, True
+    while True:
+        while True:
+            sent = spark.sparkContext.broadcast(automaton)
+            todo = scratch(todo.mapInArrow(_marker(sent, at, size), todo.schema), "marked")
+            sent.destroy()
+            if last:
+                break
+            automaton, last = next(first)
+        schema = todo.withColumn(again, F.lit(True)).schema
+        todo = scratch(todo.mapInArrow(_cutter(max_coverage if judge else None, at, size, schema), schema), "cut")
+        ready = todo.where(~F.col(again)).select(*every(names))
+        done = ready if done is None else done.unionByName(ready)
+        todo = todo.where(F.col(again)).select(*every(names), F.array().cast("array<struct<a:int,b:int>>").alias(spans))
+        if not todo.head(1):
+            return done
+        judge, first = False, automatons(benchmark, width, block_words)
+        automaton, last = next(first)
+
+
+def _cleaner(sent, max_coverage: float, at: int):
+    """One block of items: judged and cut until nothing is hit, in one pass."""
 
-
-def _cutter(sent, width: int, max_coverage: float, at: int):
     def run(batches):
-        automaton = Automaton(sent.value, width)
+        automaton = sent.value
         for batch in batches:
             keep, new = [], []
-            column = batch.column(at)
-            for text in column.to_pylist():
+            for text in batch.column(at).to_pylist():
                 words = words_of(text)
                 spans, _ = automaton.scan(words)
-                keep.append(not spans or sum(b - a for a, b in spans) < max_coverage * len(words))
+                keep.append(not _covered(spans, len(words), max_coverage))
                 while spans and keep[-1]:
                     text = cut(text, spans)
                     spans, _ = automaton.scan(words_of(text))
                 new.append(text)
-            columns = list(batch.columns)
-            columns[at] = pa.array(new, column.type)
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).filter(pa.array(keep, pa.bool_()))
+            yield _with(batch, {at: new}).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def _marker(sent, at: int, size: int):
+    """Adds the spans of one block of items to those of the blocks before."""
+
+    def run(batches):
+        automaton = sent.value
+        for batch in batches:
+            new = []
+            for text, before in zip(batch.column(at).to_pylist(), batch.column(size).to_pylist(), strict=True):
+                spans = automaton.scan(words_of(text))[0] + [(x["a"], x["b"]) for x in before]
+                new.append([{"a": a, "b": b} for a, b in joined(spans)])
+            yield _with(batch, {size: new})
 
     return run
 
 
+def _cutter(max_coverage: float | None, at: int, size: int, schema):
+    """Judges documents by the spans of all blocks (None: they have been judged) and cuts those that stay."""
+
+    def run(batches):
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        arrow = to_arrow_schema(schema)
+        for batch in batches:
+            keep, new, again = [], [], []
+            for text, held in zip(batch.column(at).to_pylist(), batch.column(size).to_pylist(), strict=True):
+                spans = [(x["a"], x["b"]) for x in held]
+                keep.append(max_coverage is None or not _covered(spans, len(words_of(text)), max_coverage))
+                again.append(bool(spans))
+                new.append(cut(text, spans) if spans and keep[-1] else text)
+            columns = [c.cast(f.type) for c, f in zip(_with(batch, {at: new}).columns, arrow, strict=False)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(again, pa.bool_())], schema=arrow).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def _covered(spans: list[tuple[int, int]], n_words: int, max_coverage: float) -> bool:
+    return bool(spans) and sum(b - a for a, b in spans) >= max_coverage * n_words
+
+
+def _with(batch: pa.RecordBatch, new: dict[int, list]) -> pa.RecordBatch:
+    columns = [pa.array(new[k], c.type) if k in new else c for k, c in enumerate(batch.columns)]
+    return pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+
 def digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op2: counts, item digest and verdict for each document."""
     found = find(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
