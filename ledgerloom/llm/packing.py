@@ -5,9 +5,10 @@ of `capacity` ids, the last may be shorter. Null text counts as empty: its one p
 
 Tokenizing is one pass without a shuffle; what it finds of each piece (no ids, unless asked for) goes to the scratch
 folder. Pieces are then dealt by a hash of a row number to shards of bounded tokens and pieces, whose number follows
-the data, and each shard is packed in one task: best fit, longest first, then local search. A shard leaves one
-underfull bin as a rule, one in `SHARD_BINS`. Repeated rows are documents of their own; ties in length are broken by
-order of arrival in the shard.
+the data, and each shard is packed in one task: best fit, longest first, then local search. What local search can't
+empty are a few bins a shard that are far from full: while there are several shards, the pieces of bins filled to `LOOSE`
+or less are taken out of all of them and packed together, in fewer shards each time. Repeated rows are documents of
+their own; ties in length are broken by order of arrival in the shard.
 
 Local search: the emptiest bin gives to fuller ones, by moving a piece, exchanging one for one, two for one or one for
 two, always the exchange that raises the sum of squared fills most, until it is empty or none raises it; then comes
@@ -27,13 +28,15 @@ from itertools import combinations
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm.shared import map_batches, map_groups, scratch
+from ledgerloom.llm.shared import every, free_names, map_batches, map_groups, scratch
 
 CAPACITY = 4096
 END_ID = 1
 #: A shard: bins and pieces at most, about.
 SHARD_BINS = 1024
 SHARD_PIECES = 40_000
+#: Bins of a shard that are no fuller than this share are packed again with those of other shards.
+LOOSE = 0.75
 #: Bytes of a tokenizer file that is broadcast, at most.
 FILE_BYTES = 64 << 20
 
@@ -231,28 +234,50 @@ def _exchanges(given: list, taken: list, room: int) -> list:
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_bins: int = SHARD_BINS, shard_pieces: int = SHARD_PIECES) -> DataFrame:
-    """pieces (a column length, 1 to capacity, and any others) with sequence_id and offset."""
-    rows = scratch(pieces.withColumn("__row", F.monotonically_increasing_id()), "pieces")
-    whole = rows.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("tokens"), F.count("*").alias("n")).head()
-    shards = max(1, -(-whole["tokens"] // (capacity * shard_bins)), -(-whole["n"] // shard_pieces))
+    """pieces (a column length, 1 to capacity, and any others) with sequence_id and offset, under these names (a column
+    of pieces that has one of them goes)."""
+    pieces = pieces.drop("sequence_id", "offset")
     names = pieces.columns
-    dealt = rows.withColumn("__shard", F.pmod(F.xxhash64("__row"), F.lit(shards))).drop("__row")
+    row, shard, loose = free_names(names, "row", "shard", "loose")
+    kinds = ", ".join(f"`{n}` {t}" for n, t in pieces.dtypes)
+    schema = f"{kinds}, sequence_id long, offset long, `{loose}` boolean"
+    rows = scratch(pieces.withColumn(row, F.monotonically_increasing_id()), "pieces")
+    done, level, before = None, 0, None
+    while True:
+        whole = rows.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("tokens"), F.count("*").alias("n")).head()
+        shards = max(1, -(-whole["tokens"] // (capacity * shard_bins)), -(-whole["n"] // shard_pieces))
+        last = shards == 1 or shards == before
+        dealt = rows.withColumn(shard, F.pmod(F.xxhash64(row, F.lit(level)), F.lit(shards))).drop(row)
+        found = map_groups(dealt, [shard], _packer(names, capacity, level, 0 if last else LOOSE * capacity, loose), schema)
+        if last:
+            ready = found.drop(loose)
+            return ready if done is None else done.unionByName(ready)
+        found = scratch(found, "packed")
+        ready = found.where(~F.col(loose)).drop(loose)
+        done = ready if done is None else done.unionByName(ready)
+        rows = scratch(found.where(loose).select(*every(names)).withColumn(row, F.monotonically_increasing_id()), "loose")
+        level, before = level + 1, shards
+
+
+def _packer(names: list[str], capacity: int, level: int, most: float, loose: str):
+    """Packs a shard; `loose` tells the pieces of bins filled to `most` or less. Ids of sequences hold the level, the
+    shard and the bin."""
 
     def one(group: tuple, columns: dict[str, list]) -> dict[str, list]:
         lengths = columns["length"]
-        out: dict[str, list] = {n: [] for n in [*names, "sequence_id", "offset"]}
+        out: dict[str, list] = {n: [] for n in [*names, "sequence_id", "offset", loose]}
         for k, held in enumerate(empty_bins(best_fit(lengths, capacity), lengths, capacity)):
             at = 0
             for i in held:
                 for n in names:
                     out[n].append(columns[n][i])
-                out["sequence_id"].append((group[0] << 32) + k)
+                out["sequence_id"].append((level << 56) + (group[0] << 24) + k)
                 out["offset"].append(at)
                 at += lengths[i]
+            out[loose] += [at <= most] * len(held)
         return out
 
-    kinds = ", ".join(f"`{n}` {t}" for n, t in pieces.dtypes)
-    return map_groups(dealt, ["__shard"], one, f"{kinds}, sequence_id long, offset long")
+    return one
 
 
 def packed(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
