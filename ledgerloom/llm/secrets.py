@@ -3,12 +3,18 @@
 Base kinds, as the contract has them: `assign`, `access` and `hex`. The method's kinds are reported only after the
 candidate decodes and its structure holds all the way through:
 
-- `pem`: an armoured block whose body is base64 of one DER value that fills it (keys and certificates).
-- `der`: a run of base64 or hex, outside armour, whose bytes are a DER sequence: every nested length fits its parent,
-  to the last byte, and the sequence opens like a key (an integer version, or an algorithm identifier).
-- `ssh`: a run of base64 whose bytes are length-prefixed fields that fill it, the first a known key type.
-- `jwt`: three base64url parts, of which the first decodes to a JSON object that names an algorithm and the second to
-  a JSON object.
+- `pem`: an armoured block (line ends may be escaped; header lines of an encrypted key may stand before the body) whose
+  body is base64 of a DER key structure or of an OpenSSH private key.
+- `der`: a run of base64 (either alphabet, wrapped over lines or not) or of hex, outside armour, whose bytes are a DER key
+  structure.
+- `ssh`: a run of base64 whose bytes are length-prefixed fields that fill it, the first a known key type and the others
+  those of that type, or an OpenSSH private key.
+- `jwt`: three base64url parts, of which the first decodes to a JSON object that names an algorithm and the second to a
+  JSON object.
+
+Key structures are read field by field, every nested length to the last byte: RSA, DSA and EC private keys, PKCS#8 keys,
+encrypted or not, and public keys (RSA alone or with an algorithm identifier of a known object identifier). Certificates,
+signatures and other DER values are none.
 
 Spans are code points, end exclusive, ordered by start, then by kind as listed. Null texts count as empty and, like
 empty ones, have no spans. Repeated rows fare alike.
@@ -36,11 +42,40 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ASSIGN_HINT = re.compile(r"passw|secret|token|api_?key", re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,64})-----([A-Za-z0-9+/=\s]*?)-----END \1-----", re.ASCII)
-_RUN = re.compile(r"[A-Za-z0-9+/]{32,}={0,2}")
-_HEX_ANY = re.compile(r"(?:[0-9a-f]{2}){24,}|(?:[0-9A-F]{2}){24,}")
-_JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-_KEY_TYPES = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-nistp256", b"ecdsa-sha2-nistp384", b"ecdsa-sha2-nistp521", b"openssh-key-v1")
+_BREAK = r"(?:\s|\\[rn])"
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,64})-----((?:" + _BREAK + r"|[A-Za-z0-9+/=])*?|" + _BREAK + r"*(?:[A-Za-z-]{1,32}: [^\n\\]{0,200}" + _BREAK + r"+)+(?:" + _BREAK + r"|[A-Za-z0-9+/=])*?)-----END \1-----", re.ASCII)
+_PEM_HEADER = re.compile(r"[A-Za-z-]{1,32}: [^\n\\]{0,200}")
+#: A run of base64 of one alphabet, 32 characters or more; wrapped: full lines of one length and a last one, parted by
+#: line ends, escaped or not.
+_RUN = re.compile(r"[A-Za-z0-9+/_-]{32,}={0,2}")
+_WRAP = re.compile(r"(?:[ \t]*(?:\r?\n|\\r\\n|\\n)[ \t]*)")
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+_HEX_ANY = re.compile(r"[0-9a-f]{48,}|[0-9A-F]{48,}")
+#: The first part of a token is base64url of text that opens with a brace, or with white space before one.
+_JWT = re.compile(r"(?<![A-Za-z0-9_-])(?:e[w-z0-9]|[CID][A-Za-z])[A-Za-z0-9_-]{6,}\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+# Key types of SSH with the number of fields after the type, and object identifiers of key algorithms
+# (RSA, RSA-PSS, DSA, DH, EC, X25519, X448, Ed25519, Ed448) and of encryption (PBES2 and older password schemes).
+_SSH_FIELDS = {
+    b"ssh-rsa": 2, b"ssh-dss": 4, b"ssh-ed25519": 1, b"ecdsa-sha2-nistp256": 2, b"ecdsa-sha2-nistp384": 2, b"ecdsa-sha2-nistp521": 2,
+    b"sk-ssh-ed25519@openssh.com": 2, b"sk-ecdsa-sha2-nistp256@openssh.com": 3,
+}
+_KEY_OIDS = ("1.2.840.113549.1.1.1", "1.2.840.113549.1.1.10", "1.2.840.10040.4.1", "1.2.840.113549.1.3.1", "1.2.840.10045.2.1", "1.3.101.110", "1.3.101.111", "1.3.101.112", "1.3.101.113")
+_SEAL_OIDS = ("1.2.840.113549.1.5.13", "1.2.840.113549.1.5.3", "1.2.840.113549.1.5.10", "1.2.840.113549.1.12.1.1", "1.2.840.113549.1.12.1.3", "1.2.840.113549.1.12.1.6")
+
+
+def _oid(dotted: str) -> bytes:
+    """The content of a DER object identifier."""
+    first, second, *rest = map(int, dotted.split("."))
+    out = b""
+    for n in (40 * first + second, *rest):
+        part = bytes([n & 0x7F])
+        while n := n >> 7:
+            part = bytes([n & 0x7F | 0x80]) + part
+        out += part
+    return out
+
+
+_KEYS, _SEALS = frozenset(map(_oid, _KEY_OIDS)), frozenset(map(_oid, _SEAL_OIDS))
 
 
 def _header(data: bytes, at: int, end: int) -> tuple[int, int, int] | None:
@@ -61,63 +96,109 @@ def _header(data: bytes, at: int, end: int) -> tuple[int, int, int] | None:
     return (tag, at, at + n) if at + n <= end else None
 
 
-def der_fits(data: bytes, depth: int = 12) -> bool:
-    """One sequence that fills the bytes, every nested constructed value filled by its parts. No recursion."""
+def _parts(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | None:
+    """The values that fill the bytes from `at` to `end`; None if they don't."""
+    out = []
+    while at < end:
+        part = _header(data, at, end)
+        if not part:
+            return None
+        out.append(part)
+        at = part[2]
+    return out
+
+
+def _algorithm(data: bytes, part: tuple[int, int, int], known: frozenset) -> bool:
+    """A sequence that begins with a known object identifier."""
+    inner = _parts(data, part[1], part[2]) if part[0] == 0x30 else None
+    return bool(inner) and inner[0][0] == 0x06 and data[inner[0][1] : inner[0][2]] in known
+
+
+def is_key(data: bytes) -> bool:
+    """Whether the bytes are one DER sequence, filled by the fields of a key."""
     top = _header(data, 0, len(data))
-    if not top or top[0] != 0x30 or top[2] != len(data) or top[1] == top[2]:
-        return False
-    first = _header(data, top[1], top[2])
-    if not first or first[0] not in (0x02, 0x30):
+    if not top or top[0] != 0x30 or top[2] != len(data):
         return False
-    if first[0] == 0x02 and not 1 <= first[2] - first[1] <= 20 + 0x400:
+    fields = _parts(data, top[1], top[2])
+    if not fields or len(fields) < 2:
         return False
-    todo = [(top[1], top[2], 1)]
-    parts = 0
-    while todo:
-        at, end, level = todo.pop()
-        while at < end:
-            part = _header(data, at, end)
-            if not part:
-                return False
-            tag, a, b = part
-            parts += 1
-            if tag & 0x20:
-                if level >= depth:
-                    return False
-                todo.append((a, b, level + 1))
-            elif tag & 0xC0 == 0 and (tag & 0x1F not in _UNIVERSAL or tag == 0x02 and a == b or tag == 0x05 and a != b):
-                return False
-            at = b
-    return parts >= 2
-
-
-#: Universal primitive types that keys and certificates are made of.
-_UNIVERSAL = frozenset((0x01, 0x02, 0x03, 0x04, 0x05, 0x06, 0x0A, 0x0C, 0x13, 0x14, 0x16, 0x17, 0x18, 0x1E))
+    kinds = bytes(f[0] for f in fields)
+    content = [data[a:b] for _, a, b in fields]
+    number = lambda k: int.from_bytes(content[k], "big")
+    if kinds[0] == 0x02 and set(kinds) == {0x02}:
+        if any(not c or len(c) > 1 and c[0] == 0 and c[1] < 0x80 or c[0] >= 0x80 for c in content):
+            return False
+        if len(fields) == 9:  # RSA private key: version, modulus, exponents, primes
+            return number(0) == 0 and number(1) == number(4) * number(5)
+        if len(fields) == 6:  # DSA private key: version, p, q, g, public, private
+            return number(0) == 0 and number(1) > number(2) > number(5) and (number(1) - 1) % max(1, number(2)) == 0
+        # RSA public key: an odd modulus of 512 bits or more, and a small odd exponent
+        return len(fields) == 2 and number(0).bit_length() >= 512 and number(0) % 2 == 1 and 3 <= number(1) < 1 << 64 and number(1) % 2 == 1
+    if kinds[:2] == b"\x02\x04" and content[0] == b"\x01":  # EC private key: version 1, number, curve and point
+        return 14 <= len(content[1]) <= 72 and all(k in (0xA0, 0xA1) for k in kinds[2:]) and len(fields) <= 4
+    if kinds[:3] == b"\x02\x30\x04" and content[0] in (b"\0", b"\x01"):  # PKCS#8
+        return bool(content[2]) and _algorithm(data, fields[1], _KEYS) and all(k in (0xA0, 0xA1, 0x81) for k in kinds[3:])
+    if kinds == b"\x30\x04":  # PKCS#8, encrypted
+        return len(content[1]) >= 8 and _algorithm(data, fields[0], _SEALS)
+    # public key with its algorithm: a bit string without unused bits
+    return kinds == b"\x30\x03" and len(content[1]) > 16 and content[1][0] == 0 and _algorithm(data, fields[0], _KEYS)
 
 
 def ssh_fits(data: bytes) -> bool:
-    if data.startswith(b"openssh-key-v1\0"):
-        return len(data) >= 23 and int.from_bytes(data[15:19], "big") + 19 <= len(data)
-    at, fields = 0, 0
+    """A public key that its type's fields fill, or an OpenSSH private key whose fields fill it."""
+    private = data.startswith(b"openssh-key-v1\0")
+    at, fields = 15 if private else 0, []
     while at + 4 <= len(data):
+        if private and len(fields) == 3:  # the number of keys stands between the options and the keys
+            n_keys = int.from_bytes(data[at : at + 4], "big")
+            fields.append(n_keys)
+            at += 4
+            continue
         n = int.from_bytes(data[at : at + 4], "big")
-        if at + 4 + n > len(data) or (fields == 0 and data[at + 4 : at + 4 + n] not in _KEY_TYPES):
+        if at + 4 + n > len(data) or (not private and not fields and data[at + 4 : at + 4 + n] not in _SSH_FIELDS):
             return False
+        fields.append(data[at + 4 : at + 4 + n])
         at += 4 + n
-        fields += 1
-    return at == len(data) and fields >= 2
+    if at != len(data):
+        return False
+    if private:  # cipher, derivation, its options, number of keys, public keys, and what is secret
+        return len(fields) >= 6 and 1 <= fields[3] <= 64 and len(fields) == 5 + fields[3]
+    return len(fields) >= 2 and len(fields) - 1 == _SSH_FIELDS[fields[0]] and all(fields)
 
 
 def _decode(text: str) -> bytes | None:
+    """Bytes of base64 of one alphabet, whatever its padding."""
     body = text.rstrip("=")
     if len(body) % 4 == 1:
         return None
+    if "-" in body or "_" in body:
+        if "+" in body or "/" in body:
+            return None
+        body = body.translate(_STANDARD)
     try:
         return base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
     except (binascii.Error, ValueError):
         return None
 
 
+_STANDARD = str.maketrans("-_", "+/")
+
+
+def _wrapped(text: str, m: re.Match) -> list[tuple[str, int]]:
+    """(body, end) of what begins at the run m: the run alone, and with the lines of its length that follow it."""
+    body, end = m[0], m.end()
+    out = [(body, end)]
+    wide = len(body)
+    while not body.endswith("=") and (gap := _WRAP.match(text, end)) and (line := _LINE.match(text, gap.end())) and len(line[0]) <= wide:
+        body += line[0]
+        end = line.end()
+        if len(line[0]) < wide or body.endswith("="):
+            break
+    if end != m.end():
+        out.append((body, end))
+    return out
+
+
 def _json_part(text: str) -> dict | None:
     try:
         value = json.loads(base64.urlsafe_b64decode(text + "=" * (-len(text) % 4)))
@@ -126,27 +207,46 @@ def _json_part(text: str) -> dict | None:
     return value if isinstance(value, dict) else None
 
 
+def _armoured(text: str) -> list[tuple[int, int]]:
+    out = []
+    for m in _PEM.finditer(text):
+        body = re.sub(_BREAK, "", _PEM_HEADER.sub("", m[2]))
+        sealed = body != re.sub(_BREAK, "", m[2])  # header lines: the body is ciphertext, so only its alphabet shows
+        data = _decode(body)
+        if data and (is_key(data) or ssh_fits(data) or sealed and "PRIVATE KEY" in m[1] and "Proc-Type: 4,ENCRYPTED" in m[2] and len(data) % 8 == 0):
+            out.append(m.span())
+    return out
+
+
 def confirmed(text: str) -> list[tuple[str, int, int]]:
     """Spans of the method's kinds."""
-    out = []
-    armour = []
-    if "-----BEGIN " in text:
-        for m in _PEM.finditer(text):
-            data = _decode(re.sub(r"\s", "", m[2]))
-            if data and (der_fits(data) or ssh_fits(data)):
-                out.append(("pem", m.start(), m.end()))
-                armour.append(m.span())
-    outside = lambda m: not any(a <= m.start() < b for a, b in armour)
+    armour = _armoured(text) if "-----BEGIN " in text else []
+    out = [("pem", a, b) for a, b in armour]
+    outside = lambda at: not any(a <= at < b for a, b in armour)
+    done = seen = 0
     for m in _RUN.finditer(text):
-        # a key opens with a sequence (M) or with the length of its type (AAAA); hex is looked at below
-        if m[0][0] == "M" and outside(m) and (data := _decode(m[0])) and der_fits(data):
-            out.append(("der", *m.span()))
-        elif m[0].startswith(("AAAA", "b3BlbnNzaC1rZXktdjE")) and outside(m) and (data := _decode(m[0])) and ssh_fits(data):
-            out.append(("ssh", *m.span()))
+        # a key opens with a sequence (M) or with the length of its type (AAAA); what stands before it may be its name
+        first = m[0][0]
+        if m.start() < done or first != "M" and not m[0].startswith(("AAAA", "b3BlbnNzaC1rZXktdjE")) or not outside(m.start()):
+            continue
+        kind, fits = ("der", is_key) if first == "M" else ("ssh", ssh_fits)
+        # lines are joined from the first that could be a key's, so a block of lines is walked once
+        candidates = _wrapped(text, m) if m.start() >= seen else [(m[0], m.end())]
+        seen = max(seen, candidates[-1][1])
+        for body, end in candidates:
+            if (data := _decode(body)) and fits(data):
+                out.append((kind, m.start(), end))
+                done = end
+                break
     for m in _HEX_ANY.finditer(text):
-        if m[0].startswith("30") and der_fits(bytes.fromhex(m[0])):
-            out.append(("der", *m.span()))
-    if "eyJ" in text:
+        at = m[0].find("30")
+        while 0 <= at <= 1:  # a key begins with the run or, at an odd place, after a character that isn't its own
+            body = m[0][at : len(m[0]) - (len(m[0]) - at) % 2]
+            if is_key(bytes.fromhex(body)):
+                out.append(("der", m.start() + at, m.start() + at + len(body)))
+                break
+            at = m[0].find("30", at + 1)
+    if "." in text:
         for m in _JWT.finditer(text):
             head, body, _ = m[0].split(".")
             claims = _json_part(head)
