@@ -1,14 +1,15 @@
 """Toxicity (7): a weighted lexicon matched by Aho-Corasick on folded text, normalised by length.
 
-Folding: homoglyphs and accented letters become the plain letter, digits and signs that stand for letters inside a word
-become those letters, invisible characters go, case goes, and what is no letter becomes a space. A lexicon entry is a
+Folding: homoglyphs and accented letters become the plain letter, invisible characters go, case goes; in a word with two
+letters or more (or one, and two signs) digits and signs that stand for letters become those letters, wherever in the
+word they stand (`!` and `|` not at its end), and three or more of one sign count as one; what is no letter then becomes a space. A lexicon entry is a
 word or the beginning of words; of the entries that match a word the heaviest counts. A word inside an exception phrase
 (an entry's word with the word after it) doesn't count. The sum of weights over the number of words goes through a
 fitted logistic curve.
 
 The lexicon, the exceptions and the curve are learned from labelled documents of the training fold: `toxic_rows` toxic
 and `clean_rows` other ones at most, in the order of a hash of their ids. One half of them gives entries and
-exceptions, the other half the curve. A document with several labels is toxic if one says so; null labels and ids are
+exceptions, all that reach the least counts and weight, the other half the curve. A document with several labels is toxic if one says so; null labels and ids are
 left out. Null and empty texts have no words and the curve's lowest score. Repeated rows fare alike.
 """
 
@@ -28,9 +29,6 @@ from ledgerloom.llm.shared import fold, map_batches, sampled, scratch
 #: Bounds of the labelled sample.
 TOXIC_ROWS = 4000
 CLEAN_ROWS = 8000
-#: Entries and exceptions at most, the best first.
-MAX_ENTRIES = 4000
-MAX_EXCEPTIONS = 4000
 #: An entry is in so many toxic documents, and such a share of them, at least, and e**MIN_WEIGHT times as frequent among their words as among those of others.
 MIN_DOCS = 3
 MIN_SHARE = 0.015
@@ -52,7 +50,18 @@ _LOOKALIKES = {
 _INVISIBLE = "­​‌‍⁠﻿"
 #: Digits and signs that stand for letters.
 _LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i", "|": "l"}
-_SIGNS = re.compile(r"(?<=[a-z])[0134578@$!|]{1,2}(?=[a-z])|(?<![a-z0-9@$!|])[0134578@$](?=[a-z]{2})")
+_TOKEN = re.compile(r"[a-z0134578@$!|]*[0134578@$!|][a-z0134578@$!|]*")
+_RUN = re.compile(r"([0134578@$!|])\1{2,}")
+_LOOSE = re.compile(r"[!|]+(?![a-z0134578@$])")
+
+
+def _unsigned(m: re.Match) -> str:
+    """A token with signs: letters for them if it has two letters or more, or one and two signs that are no digits."""
+    word = _RUN.sub(r"\1", _LOOSE.sub(" ", m[0]))
+    letters, digits = sum(map(str.isalpha, word)), sum(map(str.isdigit, word))
+    if not letters or letters < 2 and len(word.rstrip()) - letters - digits < 2:
+        return word
+    return "".join(_LEET.get(c, c) for c in word)
 
 
 def _table() -> dict[int, str]:
@@ -78,7 +87,7 @@ def folded(text: str | None) -> str:
     if not text:
         return " "
     text = text.translate(_FOLD) if not text.isascii() else text
-    text = _SIGNS.sub(lambda m: "".join(map(_LEET.__getitem__, m[0])), text.lower())
+    text = _TOKEN.sub(_unsigned, text.lower())
     words = text.encode().translate(_FLAT).split()
     return f" {b' '.join(words).decode()} " if words else " "
 
@@ -180,12 +189,12 @@ def learn(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clea
     weight = F.log((F.col("ft") / n_t + RARE_SHARE + DOC_SHARE / n_t) / (F.col("fc") / n_c + RARE_SHARE + DOC_SHARE / n_t))
     least = max(MIN_DOCS, round(MIN_SHARE * n_t))
     best = _counted(first, _features).where((F.col("t") >= least) & (weight >= MIN_WEIGHT)).withColumn("w", weight)
-    found = {r["feature"]: r["w"] for r in best.orderBy(F.desc(F.col("w") * F.log1p("t")), "feature").limit(MAX_ENTRIES).collect()}
+    found = {r["feature"]: r["w"] for r in best.orderBy("feature").collect()}  # from the sample, so bounded by it
     # an entry that a shorter one says as well is left out
     model.entries = {
         e: w for e, w in found.items() if not any(w - 0.3 <= found.get(e[:n], -1) for n in range(5, len(e)))
     }
-    benign = _counted(first, _Phrases(model)).where("t = 0 AND c >= 2").orderBy(F.desc("c"), "feature").limit(MAX_EXCEPTIONS)
+    benign = _counted(first, _Phrases(model)).where("t = 0 AND c >= 2").orderBy("feature")
     model.exceptions = tuple(r["feature"] for r in benign.collect())
     points = density(second, model, "toxic").collect()
     if len({p["toxic"] for p in points}) == 2:
@@ -224,7 +233,7 @@ def _fit(density_: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def density(docs: DataFrame, model: Model, *more: str) -> DataFrame:
     """doc_id, density of each row of docs (and more columns of integers)."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # MAX_ENTRIES and MAX_EXCEPTIONS bound it
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # entries and exceptions of the bounded sample
 
     def make():
         scorer = Scorer(sent.value)
