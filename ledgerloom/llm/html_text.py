@@ -3,12 +3,16 @@
 parse() builds the tree of a whole page: end tags that HTML lets authors leave out are implied (paragraphs, list items,
 table parts, options), rows and bodies that a cell or row needs are added, what stands in a table outside its cells
 moves before the table, raw text elements end at their own end tag, and a tag cut off by the end of the page goes.
-render() walks the tree without recursion and writes the text that is visible: elements that are never shown, or are
-hidden by an attribute, by inline style or by a simple rule (tag, .class or #id) of the page's own style sheets, go.
+render() walks the tree without recursion and writes the text that is visible: elements that are never shown go, and
+those that `display` or `visibility` hides. These come from the `hidden` attribute, the page's own style sheets (rules of
+tags, classes, ids and attributes, as descendants or children too; the most specific wins, then the last, `!important`
+before all; of @media only what holds on a screen) and inline style. Rules with other selectors, as :hover, don't count.
 White space collapses outside preformatted text. Paragraphs, headings, lists, quotes and tables are parted by a blank
 line, other blocks by a line break. List items carry their bullet or number, indented by depth. Cells of a table stand
-in columns as wide as their longest line; a cell that spans columns takes their width, one that spans rows leaves its
-column blank below.
+in columns as wide as their longest line, lines of more than `WIDEST` characters aside, which push what follows them to
+the right; a cell that spans columns takes their width, one that spans rows leaves its column blank below.
+
+A tag costs no more the deeper it stands: open elements are looked up by name. Text of math and of SVG is shown.
 
 Null and empty pages give an empty text. Repeated rows fare alike. Other columns stay behind.
 """
@@ -17,6 +21,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -27,7 +32,7 @@ _words = str.split
 #: Classes of elements.
 VOID = frozenset(_words("area base br col embed hr img input link meta param source track wbr"))
 RAW = frozenset(_words("script style textarea title noscript iframe noembed noframes xmp"))
-UNSEEN = frozenset(_words("head script style title noscript iframe noembed noframes template datalist audio video canvas object meta link base area param source track svg math"))
+UNSEEN = frozenset(_words("head script style title noscript iframe noembed noframes template datalist audio video canvas object meta link base area param source track desc defs metadata symbol clippath mask marker pattern annotation annotation-xml"))
 SPACED = frozenset(_words("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure fieldset hr menu"))
 BLOCK = SPACED | frozenset(_words("address article aside body center dd details dialog dir div dt figcaption footer form header hgroup html legend li main nav section summary optgroup option search"))
 LISTS = frozenset(("ul", "ol", "menu", "dir"))
@@ -49,6 +54,9 @@ _IMPLIED |= {
 }
 _IMPLIED |= {"dd": _IMPLIED["dt"], "th": _IMPLIED["td"], "thead": _IMPLIED["tbody"], "tfoot": _IMPLIED["tbody"]}
 
+#: Longest line of a cell that widens its column.
+WIDEST = 200
+
 _OPEN = re.compile(r"<(?:!--|([a-zA-Z][^\s/>]*)|/([a-zA-Z][^\s/>]*)|[!?/])")
 _ATTRIBUTE = re.compile(r"""[\s/]*(?:(>)|([^\s/>=][^\s/>=]*|=[^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*)|(?=>)))?)""")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
@@ -76,45 +84,72 @@ def _attributes(page: str, at: int) -> tuple[dict[str, str], int]:
         out.setdefault(m[2].lower(), html.unescape(value) if value else "")
 
 
+class Open:
+    """The open elements, and their places by tag."""
+
+    def __init__(self, root: Node) -> None:
+        self.stack = [root]
+        self.places: dict[str, list[int]] = {}
+
+    @property
+    def here(self) -> Node:
+        return self.stack[-1]
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.stack))
+        self.stack.append(node)
+
+    def cut(self, place: int) -> None:
+        """Closes the element at a place and all in it."""
+        while len(self.stack) > place:
+            self.places[self.stack.pop().tag].pop()
+
+    def last(self, tags) -> int:
+        """The place of the innermost open element of these tags; 0 if there is none."""
+        return max((own[-1] for t in tags if (own := self.places.get(t))), default=0)
+
+    def close(self, tags, scope) -> None:
+        """Closes the outermost element of `tags` inside the innermost of `scope`."""
+        top = self.last(scope)
+        first = [own[k] for t in tags if (own := self.places.get(t)) and (k := bisect_right(own, top)) < len(own)]
+        if first:
+            self.cut(min(first))
+
+
+_ROW_OR_ABOVE = _BODIES | {"table", "tr"}
+_LOOSE = _ROW_OR_ABOVE
+
+
 def parse(page: str) -> Node:
     root = Node("html", {}, None)
-    here = root
+    open_ = Open(root)
     at, end = 0, len(page)
 
-    def close(tags: frozenset, scope: frozenset) -> None:
-        nonlocal here
-        node = here
-        while node is not root and node.tag not in scope:
-            if node.tag in tags:
-                here = node.parent
-            node = node.parent
-
     def add(tag: str, attributes: dict[str, str]) -> Node:
-        node = Node(tag, attributes, here)
-        here.children.append(node)
+        node = Node(tag, attributes, open_.here)
+        open_.here.children.append(node)
         return node
 
     def beside(child: "Node | str") -> None:
-        """In a table outside its cells: before the table."""
-        table = here
-        while table.tag != "table":
-            table = table.parent
+        """In a table outside its cells: before the table, or in what has been put there last and is still open."""
+        table = open_.stack[open_.last(("table",))]
         where = table.parent.children
-        where.insert(len(where) - 1, child)  # an open table is its parent's last child
+        k = len(where) - 1  # an open table is its parent's last child
+        while where[k] is not table:
+            k -= 1
+        where.insert(k, child)
         if isinstance(child, Node):
             child.parent = table.parent
 
-    loose = lambda: here.tag == "table" or here.tag in _BODIES or here.tag == "tr"
-
     def text(data: str) -> None:
         if not data:
             return
         data = html.unescape(data) if "&" in data else data
-        if loose():
+        if open_.here.tag in _LOOSE:
             if data.strip():
                 beside(data)
         else:
-            here.children.append(data)
+            open_.here.children.append(data)
 
     while at < end:
         m = _OPEN.search(page, at)
@@ -131,30 +166,27 @@ def parse(page: str) -> Node:
             if tag in ("html", "body"):
                 root.attributes |= {k: v for k, v in attributes.items() if k not in root.attributes}
                 if tag == "body":
-                    close(frozenset(("head",)), frozenset())
+                    open_.close(("head",), ())
                 continue
-            if here.tag == "head" and tag not in UNSEEN:
-                close(frozenset(("head",)), frozenset())  # the head ends where something to show begins
+            if open_.here.tag == "head" and tag not in UNSEEN:
+                open_.close(("head",), ())  # the head ends where something to show begins
             if tag in _IMPLIED:
-                close(*_IMPLIED[tag])
+                open_.close(*_IMPLIED[tag])
             if tag in _TABLE_PARTS:
-                inside = here
-                while inside is not root and inside.tag != "table":
-                    inside = inside.parent
-                if inside is root:
+                table = open_.last(("table",))
+                if not table:
                     continue  # a part without a table is no element
                 if tag == "tr" or tag in _CELLS:
-                    while here.tag not in ("table", "tr") and here.tag not in _BODIES:
-                        here = here.parent
-                    if here.tag == "table":
-                        here = add("tbody", {})
-                    if tag in _CELLS and here.tag != "tr":
-                        here = add("tr", {})
-                elif here.tag != "table":
-                    here = inside
+                    open_.cut(open_.last(_ROW_OR_ABOVE) + 1)
+                    if open_.here.tag == "table":
+                        open_.push(add("tbody", {}))
+                    if tag in _CELLS and open_.here.tag != "tr":
+                        open_.push(add("tr", {}))
+                else:
+                    open_.cut(table + 1)
                 node = add(tag, attributes)
-            elif loose() and tag not in ("script", "style", "template"):
-                node = Node(tag, attributes, here)
+            elif open_.here.tag in _LOOSE and tag not in ("script", "style", "template"):
+                node = Node(tag, attributes, open_.here)
                 beside(node)
             else:
                 node = add(tag, attributes)
@@ -169,7 +201,7 @@ def parse(page: str) -> Node:
                 gone = page.find(">", stop.end())
                 at = gone + 1 if gone >= 0 else end
                 continue
-            here = node
+            open_.push(node)
         elif m[2]:
             tag = m[2].lower()
             gone = page.find(">", at)
@@ -179,12 +211,11 @@ def parse(page: str) -> Node:
             if tag == "br":
                 add("br", {})
                 continue
-            node = here
             # an end tag inside a cell doesn't close what the cell stands in, unless it is a table's
-            while node is not root and node.tag != tag and not (node.tag in _CELLS and tag not in _TABLE_PARTS and tag != "table"):
-                node = node.parent
-            if node is not root and node.tag == tag:
-                here = node.parent
+            wall = 0 if tag in _TABLE_PARTS or tag == "table" else open_.last(_CELLS)
+            place = open_.last((tag,))
+            if place > wall:
+                open_.cut(place)
             elif tag == "p":
                 add("p", {})
         elif page.startswith("<!--", m.start()):
@@ -196,52 +227,168 @@ def parse(page: str) -> Node:
     return root
 
 
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-_NONE = re.compile(r"display\s*:\s*none")
-_HIDDEN = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)")
-_SELECTOR = re.compile(r"([a-z][a-z0-9]*)?(?:([.#])([\w-]+))?")
+_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.DOTALL)
+_DECLARATION = re.compile(r"(?:^|[;\s])(display|visibility)\s*:\s*([a-z-]+)[^;!]*(!\s*important)?", re.IGNORECASE)
+_SIMPLE = re.compile(r"""([.#]?)((?:[\w-]|[^\x00-\x7f])+)|\[\s*([\w-]+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([\w-]+))\s*)?\]|(\*)""")
+_SCREEN = re.compile(r"\b(?:screen|all)\b")
+_MEDIUM = re.compile(r"\b(?:print|speech|tty|tv|projection|handheld|braille|embossed|aural)\b")
 
+#: What a compound selector asks for: (kind, name, value) of a tag, class, id or attribute.
+Compound = tuple[tuple[str, str, str | None], ...]
+
+
+def _declared(body: str) -> list[tuple[str, str, bool]]:
+    """property, value, important."""
+    return [(m[1].lower(), m[2].lower(), bool(m[3])) for m in _DECLARATION.finditer(body)]
 
-def hiding(root: Node) -> dict[str, str]:
-    """Selector ("tag", ".class", "#id", or a tag before one) -> "none", "hidden" or "visible", from style elements."""
-    out: dict[str, str] = {}
-    todo: list[Node] = [root]
-    while todo:
-        node = todo.pop()
-        if node.tag == "style":
-            for m in _RULE.finditer(re.sub(r"/\*.*?\*/", "", "".join(map(str, node.children)), flags=re.DOTALL)):
-                body = m[2].lower()
-                v = _HIDDEN.search(body)
-                what = "none" if _NONE.search(body) else ("visible" if v[1] == "visible" else "hidden") if v else None
-                if what:
-                    for selector in m[1].split(","):
-                        if (selector := selector.strip()) and _SELECTOR.fullmatch(selector):
-                            out[selector] = what
-        else:
-            todo += [c for c in node.children if isinstance(c, Node)]
-    return out
 
+def _on_screen(query: str) -> bool:
+    """Whether one of the media is a screen's. Conditions on sizes are taken to hold."""
+    media = [q.strip().lower() for q in query.split(",")]
+    return any((q.startswith("not ") and bool(_MEDIUM.search(q))) or (not q.startswith("not ") and (bool(_SCREEN.search(q)) or not _MEDIUM.search(q))) for q in media)
 
-def _shown(node: Node, rules: dict[str, str], seen: bool) -> bool | None:
+
+def _compound(text: str) -> Compound | None:
+    out, at = [], 0
+    while at < len(text):
+        m = _SIMPLE.match(text, at)
+        if not m:
+            return None
+        if m[2]:
+            kind = {".": "class", "#": "id", "": "tag"}[m[1]]
+            if kind == "tag" and at:
+                return None
+            out.append((kind, m[2].lower() if kind == "tag" else m[2], None))
+        elif m[3]:
+            value = next((v for v in (m[4], m[5], m[6]) if v is not None), None)
+            out.append(("attribute", m[3].lower(), value))
+        at = m.end()
+    return tuple(out)
+
+
+def _selector(text: str) -> list[tuple[str, Compound]] | None:
+    """Compounds from the last to the first, each with how it stands to the one before (" " or ">")."""
+    out: list[tuple[str, Compound]] = []
+    how = ""
+    for word in reversed(re.sub(r"\s*>\s*", " > ", text.strip()).split()):
+        if word == ">":
+            how = ">"
+            continue
+        one = _compound(word)
+        if one is None:
+            return None
+        out.append((how or " ", one))
+        how = ""
+    return out or None
+
+
+class Styles:
+    """The rules of a page that set display or visibility, by what their last compound asks for."""
+
+    def __init__(self, root: Node) -> None:
+        self.rules: dict[tuple, list] = {}
+        self.order = 0
+        todo: list[Node] = [root]
+        while todo:
+            node = todo.pop()
+            if node.tag == "style":
+                if _on_screen(node.attributes.get("media", "")):
+                    self._read(_COMMENT.sub(" ", "".join(map(str, node.children))))
+            else:
+                todo += [c for c in reversed(node.children) if isinstance(c, Node)]
+
+    def _read(self, css: str) -> None:
+        at, depth, start = 0, [], 0  # depth: whether what stands inside each open at-rule counts
+        for m in re.finditer(r"[{};]", css):
+            if m.start() < at:
+                continue
+            head = css[start : m.start()].strip()
+            if m[0] == "}":
+                depth = depth[:-1]
+            elif m[0] == "{" and head.startswith("@"):
+                name, _, query = head[1:].partition(" ")
+                depth.append((not depth or depth[-1]) and (name.lower() in ("supports", "layer", "container") or name.lower().startswith("media") and _on_screen(head[6:])))
+            elif m[0] == "{":
+                at = css.find("}", m.end())
+                at = len(css) if at < 0 else at + 1
+                if not depth or depth[-1]:
+                    self._add(head, css[m.end() : at - 1 if css[at - 1 : at] == "}" else at])
+                start = at
+                continue
+            start = m.end()
+
+    def _add(self, selectors: str, body: str) -> None:
+        found = _declared(body)
+        for text in selectors.split(",") if found else ():
+            if not (path := _selector(text)):
+                continue
+            kinds = [kind for _, one in path for kind, _, _ in one]
+            weight = (kinds.count("id"), kinds.count("class") + kinds.count("attribute"), kinds.count("tag"))
+            last = path[0][1]
+            key = next((x for kind in ("id", "class", "tag") for x in last if x[0] == kind), ("any", "", None))
+            for name, value, important in found:
+                self.order += 1
+                self.rules.setdefault(key, []).append((name, value, (important, 0, *weight, self.order), path))
+
+    def of(self, node: Node) -> dict[str, str]:
+        """display and visibility as declared for a node."""
+        a, best = node.attributes, {}
+        if self.rules:
+            keys = [("any", "", None), ("tag", node.tag, None), ("id", a.get("id", ""), None)]
+            keys += [("class", c, None) for c in set(a.get("class", "").split())]
+            for key in keys:
+                for name, value, weight, path in self.rules.get(key, ()):
+                    if (name not in best or weight > best[name][0]) and _matches(node, path):
+                        best[name] = (weight, value)
+        for name, value, important in _declared(a["style"]) if a.get("style") else ():
+            weight = (important, 1, 0, 0, 0, 0)
+            if name not in best or weight >= best[name][0]:
+                best[name] = (weight, value)
+        return {name: value for name, (_, value) in best.items()}
+
+
+def _is(node: Node, one: Compound) -> bool:
+    a = node.attributes
+    for kind, name, value in one:
+        if kind == "tag":
+            fits = node.tag == name
+        elif kind == "class":
+            fits = name in a.get("class", "").split()
+        elif kind == "id":
+            fits = a.get("id") == name
+        else:
+            fits = name in a and (value is None or a[name] == value)
+        if not fits:
+            return False
+    return True
+
+
+def _matches(node: Node, path: list[tuple[str, Compound]]) -> bool:
+    """The ancestors that may stand for the compounds so far are kept as one set a compound, so nothing is tried twice."""
+    if not _is(node, path[0][1]):
+        return False
+    at: set[int] = {0}
+    line = [node]
+    while line[-1].parent and len(path) > 1:
+        line.append(line[-1].parent)
+    for how, one in path[1:]:
+        places = {k + 1 for k in at} if how == ">" else range(min(at) + 1, len(line))
+        at = {k for k in places if k < len(line) and _is(line[k], one)}
+        if not at:
+            return False
+    return True
+
+
+def _shown(node: Node, styles: Styles, seen: bool) -> bool | None:
     """None: not there at all. Else whether text in it is visible, given what holds around it."""
     a, tag = node.attributes, node.tag
-    if tag in UNSEEN or "hidden" in a or tag == "dialog" and "open" not in a:
+    if tag in UNSEEN:
         return None
-    if rules:
-        names = [tag]
-        for mark, key in ((".", "class"), ("#", "id")):
-            for name in a.get(key, "").split():
-                names += [f"{mark}{name}", f"{tag}{mark}{name}"]
-        for name in names:
-            what = rules.get(name)
-            if what == "none":
-                return None
-            seen = what == "visible" if what else seen
-    if style := a.get("style", "").lower():
-        if _NONE.search(style):
-            return None
-        if v := _HIDDEN.search(style):
-            seen = v[1] == "visible"
+    own = styles.of(node)
+    display = own.get("display", "none" if "hidden" in a or tag == "dialog" and "open" not in a else "")
+    if display == "none":
+        return None
+    seen = {"visible": True, "hidden": False, "collapse": False}.get(own.get("visibility", ""), seen)
     parent = node.parent
     if parent and parent.tag == "details" and "open" not in parent.attributes and tag != "summary":
         return None
@@ -321,23 +468,23 @@ def _columns(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
     for placed in grid:
         for at, (lines, wide) in placed.items():
             if wide == 1:
-                width[at] = max(width.get(at, 0), *map(len, lines), 0)
+                width[at] = max([width.get(at, 0), *(len(x) for x in lines if len(x) <= WIDEST)])
     for placed in grid:
         for at, (lines, wide) in placed.items():
             if wide > 1:
                 have = sum(width.get(c, 0) for c in range(at, at + wide)) + 2 * (wide - 1)
-                width[at + wide - 1] = width.get(at + wide - 1, 0) + max(0, max(map(len, lines), default=0) - have)
+                width[at + wide - 1] = width.get(at + wide - 1, 0) + max(0, max((len(x) for x in lines if len(x) <= WIDEST), default=0) - have)
     start, x = {}, 0
     for c in range(max(width, default=-1) + 1):
         start[c] = x
-        x += width.get(c, 0) + 2
+        x += width[c] + 2 if width.get(c) else 0
     out = []
     for placed in grid:
         for k in range(max((len(lines) for lines, _ in placed.values()), default=0)):
             line = ""
             for at, (lines, _) in sorted(placed.items()):
                 if k < len(lines) and lines[k]:
-                    line = line.ljust(start[at]) + lines[k]
+                    line = (line.ljust(start[at]) if len(line) <= start[at] else line + "  ") + lines[k]
             out.append(line.rstrip())
     return out
 
@@ -348,7 +495,7 @@ def _number(text: str | None, default: int, least: int, most: int) -> int:
 
 
 def render(root: Node) -> str:
-    rules = hiding(root)
+    rules = Styles(root)
     sinks = [Sink()]
     tables: list[list] = []  # rows of each open table
     lists: list[list] = []  # [kind, next number, step] of each open list
