@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm.shared import _CUT, every, free_names, map_batches, scratch, texts, words_of
+from ledgerloom.llm.shared import _CUT, every, free_names, map_batches, map_rows, scratch, texts, words_of
 
 WIDTH = 10
 #: Words of items in one automaton, of about 0.5 KB each at most.
@@ -233,19 +233,19 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, max
     first = automatons(benchmark, width, block_words)
     automaton, last = next(first)
     if last:
-        return docs.mapInArrow(_cleaner(spark.sparkContext.broadcast(automaton), max_coverage, at), docs.schema)
+        return map_rows(docs, _cleaner(spark.sparkContext.broadcast(automaton), max_coverage, at), docs.schema)
     spans, again = free_names(names, "hit_spans", "was_cut")
     todo, done, judge = docs.select(*every(names), F.array().cast("array<struct<a:int,b:int>>").alias(spans)), None, True
     while True:
         while True:
             sent = spark.sparkContext.broadcast(automaton)
-            todo = scratch(todo.mapInArrow(_marker(sent, at, size), todo.schema), "marked")
+            todo = scratch(map_rows(todo, _marker(sent, at, size), todo.schema), "marked")
             sent.destroy()
             if last:
                 break
             automaton, last = next(first)
         schema = todo.withColumn(again, F.lit(True)).schema
-        todo = scratch(todo.mapInArrow(_cutter(max_coverage if judge else None, at, size, schema), schema), "cut")
+        todo = scratch(map_rows(todo, _cutter(max_coverage if judge else None, at, size, schema), schema), "cut")
         ready = todo.where(~F.col(again)).select(*every(names))
         done = ready if done is None else done.unionByName(ready)
         todo = todo.where(F.col(again)).select(*every(names), F.array().cast("array<struct<a:int,b:int>>").alias(spans))

@@ -24,7 +24,7 @@ import pyarrow as pa
 import zstandard as zstd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm.shared import fold, map_batches, map_groups, sampled
+from ledgerloom.llm.shared import fold, map_batches, map_groups, map_rows, sampled
 
 #: Labelled documents looked at for each language, bytes of its dictionary, and of all dictionaries.
 SAMPLE_ROWS = 400
@@ -157,7 +157,7 @@ def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes], min_margin:
             found = [classifier(t) for t in batch.column(at).to_pylist()]
             yield batch.filter(pa.array([lang != "und" and margin >= min_margin for lang, _, margin in found], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_rows(docs, run, docs.schema)
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm.shared import every, free_names, keyed, map_batches, texts
+from ledgerloom.llm.shared import every, free_names, keyed, map_batches, map_rows, texts
 
 #: Words of a passage that is deleted, at least.
 BLOCK_WORDS = 10
@@ -239,7 +239,7 @@ def dedup(docs: DataFrame, block_words: int = BLOCK_WORDS, drop_emptied: bool =
             out += [pa.array(removed, arrow.field(size).type), pa.array(counts, arrow.field(size + 1).type)]
             yield pa.RecordBatch.from_arrays(out, schema=arrow).filter(pa.array(keep, pa.bool_()))
 
-    out = rows.mapInArrow(run, schema)
+    out = map_rows(rows, run, schema)
     return out if more else out.select(*every(names))
 
 

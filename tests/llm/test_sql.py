@@ -8,6 +8,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -29,12 +30,14 @@ ODD = [
     (6, "Ünïcode ÀÉ 😀 und mehr, Apache License Version 2 #*$% <|>", "de"),
     (7, "alpha beta gamma delta epsilon zeta eta theta iota kappa mu", "en"),
 ]
+#: Columns that operators use themselves.
+CLASHES = ("th", "key", "__id", "own_id", "own_th", "first_id", "later_id", "found", "found.x", "blocks", "n_lines", "size", "spans", "hit_spans", "was_cut", "turn", "has_words", "row", "shard", "loose", "offset")
 
 
 @pytest.fixture(scope="module")
 def odd(spark):
     frame = spark.createDataFrame(ODD, "doc_id long, text string, lang string")
-    return frame.withColumns({n: F.lit("x") for n in ("th", "key", "__id", "size", "spans")})
+    return frame.withColumns({n: F.lit("x") for n in CLASHES})
 
 
 @pytest.fixture(scope="module")
@@ -100,14 +103,68 @@ def test_secrets_base_against_patterns(spark):
         assert r["base_sha256"] == hashlib.sha256(",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted(found)).encode()).hexdigest()
 
 
+def _tlv(tag, content):
+    n = len(content)
+    head = bytes([n]) if n < 128 else bytes([0x80 | (n.bit_length() + 7) // 8]) + n.to_bytes((n.bit_length() + 7) // 8, "big")
+    return bytes([tag]) + head + content
+
+
+def _integer(n):
+    return _tlv(2, n.to_bytes(n.bit_length() // 8 + 1, "big"))
+
+
+def _key_structures():
+    rnd = random.Random(5)
+    p, q = rnd.getrandbits(512) | 1, rnd.getrandbits(512) | 1
+    rsa = _tlv(0x30, b"".join(map(_integer, (0, p * q, 65537, rnd.getrandbits(1000), p, q, 1, 2, 3))))
+    oid = lambda x: _tlv(6, secrets._oid(x))
+    return {
+        "rsa": rsa,
+        "rsa public": _tlv(0x30, _integer(p * q) + _integer(65537)),
+        "ec": _tlv(0x30, _integer(1) + _tlv(4, rnd.randbytes(32)) + _tlv(0xA0, oid("1.2.840.10045.3.1.7"))),
+        "pkcs8": _tlv(0x30, _integer(0) + _tlv(0x30, oid("1.2.840.113549.1.1.1") + _tlv(5, b"")) + _tlv(4, rsa)),
+        "public": _tlv(0x30, _tlv(0x30, oid("1.3.101.112")) + _tlv(3, bytes(1) + rnd.randbytes(32))),
+        "sealed": _tlv(0x30, _tlv(0x30, oid("1.2.840.113549.1.5.13") + _tlv(0x30, b"")) + _tlv(4, rnd.randbytes(64))),
+    }
+
+
 def test_secrets_structure_decides():
-    der = bytes([0x30, 0x2A, 0x02, 0x01, 0x00, 0x04, 0x25]) + bytes(37)
-    assert secrets.der_fits(der) and not secrets.der_fits(der[:-1]) and not secrets.der_fits(der + b"0")
-    sealed = base64.b64encode(der).decode()
-    assert [k for k, _, _ in secrets.confirmed(f"key {sealed} end")] == ["der"]
+    keys = _key_structures()
+    for data in keys.values():
+        assert secrets.is_key(data) and not secrets.is_key(data[:-1]) and not secrets.is_key(data + b"0")
+    signature = _tlv(0x30, _integer(random.Random(1).getrandbits(256)) + _integer(random.Random(2).getrandbits(256)))
+    certificate = _tlv(0x30, _tlv(0x30, _integer(5) + _tlv(0x30, _tlv(6, secrets._oid("1.2.840.113549.1.1.11")))) + _tlv(0x30, b"") + _tlv(3, bytes(80)))
+    assert not secrets.is_key(signature) and not secrets.is_key(certificate)
+
+
+def test_secrets_forms_of_a_key():
+    data = _key_structures()["pkcs8"]
+    body = base64.b64encode(data).decode()
+    lines = [body[i : i + 64] for i in range(0, len(body), 64)]
+    found = lambda t: [(k, t[a:b]) for k, a, b in secrets.confirmed(t)]
+    assert found(f"key {body} end") == [("der", body)]
+    assert found("key:\n" + "\n".join(lines) + "\nend of it") == [("der", "\n".join(lines))]
+    flat = base64.urlsafe_b64encode(data).decode().rstrip("=")
+    assert found(f"key {flat} end") == [("der", flat)]
+    for gap in ("\n", "\\n", "\r\n"):
+        armour = gap.join(["-----BEGIN PRIVATE KEY-----", *lines, "-----END PRIVATE KEY-----"])
+        assert found(f'{{"key": "{armour}"}}') == [("pem", armour)]
+    ec = _key_structures()["ec"].hex()
+    assert found(f"x f{ec} y") == [("der", ec)] and found(ec.upper()) == [("der", ec.upper())]
     part = lambda s: base64.urlsafe_b64encode(s.encode()).decode().rstrip("=")
-    assert [k for k, _, _ in secrets.confirmed(f"{part('{\"alg\":\"HS256\"}')}.{part('{\"sub\":1}')}.abc")] == ["jwt"]
-    assert secrets.confirmed(f"{part('{\"typ\":\"JWT\"}')}.{part('{}')}.abc") == []
+    for head in ('{"alg":"HS256"}', '{ "alg":"HS256"}', '{\n "alg":"none"}', '\n{"alg":"x"}'):
+        token = f"{part(head)}.{part('{}')}.abc"
+        assert found(f"t={token}") == [("jwt", token)]
+    assert found(f"{part('{\"typ\":\"JWT\"}')}.{part('{}')}.abc") == []
+    field = lambda b: len(b).to_bytes(4, "big") + b
+    ssh = base64.b64encode(field(b"ssh-ed25519") + field(bytes(range(32)))).decode()
+    assert found(f"ssh-ed25519 {ssh} me") == [("ssh", ssh)]
+
+
+def test_secrets_long_blocks_of_lines_are_walked_once():
+    rnd = random.Random(3)
+    text = "\n".join("M" + base64.b64encode(rnd.randbytes(45)).decode() for _ in range(20_000))
+    assert secrets.confirmed(text) == []
 
 
 def test_packing_is_an_exact_round_trip(spark, odd):
@@ -154,6 +211,62 @@ def test_local_search_tries_each_bin():
     assert max(sum(lengths[i] for i in b) for b in found) <= 100
 
 
+def test_packing_over_shards_ends_with_the_bins_of_one(spark):
+    rnd = random.Random(8)
+    lengths = [rnd.choice((700, 900, 1300, 2100, 3000, rnd.randint(1, 4096))) for _ in range(3000)]
+    pieces = spark.createDataFrame([(k, n, "x") for k, n in enumerate(lengths)], "doc_id long, length long, shard string")
+    whole, parts = ([r.asDict() for r in packing.pack(pieces, shard_bins=n).collect()] for n in (10_000, 64))
+    for rows in (whole, parts):
+        assert sorted((r["doc_id"], r["length"], r["shard"]) for r in rows) == [(k, n, "x") for k, n in enumerate(lengths)]
+        held = collections.defaultdict(list)
+        for r in rows:
+            held[r["sequence_id"]].append((r["offset"], r["length"]))
+        for own in held.values():
+            assert all(a + n == b for (a, n), (b, _) in itertools.pairwise(sorted(own))) and sum(n for _, n in own) <= 4096
+    count = lambda rows: len({r["sequence_id"] for r in rows})
+    assert count(parts) <= 1.01 * count(whole) + 1
+
+
+def test_language_is_the_least_sum_of_sizes(spark):
+    import zstandard
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rare = spark.createDataFrame([(4, "zorgle blat frumious quobble wabe gyre", "zz")], "doc_id long, text string, lang string")
+    held = language.learn(docs.select("doc_id", "text", "lang").unionByName(rare))
+    assert "zz" in held and len(held) == docs.where("lang is not null").select("lang").distinct().count() + 1
+    assert all(len(d) <= language.DICT_BYTES for d in held.values())
+    assert sum(map(len, language.learn(docs, all_bytes=4000).values())) <= 4000
+    classify = language.Classifier(held)
+    texts = [t for t in documents(spark).values() if t][:60] + ["frumious quobble", "a", "word " * 5000]
+    for text in texts:
+        flat = language.plain(text)
+        words = flat.split()
+        pieces = [flat[k : k + language.PIECE_BYTES] for k in range(0, len(flat), language.PIECE_BYTES)]
+        pieces += [b" " + b" ".join(words[-k:]) + b" " for k in (1, 2, 4, 8, 16) if k <= len(words)]
+        sums = {}
+        for lang, d in held.items():
+            one = zstandard.ZstdCompressor(level=language.LEVEL, dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False, write_checksum=False, write_dict_id=False)
+            sums[lang] = sum(len(one.compress(p)) for p in pieces)
+        assert sums[classify(text)[0]] <= 1.02 * min(sums.values())  # prepared dictionaries differ by a few bytes
+
+
+def test_toxicity_is_the_sum_over_words():
+    """The automatons against plain comparisons of each word with each entry."""
+    rnd = random.Random(9)
+    words = [a + b for a in ("bad", "stu", "good", "ap") for b in ("", "d", "der", "pid", "ple")]
+    entries = {f" {w[:4]}": rnd.random() for w in words if len(w) > 3} | {f" {w} ": rnd.random() for w in words[::3]}
+    model = toxicity.Model(entries, tuple(f" {rnd.choice(words)} {rnd.choice(words)} " for _ in range(20)))
+    scorer = toxicity.Scorer(model)
+    for _ in range(300):
+        own = [rnd.choice(words) for _ in range(rnd.randint(0, 12))]
+        want = {}
+        for k, w in enumerate(own):
+            found = [v for e, v in entries.items() if f" {w} ".startswith(e)]
+            if found and f" {w} {own[k + 1] if k + 1 < len(own) else ''} " not in model.exceptions:
+                want[sum(len(x) + 1 for x in own[:k])] = max(found)
+        assert scorer.hits(f" {' '.join(own)} " if own else " ") == want
+
+
 def test_held_out_language(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = language.predictions(spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang"), "doc_id").where("held_out and lang_pred <> 'und' and lang is not null")
@@ -255,6 +368,21 @@ def test_decontaminate_cuts_spans(spark):
     assert out == {1: "a b c d e f g h i j k rest of it", 3: "clean text, kept as it is", 4: None}
 
 
+@pytest.mark.parametrize("block_words", [5, 50])
+def test_decontamination_does_not_depend_on_blocks(spark, block_words):
+    docs, bench = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet").limit(6)
+    both = "one two three four five six seven eight nine ten eleven twelve".split()
+    more = [("x", " ".join(both)), ("y", " ".join(f"u{k}" for k in range(12))), ("z", "a b")]
+    own = [(-1, " ".join([*both, *(f"u{k}" for k in range(12)), *(f"v{k}" for k in range(20))])), (-2, "q w " + " ".join(both[:5]) + " a a b b " + " ".join(both[5:]) + " e r " * 20)]
+    docs = docs.select("doc_id", "text").unionByName(spark.createDataFrame(own, "doc_id long, text string"))
+    bench = bench.select(F.col("item_id").cast("string").alias("item_id"), "text").unionByName(spark.createDataFrame(more, "item_id string, text string"))
+    rows = lambda f, **o: sorted(map(str, f(docs, bench, **o).collect()))
+    for f in (decontaminate.decontaminate, decontaminate.find):
+        assert rows(f, block_words=block_words) == rows(f, block_words=10**6)
+    kept = {r["doc_id"]: r["text"] for r in decontaminate.decontaminate(docs, bench, block_words=block_words).collect()}
+    assert -1 not in kept and kept[-2].startswith("q w e r")  # covered by two items; parts that a cut joins are cut too
+
+
 @pytest.mark.parametrize(
     ("page", "text"),
     [
@@ -268,7 +396,59 @@ def test_html(page, text):
 
 
 def test_toxicity_folding():
-    assert toxicity.folded("Іd1оt, h4te!") .split()[0] == "idiot"
+    said = "Іd1оt, h4te! a$$ stupi0 b1111tch no!! $100 5k"
+    assert toxicity.folded(said).split() == "idiot hate ass stupio bitch no k".split()
+
+
+def _pages(rnd, depth=0):
+    """Random markup and the words of it that show."""
+    out, shown = [], []
+    for _ in range(rnd.randint(1, 5)):
+        kind = rnd.randint(0, 9)
+        word = f"w{rnd.randint(0, 10**6)}"
+        if kind < 3 or depth > 6:
+            out.append(f" {word} ")
+            shown.append(word)
+            continue
+        inner, words = _pages(rnd, depth + 1)
+        form, seen = [
+            ("<div>{}</div>", True), ("<p>{}</p>" if "<div" not in inner and "<table" not in inner else "<section>{}</section>", True), ("<ul><li>{}</ul>", True), ("<table><tr><td>{}</table>", True),
+            ("<script>{}</script>", False), ("<div style='display: none'>{}</div>", False), ("<div class='x gone'>{}</div>", False), ("<!-- {} -->" if "<!--" not in inner else "<template>{}</template>", False),
+            ("<div hidden>{}</div>", False), ("<b>{}</b>", True), ("<div class=gone id=back>{}</div>", True), ("<svg><text>{}</text></svg>", True),
+        ][rnd.randint(0, 11)]
+        out.append(form.replace("{}", "".join(f" {w} " for w in words) if "script" in form else inner))
+        shown += words if seen else []
+    return "".join(out), shown
+
+
+def test_html_shows_each_visible_word_once_and_in_order():
+    style = "<style>/* } */ @media print { .x { display: block } } .gone { display: none } #back { display: block } @font-face { src: x }</style>"
+    for k in range(300):
+        page, shown = _pages(random.Random(k))
+        got = [w for w in html_text.extract(style + page).split() if w.startswith("w")]
+        assert got == shown, page
+
+
+def test_html_tables_stand_in_columns():
+    rows = [[f"c{r}{c}" * ((r * 7 + c * 3) % 4 + 1) for c in range(5)] for r in range(20)]
+    lines = html_text.extract("<table>" + "".join("<tr>" + "".join(f"<td>{x}" for x in r) for r in rows) + "</table>").split("\n")
+    wide = [max(len(r[c]) for r in rows) for c in range(5)]
+    assert lines == ["  ".join(x.ljust(w) for x, w in zip(r, wide, strict=True)).rstrip() for r in rows]
+
+
+@pytest.mark.parametrize("unit", ["<div>", "<p><button><div>", "<b></i>", "<table><tr><td>", "<li>x"])
+def test_html_deep_pages_cost_their_length(unit):
+    cost = []
+    for n in (4000, 16000):
+        began = time.perf_counter()
+        html_text.extract(unit * n + "end")
+        cost.append(time.perf_counter() - began)
+    assert cost[1] < 12 * cost[0] + 0.3
+
+
+def test_html_long_cells_do_not_widen_columns():
+    page = f"<table><tr><td>{'x' * 20_000}<td>b" + "<tr><td>a<td>b" * 2000 + "</table>"
+    assert len(html_text.extract(page)) < 2 * len(page)
 
 
 def test_bands_reach_their_recall():
@@ -288,6 +468,27 @@ def test_license_names_alone_equal_sql(spark, tmp_path):
     assert found[0] == "apache-2" and found[1] == "bsd-3-clause" and found[4] == "epl" and found[99] == ""
 
 
+def _least(pattern):
+    """The shortest text of a rule: optional parts left out, the first of alternatives."""
+    while True:
+        new = re.sub(r"\(\?:([^()|]*)(?:\|[^()]*)?\)(\?|\{0,\d+\})?", lambda m: "" if m[2] else m[1], pattern)
+        if new == pattern:
+            break
+        pattern = new
+    return re.sub(r" +", " ", re.sub(r"\[(\^?)(.)[^\]]*\]", lambda m: "x" if m[1] else m[2], pattern).replace("+", "").replace("?", "")).strip()
+
+
+def test_each_license_rule_equals_sql_on_its_own_text(spark, tmp_path):
+    said = [_least(r[4]) for r in licenses.rules()]
+    assert all(re.search(r[4], f" {'  '.join(t.split())} ") for r, t in zip(licenses.rules(), said, strict=True))
+    spark.createDataFrame(list(enumerate(said)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    got = licenses.detections(spark, str(tmp_path)).toPandas()
+    assert listed(got) == listed(con.sql(licenses.SQL).df())
+    assert (got.labels != "").all()
+
+
 def test_blocks_change_nothing(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = lambda **o: sorted(tuple(r) for r in ngram_join.jaccard_join(docs, **o).select("doc_id", "class_id", "n_links").collect())
