@@ -52,6 +52,8 @@ _IMPLIED |= {
     "tbody": (frozenset(_words("thead tbody tfoot tr td th caption colgroup")), frozenset(("table", "html"))),
     "caption": (frozenset(_words("caption")), frozenset(("table", "html"))),
 }
+#: What stands in a template closes nothing outside.
+_IMPLIED = {t: (tags, scope | {"template"}) for t, (tags, scope) in _IMPLIED.items()}
 _IMPLIED |= {"dd": _IMPLIED["dt"], "th": _IMPLIED["td"], "thead": _IMPLIED["tbody"], "tfoot": _IMPLIED["tbody"]}
 
 #: Longest line of a cell that widens its column.
@@ -118,6 +120,7 @@ class Open:
 
 _ROW_OR_ABOVE = _BODIES | {"table", "tr"}
 _LOOSE = _ROW_OR_ABOVE
+_WALLS = _CELLS | {"template"}
 
 
 def parse(page: str) -> Node:
@@ -212,7 +215,7 @@ def parse(page: str) -> Node:
                 add("br", {})
                 continue
             # an end tag inside a cell doesn't close what the cell stands in, unless it is a table's
-            wall = 0 if tag in _TABLE_PARTS or tag == "table" else open_.last(_CELLS)
+            wall = open_.last(("template",) if tag in _TABLE_PARTS or tag == "table" else _WALLS) if tag != "template" else 0
             place = open_.last((tag,))
             if place > wall:
                 open_.cut(place)
