@@ -412,7 +412,7 @@ def _pages(rnd, depth=0):
             continue
         inner, words = _pages(rnd, depth + 1)
         form, seen = [
-            ("<div>{}</div>", True), ("<p>{}</p>" if "<div" not in inner and "<table" not in inner else "<section>{}</section>", True), ("<ul><li>{}</ul>", True), ("<table><tr><td>{}</table>", True),
+            ("<div>{}</div>", True), ("<section>{}</section>" if re.search("<(div|table|p|ul|section)", inner) else "<p>{}</p>", True), ("<ul><li>{}</ul>", True), ("<table><tr><td>{}</table>", True),
             ("<script>{}</script>", False), ("<div style='display: none'>{}</div>", False), ("<div class='x gone'>{}</div>", False), ("<!-- {} -->" if "<!--" not in inner else "<template>{}</template>", False),
             ("<div hidden>{}</div>", False), ("<b>{}</b>", True), ("<div class=gone id=back>{}</div>", True), ("<svg><text>{}</text></svg>", True),
         ][rnd.randint(0, 11)]
