@@ -93,7 +93,7 @@ def schema_errors(v: Column) -> Column:
         text = lambda f: F.try_variant_get(t, f"$.{f}", "string")
         is_text = lambda f: _kind(get(f)) == "STRING"
         there = lambda f: F.array_contains(own, f)
-        found = [_error("required", at(f), ~there(f)) for f in FIELDS]
+        found = [_error("required", path, ~there(f)) for f in FIELDS]
         found += [_error("additionalProperties", path, F.size(F.array_except(own, F.array(*map(F.lit, FIELDS)))) > 0)]
         found += [_error("type", at("amount"), there("amount") & ~_is_number(get("amount")))]
         for f, allowed in (("currency", CURRENCIES), ("category", CATEGORIES), ("type", TYPES)):
@@ -103,7 +103,7 @@ def schema_errors(v: Column) -> Column:
 
     head = F.array_compact(
         F.array(
-            _error("required", F.lit("/transactions"), ~has),
+            _error("required", F.lit(""), ~has),
             _error("additionalProperties", F.lit(""), F.size(F.array_remove(top, "transactions")) > 0),
             _error("type", F.lit("/transactions"), has & ~is_list),
             _error("minItems", F.lit("/transactions"), has & is_list & (F.size(items) == 0)),
@@ -114,8 +114,10 @@ def schema_errors(v: Column) -> Column:
 
 
 def first_bucket(errors: Column) -> Column:
-    """`schema:code@path` of the first violation."""
-    return F.when(F.size(errors) > 0, F.concat(F.lit("schema:"), errors[0]["code"], F.lit("@"), errors[0]["path"]))
+    """`schema:code@path` of the first violation: the path without its leading slash, `<root>` for the label itself. A
+    field that lacks is filed under the object that lacks it."""
+    path = F.regexp_replace(errors[0]["path"], "^/", "")
+    return F.when(F.size(errors) > 0, F.concat(F.lit("schema:"), errors[0]["code"], F.lit("@"), F.when(path == "", "<root>").otherwise(path)))
 
 
 def transactions(v: Column) -> Column:

@@ -66,6 +66,26 @@ def percent(part: Column, whole: Column) -> Column:
     return F.round(100.0 * part / F.greatest(whole, F.lit(1)), 1)
 
 
+def iso_utc(seconds: Column) -> Column:
+    """ISO 8601 in UTC, to the microsecond, of seconds since 1970; the session's time zone doesn't matter."""
+    whole = F.floor(seconds).cast("long")
+    micros = F.round((seconds - whole) * 1_000_000).cast("int")
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(whole / 86400).cast("int"))
+    left = F.pmod(whole, F.lit(86400))
+    clock = F.format_string("%02d:%02d:%02d", F.floor(left / 3600).cast("int"), F.floor(left % 3600 / 60).cast("int"), (left % 60).cast("int"))
+    return F.concat(day.cast("string"), F.lit("T"), clock, F.when(micros > 0, F.format_string(".%06d", micros)).otherwise(""), F.lit("Z"))
+
+
+def batch_id(run: Column, number: Column) -> Column:
+    """`run-000007`: sorts like its number."""
+    return F.format_string("%s-%06d", run, number)
+
+
+def clamped_ms(began: Column, ended: Column) -> Column:
+    """Milliseconds between two times in seconds, not below 0."""
+    return F.greatest(F.lit(0), F.round((ended - began) * 1000).cast("long"))
+
+
 def input_prompt(n: Column, focus: Column) -> Column:
     return F.format_string("Write %d distinct spending sentences, one a line. Focus: %s", n, focus)
 
@@ -105,15 +125,18 @@ def line_diff(a: Column, b: Column) -> Column:
     return F.transform(at, lambda i: ~F.get(x, i).eqNullSafe(F.get(y, i)))
 
 
-def model_and_quant(path: Column) -> tuple[Column, Column]:
-    """Model and quantization that a path names: the first known quantization in the file's stem, else its last part;
-    the nearest folder student-*, else the stem without prefix and quantization."""
-    stem = F.regexp_replace(F.element_at(F.split(path, "/"), -1), "\\.[^.]*$", "")
-    up = F.upper(stem)
-    quant = F.coalesce(*[F.when(F.contains(up, F.lit(q)), F.lit(q)) for q in QUANTS], F.element_at(F.split(up, "-"), -1))
-    folder = F.regexp_extract(path, "(?:^|.*/)student-([^/]*)/", 1)
-    bare = F.regexp_replace(F.regexp_replace(stem, "^txn-parser-", ""), "(?i)-(" + "|".join(map(re.escape, QUANTS)) + ")$", "")
-    return F.when(folder != "", folder).otherwise(bare), quant
+def model_and_quant(path: Column, prefix: str = "", folders: str = "student-") -> tuple[Column, Column]:
+    """Model and quantization that a path names. The quantization is the first known one in the file's stem, else what
+    stands after its last hyphen. The model is what follows `folders` in the nearest folder that begins so; without such
+    a folder it is the stem, without `prefix` and the quantization at its end."""
+    parts = F.split(path, "/")
+    stem = F.regexp_replace(F.element_at(parts, -1), "\\.[^.]*$", "")
+    known = F.filter(F.array(*map(F.lit, QUANTS)), lambda q: F.contains(F.upper(stem), q))
+    quant = F.coalesce(F.get(known, F.lit(0)), F.element_at(F.split(F.upper(stem), "-"), -1))
+    nearest = F.get(F.reverse(F.filter(F.slice(parts, 1, F.size(parts) - 1), lambda x: x.startswith(folders))), F.lit(0))
+    bare = F.regexp_replace(stem, "^" + re.escape(prefix), "") if prefix else stem
+    bare = F.regexp_replace(bare, "(?i)-(" + "|".join(map(re.escape, QUANTS)) + ")$", "")
+    return F.coalesce(F.nullif(F.substring(nearest, len(folders) + 1, 1 << 20), F.lit("")), bare), quant
 
 
 def render_section(template: str, heading: str, body: str) -> str:

@@ -5,18 +5,25 @@ from __future__ import annotations
 import difflib
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerloom.functions.amounts import ALL_UNITS, ENGLISH, HINDI
 
 
-def token_counts(rows: DataFrame, text: str, order: str, least: int = 2, contexts: int = 2, known: tuple[str, ...] = ()) -> DataFrame:
-    """Letter tokens of three letters or more that aren't known, with their count and the first few texts."""
-    words = rows.select(F.col(order).alias("o"), F.col(text).alias("t"), F.explode(F.regexp_extract_all(F.col(text), F.lit("[A-Za-z]+"), F.lit(0))).alias("token"))
+def token_counts(rows: DataFrame, text: str, order: str, least: int = 2, contexts: int = 0, known: tuple[str, ...] = ()) -> DataFrame:
+    """Letter tokens of three letters or more that aren't known, with their count and where they come first. contexts:
+    the first so many texts of each, as an array; each text is joined back by its order, so no token gathers its texts."""
+    words = rows.select(F.col(order).alias("o"), F.explode(F.regexp_extract_all(F.col(text), F.lit("[A-Za-z]+"), F.lit(0))).alias("token"))
     words = words.select("o", F.lower("token").alias("token")).where(F.length("token") >= 3)
     stop = [*known, *HINDI, *ENGLISH, *ALL_UNITS]
-    fresh = words.where(~F.col("token").isin(stop))
-    return fresh.groupBy("token").agg(F.count("*").alias("n"), F.min("o").alias("first")).where(F.col("n") >= least)
+    fresh = words.where(~F.col("token").isin(stop)).groupBy("token", "o").agg(F.count("*").alias("c"))
+    counts = fresh.groupBy("token").agg(F.sum("c").alias("n"), F.min("o").alias("first")).where(F.col("n") >= least)
+    if not contexts:
+        return counts
+    turn = F.row_number().over(Window.partitionBy("token").orderBy("o"))  # Spark keeps `contexts` a token and task
+    firsts = fresh.withColumn("turn", turn).where(F.col("turn") <= contexts).join(rows.select(F.col(order).alias("o"), F.col(text).alias("t")), "o")
+    shown = firsts.groupBy("token").agg(F.transform(F.array_sort(F.collect_list(F.struct("o", "t"))), lambda x: x["t"]).alias("contexts"))
+    return counts.join(shown, "token")
 
 
 def suggestions(counts: DataFrame, cutoff: float = 0.72, top: int = 80) -> DataFrame:

@@ -143,3 +143,48 @@ def failure_histogram(calls: DataFrame, candidates: DataFrame, *keys: str) -> Da
 def top_failures(histogram: DataFrame, key: str) -> DataFrame:
     """The most frequent failure of each key, the first by name on a tie."""
     return histogram.groupBy(key).agg(F.min_by(F.struct("failure_reason", "n"), F.struct((-F.col("n")).alias("m"), "failure_reason")).alias("__t")).select(key, "__t.*")
+
+
+def run_summary(calls: DataFrame, candidates: DataFrame, seconds: float, inputs: int) -> DataFrame:
+    """One row of a run: calls, attempts at repair and those accepted, and throughput. calls: success, attempt_type;
+    candidates: accepted, is_repair_attempt. Two tables, each aggregated once."""
+    c = calls.agg(F.count("*").alias("calls"), F.count_if("success").alias("ok"), F.count_if(~F.col("success")).alias("failed"), F.count_if(F.col("attempt_type") == "repair").alias("repair_attempts"))
+    k = candidates.agg(F.count_if("accepted").alias("accepted"), F.count_if(~F.col("accepted")).alias("rejected"), F.count_if(F.col("accepted") & F.col("is_repair_attempt")).alias("repair_accepted"))
+    rate = lambda n: F.round(n / F.lit(seconds), 4) if seconds > 0 else F.lit(0.0)
+    both = c.join(k, F.lit(True))  # one row each
+    return both.withColumns({"calls_per_sec": rate(F.col("calls")), "inputs_per_sec": rate(F.lit(float(inputs)))})
+
+
+def as_document(run: dict, totals_: dict, providers: list[dict], failures: dict[str, int], repair: dict | None) -> dict:
+    """The metrics of a run as one object. All parts are small."""
+    out = {"run": run, "totals": totals_, "providers": {p["provider"]: {k: v for k, v in p.items() if k != "provider"} for p in providers}, "failures": dict(failures)}
+    return out | ({"repair": repair} if repair is not None else {})
+
+
+def as_table(document: dict, top: dict[str, str]) -> str:
+    """The metrics of a run as text: a head, a line a provider in columns, and repairs of a label run."""
+    run, whole, label = document["run"], document["totals"], document["run"]["phase"] == "label"
+    minutes, seconds = divmod(run["duration_ms"] // 1000, 60)
+    took = f"{minutes}m{seconds:02d}s" if minutes else f"{seconds}s"
+    wrote = f"Accepted: {whole['accepted']}  Failed rows: {whole['failed_rows']}" if label else f"Input rows: {whole['input_rows']}"
+    lines = [
+        f"Run ({run['phase']}): {run['inputs']} inputs, {took}",
+        f"Calls: {whole['calls']} ({whole['ok']} ok, {whole['failed']} failed)  {wrote}",
+        f"Estimated cost: ${whole['cost']:.4f} (prices: {run.get('prices') or 'none, all free'})",
+        "",
+    ]
+    columns: list[tuple[str, Callable[[str, dict], str]]] = [("Provider", lambda n, p: n), ("Calls", lambda n, p: str(p["calls"])), ("Ok", lambda n, p: str(p["ok"])), ("Fail%", lambda n, p: f"{100 * p['failure_rate']:.2f}%")]
+    columns += [("Acc", lambda n, p: str(p.get("accepted", 0)))] * label
+    columns += [("Cost", lambda n, p: f"${p['cost']:.4f}"), ("p50", lambda n, p: str(int(p["p50_ms"]))), ("p95", lambda n, p: str(int(p["p95_ms"])))]
+    columns += [("Top failure", lambda n, p: top.get(n, "-"))] * label
+    rows = [[name for name, _ in columns]] + [[cell(n, p) for _, cell in columns] for n, p in document["providers"].items()]
+    wide = [max(map(len, column)) for column in zip(*rows, strict=True)]
+    lines += ["  ".join(["", *(x.ljust(w) for x, w in zip(row, wide, strict=True))]).rstrip() for row in rows]
+    if label and "repair" in document:
+        r = document["repair"]
+        lines += ["", f"Repairs: {r['attempts']} tried, {r['accepted']} accepted, {r['exhausted']} exhausted"]
+    return "\n".join(lines)
+
+
+def keep_rate(kept: Column, attempted: Column) -> Column:
+    return kept / F.greatest(attempted, F.lit(1))

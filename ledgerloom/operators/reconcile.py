@@ -66,16 +66,24 @@ def label_lookup(inputs: DataFrame, labels: DataFrame, key: str, label: str, ord
     return inputs.join(last, key, "left").withColumn(label, F.coalesce(label, F.lit("")))
 
 
+def mark_orphans(failed: DataFrame, train: DataFrame, key: str, mark: str = "labeled") -> DataFrame:
+    """failed, and whether a row's key has been labeled since; rows without a key haven't. One join, so both sides of
+    the answer come from one pass."""
+    done = train.select(F.col(key).alias("__done")).where(F.col(key).isNotNull()).distinct()
+    return failed.join(done, F.col(key) == F.col("__done"), "left").withColumn(mark, F.col("__done").isNotNull()).drop("__done")
+
+
 def prune_orphans(failed: DataFrame, train: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """Failed rows that stay (those without a key among them) and those whose key has been labeled since."""
-    done = train.select(key).where(F.col(key).isNotNull()).distinct()
-    return failed.join(done, key, "left_anti"), failed.join(done, key, "left_semi")
+    marked = mark_orphans(failed, train, key, "__labeled")
+    return marked.where(~F.col("__labeled")).drop("__labeled"), marked.where("__labeled").drop("__labeled")
 
 
 def merge_failed(rows: DataFrame, key: str, order: str) -> DataFrame:
     """One failed row of each key: reason of the head (most telling reason, then most attempts, then first) and the
-    attempts of all, the head's first, each (provider, model, raw_output, repair) once. Rows without a key stay as they
-    are. A key's attempts are gathered: they are bounded by the retries of one input."""
+    attempts of all, the head's first, each (provider, model, raw_output, repair) once; a key with one row keeps its
+    attempts as they are. Rows without a key all stay, as they are. A key's attempts are gathered: they are bounded by
+    the retries of one input."""
     attempts = F.coalesce("attempts", F.array().cast(rows.schema["attempts"].dataType))
     ranked = rows.where(F.col(key).isNotNull()).select(key, "reason", attempts.alias("attempts"), F.struct(select.reason_rank(F.col("reason")).alias("r"), (-F.size(attempts)).alias("n"), F.col(order).alias("o")).alias("__rank"))
     heads = ranked.groupBy(key).agg(F.min("__rank").alias("__head"), F.collect_list(F.struct("__rank", "reason", "attempts")).alias("__rows"))
@@ -86,7 +94,8 @@ def merge_failed(rows: DataFrame, key: str, order: str) -> DataFrame:
     mark = lambda a: F.struct(a["provider"], a["model"], a["raw_output"], F.coalesce(a["is_repair_attempt"], F.lit(False)))
     out = out.withColumn("__flat", flat).withColumn("__marks", F.transform("__flat", mark))
     firsts = F.filter("__flat", lambda a, i: F.array_position("__marks", F.col("__marks")[i]) == i + 1)
-    return out.select(key, F.col("__o")[0]["reason"].alias("reason"), firsts.alias("attempts"))
+    merged = out.select(key, F.col("__o")[0]["reason"].alias("reason"), F.when(F.size("__o") == 1, F.col("__flat")).otherwise(firsts).alias("attempts"))
+    return merged.unionByName(rows.where(F.col(key).isNull()).select(key, "reason", attempts.alias("attempts")))
 
 
 def same_amounts(a: Column, b: Column) -> Column:

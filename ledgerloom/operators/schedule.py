@@ -17,10 +17,16 @@ def quota(providers: DataFrame, total: int, idx: str = "idx", weight: str = "wei
 
 def cycle(providers: DataFrame, idx: str = "idx", weight: str = "weight", most: int = 100_000) -> DataFrame:
     """Weighted interleave: the k-th of w turns of a provider comes at k / w of the cycle, ties by index. Adds `slot`
-    from 0. Weights are first divided by their common divisor, as spread() does on the driver."""
-    turns = providers.withColumn("__k", F.explode(F.sequence(F.lit(1), F.col(weight).cast("int"))))
-    order = Window.partitionBy().orderBy((F.col("__k").cast("double") / F.col(weight)), idx)
-    return turns.withColumn("slot", F.row_number().over(order) - 1).drop("__k")
+    from 0. Weights are first divided by their common divisor; a cycle of more than `most` slots is an error. The table
+    of providers is small: its weights are summed up in one group."""
+    gcd = lambda a, b: F.aggregate(F.sequence(F.lit(1), F.lit(64)), F.struct(a.alias("x"), b.alias("y")), lambda s, _: F.when(s["y"] == 0, s).otherwise(F.struct(s["y"].alias("x"), F.pmod(s["x"], F.greatest(s["y"], F.lit(1))).alias("y"))))["x"]
+    common = providers.agg(F.aggregate(F.collect_list(F.col(weight).cast("long")), F.lit(0).cast("long"), gcd).alias("__g"), F.sum(weight).alias("__sum"))
+    slots = (F.col("__sum") / F.col("__g")).cast("long")
+    turns = F.when(slots > most, F.raise_error(F.concat(F.lit("a cycle has too many slots: "), slots)).cast("int")).otherwise((F.col(weight) / F.col("__g")).cast("int"))
+    rows = providers.join(F.broadcast(common), F.col("__g") > 0).withColumn("__w", turns)
+    rows = rows.withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__w"))))
+    order = Window.partitionBy().orderBy((F.col("__k").cast("double") / F.col("__w")), idx)
+    return rows.withColumn("slot", F.row_number().over(order) - 1).drop("__k", "__w", "__g", "__sum")
 
 
 def spread(weights: list[int]) -> list[int]:
@@ -33,6 +39,22 @@ def spread(weights: list[int]) -> list[int]:
     return [w // g for w in weights]
 
 
+def quota_of(weights: list[int], total: int) -> list[int]:
+    """quota() of a few weights, on the driver."""
+    whole = sum(weights)
+    shares = [total * w // whole for w in weights]
+    by_rest = sorted(range(len(weights)), key=lambda k: (-(total * weights[k] % whole), k))
+    for k in by_rest[: total - sum(shares)]:
+        shares[k] += 1
+    return shares
+
+
+def turns(weights: list[int]) -> list[int]:
+    """cycle() of a few weights, on the driver: the index of each slot's provider."""
+    own = spread(weights)
+    return [k for _, k in sorted(((n + 1) / w, k) for k, w in enumerate(own) for n in range(w))]
+
+
 def assign(rows: DataFrame, slots: DataFrame, length: int, ordinal: str = "ord") -> DataFrame:
     """The provider of the n-th call: slot n modulo the cycle's length. slots has `length` rows, one a slot."""
     return rows.withColumn("slot", F.pmod(F.col(ordinal), F.lit(length)).cast("int")).join(F.broadcast(slots) if length <= 100_000 else slots, "slot")

@@ -9,6 +9,7 @@ REASON_ORDER = ("validation_failed", "repair_exhausted", "all_candidates_failed"
 VALIDATOR_REASONS = ("validation_failed", "schema_invalid", "superseded_amount_used", "currency_mismatch", "suspicious_duplicate")
 AUTH_ERROR = "(?i)AccessDeniedException|Authentication failed|API key|UnauthorizedOperation|InvalidSignatureException|ExpiredTokenException|expired token|invalid api key|invalid_api_key|401"
 RETRYABLE_STATUS = (429, 500, 502, 503, 504)
+RETRYABLE_CODES = ("ThrottlingException", "ServiceUnavailableException", "ModelTimeoutException", "ModelErrorException", "InternalServerException")
 
 
 def pick_best(attempts: DataFrame, key: str) -> DataFrame:
@@ -64,6 +65,21 @@ def is_retryable(status: Column) -> Column:
     return status.isin(*RETRYABLE_STATUS)
 
 
+def is_retryable_code(code: Column) -> Column:
+    """Whether an error of this code passes; one without a code is a time-out or a lost connection, and does."""
+    return code.isNull() | code.isin(*RETRYABLE_CODES)
+
+
+def reason_counts(failed: DataFrame) -> DataFrame:
+    """Reasons of failed rows and of their attempts: level (row or attempt), reason (`unknown` for none), provider (null
+    for rows), n. One pass."""
+    named = lambda c: F.coalesce(c, F.lit("unknown"))
+    entry = lambda level, reason, provider: F.struct(F.lit(level).alias("level"), named(reason).alias("reason"), provider.alias("provider"))
+    attempts = F.transform(F.coalesce("attempts", F.array().cast(failed.schema["attempts"].dataType)), lambda a: entry("attempt", a["failure_reason"], a["provider"]))
+    rows = failed.select(F.inline(F.concat(F.array(entry("row", F.col("reason"), F.lit(None).cast("string"))), attempts)))
+    return rows.groupBy("level", "reason", "provider").agg(F.count("*").alias("n"))
+
+
 def reason_rank(reason: Column) -> Column:
     rank = F.array_position(F.array(*map(F.lit, REASON_ORDER)), F.coalesce(reason, F.lit("")))
     return F.when(rank > 0, rank).otherwise(99)

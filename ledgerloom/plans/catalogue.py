@@ -3,39 +3,22 @@ must find is known from those columns, without a second parser in the SQL."""
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions import jsonx, text as tx
 from ledgerloom.functions.amounts import amounts
 from ledgerloom.operators import audit, evalreport, metrics, reconcile, schedule, select, validate, views
+from ledgerloom.plans import runs as _runs  # noqa: F401  registers its queries too
+from ledgerloom.plans.registry import ORACLES, QUERIES, query, table as _t  # noqa: F401
+from ledgerloom.sources import jsonl
 from ledgerloom.streaming import incremental
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
 _ONES = "one two three four five six seven eight nine".split()
 _TENS = "twenty thirty forty fifty sixty seventy eighty ninety".split()
 _HINDI = "ek do teen char paanch chhe saat aath nau".split()
 PRICES = {"click:m1": (0.27, 1.1), "m2": (0.3, 2.5), "view": (3.0, 15.0), "signup": (1.0, 5.0), "default": (0.5, 0.5)}
 
 
-def query(sql: str | None = None):
-    def register(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return register
-
-
-def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def _txt(form: str, *args: Column) -> Column:
     return F.format_string(form, *args)
 
@@ -74,7 +57,7 @@ def token_estimate(spark, sf):
 def _raw_lines(spark, sf) -> DataFrame:
     """Documents as raw JSON lines with a planted fault by doc_id modulo 8."""
     good = '{"transactions":[{"amount":5,"currency":"INR","item":"tea","category":"Drinks","type":"expense"}]}'
-    said = F.to_json(F.struct(F.substring(tx.normalize_key(F.col("text")), 1, 12).alias("input")))
+    said = F.to_json(F.struct(tx.normalize_key(F.col("text")).alias("input")))
     row = lambda out: F.concat(F.substring(said, 1, F.length(said) - 1), F.lit(f',"output":{out}}}'))
     m = F.col("doc_id") % 8
     raw = (
@@ -85,19 +68,21 @@ def _raw_lines(spark, sf) -> DataFrame:
 
 
 @query(
-    """WITH d AS (SELECT doc_id % 8 AS m, substr(trim(regexp_replace(lower(text), '[ \\t-\\r]+', ' ', 'g')), 1, 12) AS k FROM documents),
+    """WITH d AS (SELECT doc_id % 8 AS m, trim(regexp_replace(lower(text), '[ \\t-\\r]+', ' ', 'g')) AS k FROM documents),
     kept AS (SELECT count(*) AS n, count(DISTINCT trim(k)) AS u FROM d WHERE m >= 6)
     SELECT reason, n FROM (SELECT CASE m WHEN 0 THEN 'not_object' WHEN 1 THEN 'missing_keys' WHEN 2 THEN 'bad_input' WHEN 3 THEN 'output_not_object'
-      WHEN 4 THEN 'schema:enum@/transactions/0/category' ELSE 'unparseable' END AS reason, count(*) AS n FROM d WHERE m < 6 GROUP BY 1
+      WHEN 4 THEN 'schema:enum@transactions/0/category' ELSE 'unparseable' END AS reason, count(*) AS n FROM d WHERE m < 6 GROUP BY 1
     UNION ALL SELECT 'duplicate_input', n - u FROM kept UNION ALL SELECT 'kept', u FROM kept)"""
 )
 def clean_drop_reasons(spark, sf):
-    rows = _raw_lines(spark, sf).withColumn("reason", reconcile.drop_reason(F.col("raw")))
-    dropped = rows.where("reason IS NOT NULL").groupBy("reason").agg(F.count("*").alias("n"))
-    key = tx.normalize_key(F.try_variant_get(F.try_parse_json("raw"), "$.input", "string"))
-    by_key = rows.where("reason IS NULL").groupBy(key.alias("k")).agg(F.count("*").alias("n"))
-    kept = by_key.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_input"), F.count("*").alias("kept"))
-    return dropped.unionByName(kept.unpivot([], ["duplicate_input", "kept"], "reason", "n"))
+    key = F.md5(tx.normalize_key(F.try_variant_get(F.try_parse_json("raw"), "$.input", "string")))  # 16 bytes travel
+    rows = _raw_lines(spark, sf).select(reconcile.drop_reason(F.col("raw")).alias("reason"), key.alias("k"))
+    # one pass: counts by reason, and for rows to keep by key
+    counts = rows.groupBy("reason", F.when(F.col("reason").isNull(), F.col("k")).alias("k")).agg(F.count("*").alias("n"))
+    parts = F.when(F.col("reason").isNotNull(), F.array(F.struct(F.col("reason").alias("reason"), F.col("n").alias("n")))).otherwise(
+        F.array(F.struct(F.lit("duplicate_input").alias("reason"), (F.col("n") - 1).alias("n")), F.struct(F.lit("kept").alias("reason"), F.lit(1).cast("long").alias("n")))
+    )
+    return counts.select(F.inline(parts)).groupBy("reason").agg(F.sum("n").alias("n"))
 
 
 @query("SELECT arg_min(doc_id, doc_id) AS doc_id, arg_min(lang, doc_id) AS lang, arg_min(n_chars, doc_id) AS n_chars FROM documents GROUP BY trim(regexp_replace(lower(text), '[ \\t-\\r]+', ' ', 'g'))")
@@ -118,13 +103,10 @@ def split_train_eval(spark, sf):
 )
 def label_distribution(spark, sf):
     rows = _t(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct(F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"))).alias("t"))
-    sizes = views.by_size(rows, "t").select(F.lit("size").alias("kind"), F.col("n_txns").cast("string").alias("value"), "n")
-    for field in ("flag", "status"):
-        sizes = sizes.unionByName(views.distribution(rows, "t", field).select(F.lit(field).alias("kind"), F.col(field).alias("value"), "n"))
-    return sizes
+    return views.label_counts(rows, "t", ("flag", "status"))
 
 
-_FAULTS = ("", "schema:required@/transactions/0/item", "schema:type@/transactions/0/amount", "schema:enum@/transactions/0/category", "schema:additionalProperties@/transactions/0", "schema:minItems@/transactions")
+_FAULTS = ("", "schema:required@transactions/0", "schema:type@transactions/0/amount", "schema:enum@transactions/0/category", "schema:additionalProperties@transactions/0", "schema:minItems@transactions")
 
 
 @query("SELECT m AS fault, CASE m " + " ".join(f"WHEN {k} THEN '{c}'" for k, c in enumerate(_FAULTS) if c) + " END AS bucket, count(*) AS n FROM (SELECT CAST((l_orderkey + l_linenumber) % 6 AS BIGINT) AS m FROM lineitem) GROUP BY 1, 2")
@@ -273,10 +255,11 @@ def pick_best_candidate(spark, sf):
     return select.pick_best(_attempts(spark, sf).drop("event_id"), "user_id").select("user_id", "provider", "rank", "score")
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) AND c_custkey NOT IN (SELECT user_id FROM events)")
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 50 = 0) AND c_custkey NOT IN (SELECT user_id FROM events WHERE event_id % 3 = 0)")
 def pending_anti_join(spark, sf):
-    key = lambda t, c: _t(spark, sf, t).select(F.col(c).alias("c_custkey"))
-    return reconcile.pending(key("customer", "c_custkey"), key("orders", "o_custkey"), key("events", "user_id"), "c_custkey")
+    labeled = _t(spark, sf, "orders").where("o_orderkey % 50 = 0").select(F.col("o_custkey").alias("c_custkey"))
+    skip = _t(spark, sf, "events").where("event_id % 3 = 0").select(F.col("user_id").alias("c_custkey"))
+    return reconcile.pending(_t(spark, sf, "customer").select("c_custkey"), labeled, skip, "c_custkey")
 
 
 _FAILED = ("validation_failed", "repair_exhausted", "all_candidates_failed", "provider_error", "teacher_error")
@@ -303,17 +286,17 @@ def retry_skip_set(spark, sf):
     return _failed(spark, sf).agg(F.count("*").alias("scanned"), count(retry_failed=True).alias("retry_failed"), count().alias("plain"), count(retry_validation_failed=True).alias("retry_validation"))
 
 
-@query("SELECT o_orderkey, coalesce(p_name, '') AS label FROM orders LEFT JOIN part ON p_partkey = o_orderkey")
+@query("SELECT o_orderkey, coalesce(label, '') AS label FROM orders LEFT JOIN (SELECT p_partkey // 2 AS k, arg_max(p_name, p_partkey) AS label FROM part GROUP BY 1) ON k = o_orderkey")
 def label_lookup(spark, sf):
-    labels = _t(spark, sf, "part").select(F.col("p_partkey").alias("o_orderkey"), F.col("p_name").alias("label"), F.col("p_size").alias("ord"))
+    labels = _t(spark, sf, "part").select(F.floor(F.col("p_partkey") / 2).alias("o_orderkey"), F.col("p_name").alias("label"), F.col("p_partkey").alias("ord"))
     return reconcile.label_lookup(_t(spark, sf, "orders").select("o_orderkey"), labels, "o_orderkey", "label", "ord")
 
 
 @query("SELECT c_custkey, CASE WHEN c_custkey IN (SELECT o_custkey FROM orders) THEN 'pruned' ELSE 'kept' END AS state FROM customer")
 def orphan_prune(spark, sf):
     failed = _t(spark, sf, "customer").select("c_custkey")
-    kept, pruned = reconcile.prune_orphans(failed, _t(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
-    return kept.withColumn("state", F.lit("kept")).unionByName(pruned.withColumn("state", F.lit("pruned")))
+    marked = reconcile.mark_orphans(failed, _t(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
+    return marked.select("c_custkey", F.when(F.col("labeled"), "pruned").otherwise("kept").alias("state"))
 
 
 @query("SELECT user_id, event_id AS pos FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id % 4 = 0, event_id) AS t FROM events WHERE value > 20 AND user_id NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0)) WHERE t = 1")
@@ -558,22 +541,28 @@ def repair_prompt(spark, sf):
     return rows.select("o_orderkey", F.md5(tx.repair_prompt(F.col("said"), F.col("a"), tx.failure_summary(F.col("attempts")))).alias("prompt"))
 
 
-@query("SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 3 = 0 THEN 0 WHEN o_orderkey % 3 = 1 THEN 1 ELSE 3 END AS INTEGER) AS differing FROM orders")
+@query("SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 3 = 0 THEN 0 WHEN o_orderkey % 3 = 1 THEN 1 ELSE 4 END AS INTEGER) AS differing FROM orders")
 def json_line_diff(spark, sf):
     k = F.col("o_orderkey")
     a = _txt('{\n  "amount": %d,\n  "item": "tea"\n}', k)
     b = F.when(k % 3 == 0, a).when(k % 3 == 1, _txt('{\n  "amount": %d,\n  "item": "tea"\n}', k + 1)).otherwise(_txt('{\n  "amount": %d,\n  "item": "tea",\n  "type": "x"\n}', k + 1))
-    differing = F.size(F.filter(tx.line_diff(a, b), lambda d: d))
-    # the third form changes the amount, adds a comma, and moves the end down by one line
-    return _t(spark, sf, "orders").select("o_orderkey", F.when(k % 3 == 2, differing - 1).otherwise(differing).alias("differing"))
+    # lines are compared by place: the third form changes the amount, adds a comma, and moves the end down by one line
+    return _t(spark, sf, "orders").select("o_orderkey", F.size(F.filter(tx.line_diff(a, b), lambda d: d)).alias("differing"))
 
 
-@query("SELECT DISTINCT user_id FROM events")
+@query(
+    """WITH p AS (SELECT user_id, event_id, event_id % 1000 >= 30 AS later FROM events WHERE event_id % 1000 >= 30 OR user_id % 2 = 0)
+    SELECT user_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY later, event_id) AS t FROM p) WHERE t = 1"""
+)
 def stream_dedupe(spark, sf):
-    base = f"{(spark.conf.get('spark.checkpoint.dir', None) or '/tmp/checkpoints').rstrip('/')}/ledgerloom/intake-{uuid.uuid4().hex}"
-    source = spark.read.parquet(f"{sf}/events.parquet")
-    incremental.intake(spark, f"{sf}/events.parquet", source.schema, "user_id", f"{base}/checkpoint", f"{base}/table")
-    return spark.read.parquet(f"{base}/table").select("user_id")
+    """Two runs over a folder that grows: the second looks the first's keys up and adds the others."""
+    path, base = jsonl.scratch(spark, "growing"), jsonl.scratch(spark, "intake")
+    rows = _t(spark, sf, "events").select("event_id", "user_id")
+    first = F.col("event_id") % 1000 < 30
+    for part in (first & (F.col("user_id") % 2 == 0), ~first):
+        rows.where(part).write.mode("append").parquet(path)
+        incremental.intake(spark, path, rows.schema, "user_id", "event_id", f"{base}/checkpoint", f"{base}/table")
+    return spark.read.parquet(f"{base}/table").select("user_id", "event_id")
 
 
 _RUNS = "r AS (SELECT user_id, event_type, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS g FROM events)"

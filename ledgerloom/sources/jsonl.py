@@ -2,11 +2,26 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerloom.functions import jsonx
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder of spark.checkpoint.dir. On a local master a session that names none has a folder
+    of its own, as in tests; on a cluster that is an error."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share")
+        base = f"{tempfile.gettempdir()}/ledgerloom-checkpoints"
+    return f"{base.rstrip('/')}/ledgerloom/{name}-{uuid.uuid4().hex}"
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """file, ord (by file name and place in it), raw for each non-blank line. ord is a struct to order by; line_numbers()
     makes numbers of it where they are needed."""
@@ -74,7 +89,8 @@ def rewrite(rows: DataFrame, path: str) -> None:
     fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
     write(rows, f"{path}.new")
     fs.delete(fs_path(f"{path}.bak"), True)
-    fs.rename(fs_path(path), fs_path(f"{path}.bak"))
+    if fs.exists(fs_path(path)):
+        fs.rename(fs_path(path), fs_path(f"{path}.bak"))
     fs.rename(fs_path(f"{path}.new"), fs_path(path))
 
 
@@ -83,8 +99,48 @@ def labelled_inputs(rows: DataFrame, raw: str = "raw") -> DataFrame:
     return read_inputs(rows, raw).where("state = 'ok'").select("input").distinct()
 
 
+def inputs_summary(rows: DataFrame, raw: str = "raw") -> DataFrame:
+    """One row: lines that are inputs, that are no JSON, and that have no text as input."""
+    state = read_inputs(rows, raw)
+    return state.agg(*[F.count_if(F.col("state") == s).alias(s) for s in ("ok", "bad_json", "bad_shape")])
+
+
+def said_lines(text: Column) -> Column:
+    """Lines of a model's answer but for blank and fence lines."""
+    return F.filter(F.split(text, "\n"), lambda x: (F.trim(x) != "") & ~F.trim(x).startswith("```"))
+
+
+def response_dropped(text: Column) -> Column:
+    """How many lines of an answer response_rows() leaves out, blank and fence lines aside."""
+    return F.size(said_lines(text)) - F.size(response_rows(text))
+
+
 def response_rows(text: Column) -> Column:
     """JSON lines of a model's answer that have input and output; blank and fence lines are skipped."""
-    lines = F.filter(F.split(text, "\n"), lambda x: (F.trim(x) != "") & ~F.trim(x).startswith("```"))
+    lines = said_lines(text)
     own = lambda x: jsonx.keys(F.try_parse_json(x))
     return F.filter(lines, lambda x: F.coalesce(F.array_contains(own(x), "input") & F.array_contains(own(x), "output"), F.lit(False)))
+
+
+def fixture_labels(rows: DataFrame, raw: str = "raw", order: str = "ord") -> DataFrame:
+    """input and label of a fixture, the last of each input: raw_output as it stands, else output as compact JSON. A line
+    without a text as input, or without either, fails the read."""
+    v = F.try_parse_json(F.col(raw))
+    kind = lambda path: F.coalesce(F.schema_of_variant(F.try_variant_get(v, path, "variant")), F.lit(""))
+    own = jsonx.keys(v)
+    label = F.when(kind("$.raw_output") == "STRING", F.try_variant_get(v, "$.raw_output", "string")).when(
+        ~F.array_contains(own, "raw_output") & F.array_contains(own, "output"), F.to_json(F.try_variant_get(v, "$.output", "variant"))
+    )
+    fault = F.concat(F.lit("fixture line needs a text as input, and output or a text as raw_output: "), F.col(raw))
+    good = (kind("$.input") == "STRING") & label.isNotNull()
+    checked = rows.select(F.col(order).alias("__o"), F.when(F.coalesce(good, F.lit(False)), F.struct(F.try_variant_get(v, "$.input", "string").alias("input"), label.alias("label"))).otherwise(F.raise_error(fault).cast("struct<input:string,label:string>")).alias("__r"))
+    return checked.groupBy("__r.input").agg(F.max_by("__r.label", "__o").alias("label"))
+
+
+def cursor(fixture: DataFrame, calls: DataFrame, ordinal: str, text: str = "input", order: str = "ord") -> DataFrame:
+    """What a fixture of inputs gives to the n-th call: its rows in turn, from the first again after the last."""
+    numbered = line_numbers(fixture, order).select(F.col("line").alias("__slot"), text)
+    size = fixture.count()
+    if not size:
+        return calls.withColumn(text, F.lit(None).cast("string")).limit(0)
+    return calls.withColumn("__slot", F.pmod(F.col(ordinal), F.lit(size))).join(numbered, "__slot").drop("__slot")

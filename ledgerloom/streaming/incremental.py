@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from ledgerloom.operators import reconcile
 
-def intake(spark: SparkSession, path: str, schema, key: str, checkpoint: str, table: str, files_a_trigger: int = 1000) -> None:
-    """Adds rows of new files under `path` whose key is not in `table` (a folder of Parquet) yet, the first of each
-    key. Runs until all files there are taken in; run it again for more. The keys taken in are looked up in the table
+
+def intake(spark: SparkSession, path: str, schema, key: str, order: str, checkpoint: str, table: str, files_a_trigger: int = 1000, target: int | None = None) -> None:
+    """Adds rows of new files under `path` whose key is not in `table` (a folder of Parquet) yet: of a batch, for each
+    key the row with the least `order`. target: no more rows are added once the table has so many, the first of a batch
+    by `order` fill it up. Runs until all files there are taken in; run it again for more. The keys taken in are looked up in the table
     itself, so no state grows in the query; a batch that is repeated after a failure adds nothing twice."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_a_trigger)
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -17,9 +20,14 @@ def intake(spark: SparkSession, path: str, schema, key: str, checkpoint: str, ta
         rows = reader.parquet(path)
 
     def add(batch: DataFrame, _: int) -> None:
-        fresh = batch.dropDuplicates([key])
+        fresh = reconcile.first_seen(batch, F.col(key), order)
+        have = 0
         if exists(spark, table):
-            fresh = fresh.join(spark.read.parquet(table).select(key), key, "left_anti")
+            held = spark.read.schema(schema).parquet(table)
+            fresh = fresh.join(held.select(key), key, "left_anti")
+            have = held.count() if target is not None else 0
+        if target is not None:
+            fresh = fresh.orderBy(order).limit(max(0, target - have))
         fresh.write.mode("append").parquet(table)
 
     rows.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
@@ -47,3 +55,20 @@ def stalls(events: DataFrame, key: str, order: str, value: str, stalled, least:
     """Keys with a run of `stalled` values of `least` or more, and where the first such run begins: there a run of work
     would have stopped."""
     return runs(events, key, order, value).where((F.col(value) == F.lit(stalled)) & (F.col("length") >= least)).groupBy(key).agg(F.min("first").alias("stopped_at"))
+
+
+def stops(batches: DataFrame, key: str, order: str, found: str, failed: str, limit: int = 3) -> DataFrame:
+    """Where each worker stops: at the `limit`-th batch in a row without a new input, or in a row that failed. batches:
+    key, order, found (new inputs), failed (boolean). key, reason (empty_batches or error_batches), stopped_at."""
+    state = F.when(F.col(failed), "error_batches").when(F.col(found) == 0, "empty_batches").otherwise("fine")
+    seen = runs(batches.withColumn("__state", state).withColumn("__turn", F.row_number().over(Window.partitionBy(key).orderBy(order))), key, "__turn", "__state")
+    ends = seen.where((F.col("__state") != "fine") & (F.col("length") >= limit)).groupBy(key).agg(F.min(F.struct((F.col("first") + limit - 1).alias("at"), F.col("__state").alias("reason"))).alias("__e"))
+    return ends.select(key, F.col("__e.reason").alias("reason"), F.col("__e.at").alias("stopped_at"))
+
+
+def correlated(requests: DataFrame, responses: DataFrame, key: str, asked: str, answered: str, wait: str = "10 minutes") -> DataFrame:
+    """Each request with the response of its id, if that comes within `wait`. On streams both sides need a watermark,
+    which bounds the state; tables join the same way."""
+    right = responses.withColumnRenamed(key, "__id")
+    near = (F.col(key) == F.col("__id")) & (F.col(answered) >= F.col(asked)) & (F.col(answered) <= F.col(asked) + F.expr(f"INTERVAL {wait}"))
+    return requests.join(right, near, "left").drop("__id")
