@@ -18,7 +18,7 @@ _CUT = bytes(
     for b in range(256)
 )
 #: Bytes of UTF-8 that a word hash keeps at most before it starts anew, so a worker's memory is bounded.
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 150_000
 
 
 def words_of(text: bytes | str | None) -> list[bytes]:
@@ -113,15 +113,25 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
     return batch.column(batch.schema.get_field_index(name)).cast(pa.binary()).to_pylist()
 
 
+#: Rows that a Python function holds at once: lists of what it finds in them are many times as large as the rows.
+PART_ROWS = 1024
+
+
+def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, without a copy."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, PART_ROWS):
+            yield batch.slice(at, PART_ROWS)
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]], schema: str) -> DataFrame:
     """mapInArrow: make() runs once a task and gives the function from a batch to columns by name."""
     arrow = to_arrow(df.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = make()
-        for batch in batches:
-            if batch.num_rows:
-                yield to_batch(one(batch), arrow)
+        for batch in parts_of(batches):
+            yield to_batch(one(batch), arrow)
 
     return df.mapInArrow(run, schema)
 
@@ -131,7 +141,7 @@ def map_rows(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     names = schema.names
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in run(batches):
+        for batch in run(parts_of(batches)):
             yield pa.RecordBatch.from_arrays(batch.columns, names=names)
 
     return df.toDF(*[f"c{k}" for k in range(len(df.columns))]).mapInArrow(named, schema)
@@ -167,7 +177,7 @@ def map_groups(
                 for k, v in one(current, dict(zip(names, held, strict=True))).items():
                     out[k].extend(v)
 
-        for batch in batches:
+        for batch in parts_of(batches):
             columns = [c.to_pylist() for c in batch.columns]
             marks = list(zip(*(columns[i] for i in at), strict=True))
             start = 0
