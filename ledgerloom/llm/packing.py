@@ -40,7 +40,7 @@ LOOSE = 0.75
 #: Bytes of a tokenizer file that is broadcast, at most.
 FILE_BYTES = 64 << 20
 
-_CACHED = 150_000
+_CACHED = 300_000
 _LOADED: dict[int, "Encoder"] = {}
 
 
