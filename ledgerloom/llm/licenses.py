@@ -55,7 +55,7 @@ NAMES = (
     ("epl-2", "eclipse", "eclipse public licen[cs]e(?: version)? (?:v2|2 0|2)"),
     ("epl", "eclipse", "eclipse public"),
     ("cddl", "cddl", "cddl(?: 1 [01])?"),
-    ("cddl", "distribution", "common development and distribution"),
+    ("cddl", "development", "common development and distribution"),
     ("eupl", "european", "european union public"),
     ("eupl", "eupl", "eupl(?: 1 [012])?"),
     ("artistic", "artistic", "(?:perl )?artistic(?: 2 0)?"),
@@ -129,38 +129,38 @@ NOTICES = (
     ("mit", "sublicense", 0.8, "rights to use copy modify merge publish distribute sublicense and or sell copies of the software"),
     ("mit", "substantial", 0.8, "shall be included in all copies or substantial portions of the software"),
     ("mit-0", "restriction", 0.8, "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so the software is provided"),
-    ("isc", "copies", 0.8, "provided that the above copyright notice and this permission notice appear in all copies"),
+    ("isc", "appear", 0.8, "provided that the above copyright notice and this permission notice appear in all copies"),
     ("bsd", "redistributions", 0.9, "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
     ("bsd", "redistributions", 0.9, "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer"),
     ("bsd-3-clause", "endorse", 0.9, "neither the name of [^ ]+(?: [^ ]+){0,6} nor the names of its contributors may be used to endorse"),
     ("bsd-4-clause", "advertising", 1.0, "all advertising materials mentioning features or use of this software must display the following acknowledg?ement"),
     ("bsd", "consequential", 0.6, "direct indirect incidental special exemplary or consequential damages"),
     ("apache-2", "apache", 1.0, "licensed under the apache licen[cs]e version 2 0 the licen[cs]e"),
-    ("apache-2", "www", 0.9, "www apache org licenses licen[cs]e 2 0"),
-    ("apache-2", "conditions", 0.8, "without warranties or conditions of any kind either express or implied see the licen[cs]e for the specific language governing permissions and limitations"),
+    ("apache-2", "apache", 0.9, "www apache org licenses licen[cs]e 2 0"),
+    ("apache-2", "governing", 0.8, "without warranties or conditions of any kind either express or implied see the licen[cs]e for the specific language governing permissions and limitations"),
     ("apache-2", "contributor", 0.9, "each contributor hereby grants to you a perpetual worldwide non ?exclusive no charge royalty free irrevocable (?:copyright|patent) licen[cs]e"),
-    ("apache-1", "developed", 0.9, "this product includes software developed by the apache software foundation"),
-    ("gpl-2", "version", 1.0, "either version 2 of the licen[cs]e or at your option any later version"),
-    ("gpl-3", "version", 1.0, "either version 3 of the licen[cs]e or at your option any later version"),
-    ("gpl-2", "version", 0.9, "gnu general public licen[cs]e version 2 june 1991"),
-    ("gpl-3", "version", 0.9, "gnu general public licen[cs]e version 3 29 june 2007"),
-    ("gpl", "warranty", 0.9, "this program is distributed in the hope that it will be useful but without any warranty"),
+    ("apache-1", "foundation", 0.9, "this product includes software developed by the apache software foundation"),
+    ("gpl-2", "option", 1.0, "either version 2 of the licen[cs]e or at your option any later version"),
+    ("gpl-3", "option", 1.0, "either version 3 of the licen[cs]e or at your option any later version"),
+    ("gpl-2", "1991", 0.9, "gnu general public licen[cs]e version 2 june 1991"),
+    ("gpl-3", "2007", 0.9, "gnu general public licen[cs]e version 3 29 june 2007"),
+    ("gpl", "hope", 0.9, "this program is distributed in the hope that it will be useful but without any warranty"),
     ("gpl", "received", 0.8, "you should have received a copy of the gnu general public licen[cs]e"),
     ("gpl", "verbatim", 0.7, "everyone is permitted to copy and distribute verbatim copies of this licen[cs]e document but changing it is not allowed"),
-    ("lgpl-2.1", "version", 1.0, "either version 2 1 of the licen[cs]e or at your option any later version"),
+    ("lgpl-2.1", "option", 1.0, "either version 2 1 of the licen[cs]e or at your option any later version"),
     ("lgpl", "received", 0.9, "you should have received a copy of the gnu lesser general public licen[cs]e"),
     ("agpl-3", "received", 0.9, "you should have received a copy of the gnu affero general public licen[cs]e"),
     ("agpl", "remotely", 0.8, "interacting with it remotely through a computer network"),
     ("gfdl", "invariant", 1.0, "with no invariant sections no front cover texts and no back cover texts"),
     ("mpl-2", "mpl", 0.9, "if a copy of the mpl was not distributed with this file"),
-    ("mpl-1.1", "software", 0.9, "software distributed under the licen[cs]e is distributed on an as is basis without warranty of any kind either express or implied"),
+    ("mpl-1.1", "basis", 0.9, "software distributed under the licen[cs]e is distributed on an as is basis without warranty of any kind either express or implied"),
     ("epl-2", "accompanying", 1.0, "this program and the accompanying materials are made available under the terms of the eclipse public licen[cs]e(?: v)? ?2 0"),
     ("epl-1", "accompanying", 1.0, "this program and the accompanying materials are made available under the terms of the eclipse public licen[cs]e v1 0"),
-    ("cddl", "contents", 0.9, "the contents of this file are subject to the terms of the common development and distribution licen[cs]e"),
+    ("cddl", "development", 0.9, "the contents of this file are subject to the terms of the common development and distribution licen[cs]e"),
     ("artistic", "perl", 0.9, "under the same terms as perl itself"),
     ("boost", "boost", 0.9, "distributed under the boost software licen[cs]e"),
     ("boost", "obtaining", 0.9, "to any person or organization obtaining a copy of the software and accompanying documentation covered by this licen[cs]e"),
-    ("zlib", "authors", 0.9, "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages"),
+    ("zlib", "liable", 0.9, "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages"),
     ("zlib", "misrepresented", 0.9, "the origin of this software must not be misrepresented"),
     ("unlicense", "compile", 0.9, "anyone is free to copy modify publish use compile sell or distribute this software"),
     ("wtfpl", "fuck", 1.0, "do what the fuck you want to public licen[cs]e"),
@@ -174,13 +174,13 @@ NOTICES = (
     ("cc0", "creativecommons", 0.9, "creativecommons org publicdomain zero 1 0"),
     ("openssl", "openssl", 0.9, "this product includes software developed by the openssl project"),
     ("php", "php", 0.9, "this product includes php software"),
-    ("python", "psf", 0.9, "psf hereby grants licensee a non ?exclusive royalty free world wide licen[cs]e"),
-    ("postgresql", "documentation", 0.8, "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
+    ("python", "hereby", 0.9, "psf hereby grants licensee a non ?exclusive royalty free world wide licen[cs]e"),
+    ("postgresql", "fee", 0.8, "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
     ("ofl", "font", 0.9, "this font software is licensed under the sil open font licen[cs]e"),
     ("ncsa", "illinois", 0.9, "neither the names of [^ ]+(?: [^ ]+){0,12} university of illinois"),
     ("w3c", "w3c", 0.8, "w3c software (?:and document )?notice"),
-    ("sspl", "service", 0.8, "if you make the functionality of the program or a modified version available to third parties as a service"),
-    ("busl", "licensor", 0.8, "licensor hereby grants you the right to copy modify create derivative works redistribute and make non ?production use of the licensed work"),
+    ("sspl", "functionality", 0.8, "if you make the functionality of the program or a modified version available to third parties as a service"),
+    ("busl", "hereby", 0.8, "licensor hereby grants you the right to copy modify create derivative works redistribute and make non ?production use of the licensed work"),
     ("copyright-notice", "copyright", 0.3, "copyright (?:c )?(?:19|20)[0-9][0-9]"),
 )
 _NOT_WORD = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
