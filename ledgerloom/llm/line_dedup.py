@@ -5,8 +5,8 @@ white space, and blank lines don't count.
 
 A passage is a run of lines next to each other, blank lines between aside, of `block_words` words or more. White space
 parts words; in scripts that are written without it, two characters count as a word (Han, kana) or four (Thai, Lao,
-Tibetan, Burmese, Khmer and others). Every
-passage that two documents share, wherever it stands in either, is deleted from the later, with the blank lines inside:
+Tibetan, Burmese, Khmer and others). Every passage that two documents share, wherever it stands in either, is deleted
+from the later, with the blank lines inside:
 
 1. Rare hashes pair documents. One line alone may stand in any number of documents, so the hashed units are windows: the
    shortest passages of a document, from each line on, and back from each line. What a window holds depends on nothing
