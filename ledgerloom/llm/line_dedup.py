@@ -32,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm.shared import every, free_names, keyed, map_batches, map_rows, texts
+from ledgerloom.llm.shared import every, free_names, keyed, map_batches, map_rows, scratch, spread_join, texts
 
 #: Words of a passage that is deleted, at least.
 BLOCK_WORDS = 10
@@ -195,8 +195,10 @@ def shared_windows(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame
     own = windows_of(docs, block_words)
     order = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "th")
     key = ["h", "c"]
-    holders = own.groupBy(*key).agg(F.min(F.struct(order.alias("o"), "a", "once")).alias("first"), F.max(order).alias("last")).where("first.o <> last").select(*key, "first")
-    later = own.join(holders, key).where(order != F.col("first.o"))
+    firsts = own.groupBy(*key).agg(F.min(F.struct(order.alias("o"), "a", "once")).alias("first"), F.max(order).alias("last"), F.count("*").alias("n"))
+    holders = scratch(firsts.where("first.o <> last").select(*key, "first", "n"), "holders")
+    # a window that a third of all documents have is dealt over many tasks
+    later = spread_join(own, holders, key, ["doc_id", "th", "a"]).where(order != F.col("first.o"))
     point = F.struct(F.col("first.o.doc_id").alias("id"), F.col("first.o.th").alias("th"), "a", "b", F.col("first.a").alias("q"), (F.col("once") & F.col("first.once")).alias("once"))
     # at most two for each of the document's lines
     return later.groupBy("doc_id", "th").agg(F.collect_set(point).alias("found"))

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ledgerloom.llm.components import components
-from ledgerloom.llm.shared import WordHashes, every, free_names, keyed, map_batches, map_groups, scratch, shingles, texts, words_of
+from ledgerloom.llm.shared import WordHashes, every, free_names, keyed, map_batches, map_groups, scratch, shingles, spread_join, texts, words_of
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -172,12 +172,14 @@ def _meetings(classes: DataFrame, block_docs: int, block_bytes: int) -> DataFram
     """h, block, others: for each class that shares a band hash with another, its block and the blocks that it meets,
     its own among them if another class is in it."""
     rows = classes.select("h", "size", F.explode("bands").alias("bucket"))
-    hubs = rows.groupBy("bucket").agg(F.min("h").alias("hub"), F.max("h").alias("top")).where("hub < top")
+    hubs = rows.groupBy("bucket").agg(F.min("h").alias("hub"), F.max("h").alias("top"), F.count("*").alias("n"))
+    hubs = scratch(hubs.where("hub < top").select("bucket", "hub", "n"), "hubs")
     # a class has as many buckets as there are bands, at most
-    shared = scratch(rows.join(hubs, "bucket").groupBy("h").agg(F.min("hub").alias("near"), F.first("size").alias("size"), F.collect_list("bucket").alias("buckets")), "shared")
-    sizes = shared.groupBy("near").agg(F.count("*").alias("n"), F.greatest(F.ceil(F.count("*") / block_docs), F.ceil(F.sum("size") / block_bytes)).cast("int").alias("parts"))
+    shared = scratch(spread_join(rows, hubs, ["bucket"], ["h"]).groupBy("h").agg(F.min("hub").alias("near"), F.first("size").alias("size"), F.collect_list("bucket").alias("buckets")), "shared")
+    parts = F.greatest(F.ceil(F.count("*") / block_docs), F.ceil(F.sum("size") / block_bytes)).cast("int")
+    sizes = scratch(shared.groupBy("near").agg(F.count("*").alias("n"), parts.alias("parts"), (F.count("*") > 1).alias("more")), "sizes")
     part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("h", "near"), "parts")).otherwise(F.lit(0))
-    placed = scratch(shared.join(sizes, "near").select("h", "buckets", F.xxhash64("near", part).alias("block"), (F.col("n") > 1).alias("more")), "placed")
+    placed = scratch(spread_join(shared, sizes, ["near"], ["h"]).select("h", "buckets", F.xxhash64("near", part).alias("block"), "more"), "placed")
     held = placed.select("h", "block", F.explode("buckets").alias("bucket"))
     met = held.groupBy("bucket").agg(F.collect_set("block").alias("blocks")).where(F.size("blocks") > 1)
     far = held.join(met, "bucket").groupBy("h").agg(F.array_distinct(F.flatten(F.collect_list("blocks"))).alias("blocks"))
@@ -214,10 +216,11 @@ def jaccard_join(
     linked = classes.join(linked.select("key", "links", "root"), "key").select("key", "root", "links", "rep")
     heads = linked.groupBy("root").agg(F.min("rep").alias("head"))
     verdicts = classes.select("key", "n", "rep").join(linked.join(heads, "root").select("key", "links", "head"), "key", "left").select(
-        "key", F.coalesce("head", "rep").alias("head"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links")
+        "key", F.coalesce("head", "rep").alias("head"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "n"
     )
     own = signed.select("doc_id", "th", "key")
-    out = own.join(verdicts, "key", "left")
+    # copies of one text, and texts without words, may be a third of all rows
+    out = spread_join(own, verdicts, ["key"], ["doc_id", "th"], counts=classes.select("key", "n"), how="left")
     same = F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("th") == F.col("head.th"))
     return out.select(
         "doc_id", "th",

@@ -199,6 +199,34 @@ def map_groups(
     return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 
+#: Keys that more than a HOT_KEYS-th of a join's rows have are hot, so there are fewer of them than that. A key of
+#: HOT_ROWS rows or less is none: a task holds them anyway.
+HOT_KEYS = 1024
+HOT_ROWS = 1024
+#: Parts that the rows of a hot key are dealt over.
+SPLITS = 256
+
+
+def spread_join(rows: DataFrame, side: DataFrame, keys: list[str], by: list[str], counts: DataFrame | None = None, how: str = "inner") -> DataFrame:
+    """rows joined with side on keys, however many rows have one key. side has a row a key, with n, the number of rows
+    that have it; counts has the keys and n too, where side itself is dear to compute twice. Hot keys, fewer than
+    HOT_KEYS of them, are sent to all tasks; their rows are dealt over SPLITS parts by a hash of the columns `by`, and
+    their row of side goes to each part. Rows with a null key match nothing and are dealt likewise. n doesn't come
+    along."""
+    counts = side if counts is None else counts
+    part, hot = free_names(rows.columns + side.columns, "part", "hot")
+    many = F.col("n") > max((counts.agg(F.sum("n")).head()[0] or 0) // HOT_KEYS, HOT_ROWS)
+    marks = F.broadcast(counts.where(many).select(*keys, F.lit(True).alias(hot)))
+    missing = F.lit(False)
+    for key in keys:
+        missing = missing | F.col(key).isNull()
+    dealt = F.when(F.col(hot) | missing, F.pmod(F.xxhash64(*by), F.lit(SPLITS)).cast("int")).otherwise(F.lit(0))
+    left = rows.join(marks, keys, "left").withColumn(part, dealt).drop(hot)
+    parts = F.when(many, F.sequence(F.lit(0), F.lit(SPLITS - 1))).otherwise(F.array(F.lit(0)))
+    right = side.withColumn(part, F.explode(parts)).drop("n")
+    return left.join(right.hint("merge"), [*keys, part], how).drop(part)
+
+
 def fold(doc_id) -> "F.Column":
     """crc32 of the id as text, modulo 4; a null id has none."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4

@@ -15,7 +15,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import catalogue, decontaminate, html_text, language, licenses, line_dedup, ngram_join, packing, quality, secrets, toxicity
+from ledgerloom.llm import catalogue, decontaminate, html_text, language, licenses, line_dedup, ngram_join, packing, quality, secrets, shared, toxicity
 
 SF = "/root/testdata/sf0.001"
 ODD = [
@@ -495,6 +495,20 @@ def test_blocks_change_nothing(spark):
     assert rows() == rows(block_docs=2)
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_hot_keys_join_like_others(spark, monkeypatch, how):
+    monkeypatch.setattr(shared, "HOT_ROWS", 10)
+    monkeypatch.setattr(shared, "HOT_KEYS", 8)
+    data = [(k, 1 if k % 3 == 0 else None if k % 5 == 0 else k) for k in range(600)]
+    rows = spark.createDataFrame(data, "id int, key int")
+    side = rows.where("key % 2 = 1").groupBy("key").agg(F.count("*").alias("n"), (F.max("key") * 10).alias("value"))
+    found = shared.spread_join(rows, side, ["key"], ["id"], how=how)
+    assert sorted(found.columns) == ["id", "key", "value"]
+    want = rows.join(side.drop("n"), "key", how).select("id", "key", "value")
+    assert sorted(map(str, found.select("id", "key", "value").collect())) == sorted(map(str, want.collect()))
+    assert side.where("n > 10").count() == 1
+
+
 def test_native_plans_hold_no_python(spark):
     for query in (licenses.detections, quality.verdicts):
         plan = query(spark, SF)._jdf.queryExecution().executedPlan().toString()
