@@ -227,6 +227,8 @@ def enrich(rows: DataFrame, batches: int = BATCHES, delay: int = DELAY, shards:
     shards: keys of the state, by default as many as the rows need; None: a key for each client."""
     spark = rows.sparkSession
     base = f"{scratch_dir(spark)}/sale-enrichment-{uuid.uuid4().hex}"
+    if rows.isEmpty():
+        return spark.createDataFrame([], RESULT)
     placed, shards, parts = dealt(rows, shards, shard_rows)
     names = [x.split()[0] for x in ROWS.split(", ")]
     placed.select(*names, "batch").write.partitionBy("batch").parquet(f"{base}/staged")
