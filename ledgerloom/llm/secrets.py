@@ -27,6 +27,7 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -43,8 +44,12 @@ _ASSIGN_HINT = re.compile(r"passw|secret|token|api_?key", re.IGNORECASE | re.ASC
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _BREAK = r"(?:\s|\\[rn])"
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,64})-----((?:" + _BREAK + r"|[A-Za-z0-9+/=])*?|" + _BREAK + r"*(?:[A-Za-z-]{1,32}: [^\n\\]{0,200}" + _BREAK + r"+)+(?:" + _BREAK + r"|[A-Za-z0-9+/=])*?)-----END \1-----", re.ASCII)
-_PEM_HEADER = re.compile(r"[A-Za-z-]{1,32}: [^\n\\]{0,200}")
+#: Armour is walked from each opening mark: lines of headers, then base64. No part can be read in two ways or goes past
+#: the next mark, so a text costs its length.
+_BEGIN = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----")
+_BREAKS = re.compile(_BREAK + "*+", re.ASCII)
+_PEM_HEADER = re.compile(r"[A-Za-z-]++: (?:[^\n\\-]|-(?!----))*+(?=\n|\\[rn])")
+_PEM_BODY = re.compile(r"(?:" + _BREAK + r"|[A-Za-z0-9+/=])*+", re.ASCII)
 #: A run of base64 of one alphabet, 32 characters or more; wrapped: full lines of one length and a last one, parted by
 #: line ends, escaped or not.
 _RUN = re.compile(r"[A-Za-z0-9+/_-]{32,}={0,2}")
@@ -209,12 +214,21 @@ def _json_part(text: str) -> dict | None:
 
 def _armoured(text: str) -> list[tuple[int, int]]:
     out = []
-    for m in _PEM.finditer(text):
-        body = re.sub(_BREAK, "", _PEM_HEADER.sub("", m[2]))
-        sealed = body != re.sub(_BREAK, "", m[2])  # header lines: the body is ciphertext, so only its alphabet shows
-        data = _decode(body)
-        if data and (is_key(data) or ssh_fits(data) or sealed and "PRIVATE KEY" in m[1] and "Proc-Type: 4,ENCRYPTED" in m[2] and len(data) % 8 == 0):
-            out.append(m.span())
+    for m in _BEGIN.finditer(text):
+        at = _BREAKS.match(text, m.end()).end()
+        headers = []
+        while line := _PEM_HEADER.match(text, at):
+            headers.append(line[0])
+            at = _BREAKS.match(text, line.end()).end()
+        body = _PEM_BODY.match(text, at)
+        mark = f"-----END {m[1]}-----"
+        if not text.startswith(mark, body.end()):
+            continue
+        data = _decode(re.sub(_BREAK, "", body[0]))
+        # with header lines the body may be ciphertext, so only its alphabet shows
+        sealed = "PRIVATE KEY" in m[1] and any(h.startswith("Proc-Type: 4,ENCRYPTED") for h in headers)
+        if data and (is_key(data) or ssh_fits(data) or sealed and len(data) % 8 == 0):
+            out.append((m.start(), body.end() + len(mark)))
     return out
 
 
@@ -222,7 +236,8 @@ def confirmed(text: str) -> list[tuple[str, int, int]]:
     """Spans of the method's kinds."""
     armour = _armoured(text) if "-----BEGIN " in text else []
     out = [("pem", a, b) for a, b in armour]
-    outside = lambda at: not any(a <= at < b for a, b in armour)
+    ends = [b for _, b in armour]
+    outside = lambda at: not ((k := bisect_right(ends, at)) < len(armour) and armour[k][0] <= at)
     done = seen = 0
     for m in _RUN.finditer(text):
         # a key opens with a sequence (M) or with the length of its type (AAAA); what stands before it may be its name
