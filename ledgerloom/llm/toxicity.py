@@ -50,7 +50,8 @@ _LOOKALIKES = {
 _INVISIBLE = "­​‌‍⁠﻿"
 #: Digits and signs that stand for letters.
 _LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i", "|": "l"}
-_TOKEN = re.compile(r"[a-z0134578@$!|]*[0134578@$!|][a-z0134578@$!|]*")
+#: A whole run of letters and signs with a sign in it, found from its beginning alone: a run of letters costs its length.
+_TOKEN = re.compile(r"(?<![a-z0134578@$!|])[a-z]*+[0134578@$!|][a-z0134578@$!|]*+")
 _RUN = re.compile(r"([0134578@$!|])\1{2,}")
 _LOOSE = re.compile(r"[!|]+(?![a-z0134578@$])")
 
