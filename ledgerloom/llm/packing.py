@@ -12,7 +12,7 @@ their own; ties in length are broken by order of arrival in the shard.
 
 Local search: the emptiest bin gives to fuller ones, by moving a piece, exchanging one for one, two for one or one for
 two, always the exchange that raises the sum of squared fills most, until it is empty or none raises it; then comes
-the next emptiest. It ends at the least number of bins that the tokens need, or when each underfull bin has been tried
+the next emptiest. It ends at a number of bins that no packing of these lengths is under, or when each underfull bin has been tried
 since the last exchange. A bin tried in vain is tried again only with bins that have changed since.
 """
 
@@ -21,9 +21,8 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
-from bisect import bisect_left
 from collections import defaultdict
-from itertools import combinations
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -160,79 +159,127 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
+def least_bins(lengths: list[int], capacity: int) -> int:
+    """A number of bins that no packing is under: for each k, pieces over capacity - k share a bin with none of k or more,
+    those over half the capacity share one with none of each other, and what of those from k to half doesn't fit beside
+    the latter needs bins of its own."""
+    count = [0] * (capacity + 2)
+    for n in lengths:
+        count[n] += 1
+    best, half = 0, capacity // 2
+    bins = sum(count[half + 1 :])  # pieces over half the capacity
+    room = sum((capacity - n) * count[n] for n in range(half + 1, capacity + 1))  # beside the latter
+    small = sum(n * count[n] for n in range(half + 1))  # tokens of pieces from k to half
+    for k in range(half + 1):
+        room -= (k - 1) * count[capacity - k + 1]
+        best = max(best, bins + max(0, -(-(small - room) // capacity)))
+        small -= k * count[k]
+    return best
+
+
+class _Bin:
+    """Pieces of a bin by length. `one` has a bit for each length, `two` for each sum of the lengths of two pieces."""
+
+    def __init__(self, pieces: list[int], lengths: list[int]) -> None:
+        self.by: dict[int, list[int]] = defaultdict(list)
+        for i in pieces:
+            self.by[lengths[i]].append(i)
+        self.settle()
+
+    def settle(self) -> None:
+        self.lengths = sorted(n for n, held in self.by.items() if held)
+        self.fill = sum(n * len(self.by[n]) for n in self.lengths)
+        self.one = sum(1 << n for n in self.lengths)
+        self.two = 0
+        for n in self.lengths:
+            others = self.one if len(self.by[n]) > 1 else self.one & ~(1 << n)
+            self.two |= others << n
+
+    def pair(self, total: int) -> tuple[int, int]:
+        """Lengths of two pieces of this sum."""
+        return next((n, total - n) for n in self.lengths if self.by.get(total - n) and (n != total - n or len(self.by[n]) > 1))
+
+    def pieces(self) -> list[int]:
+        return [i for held in self.by.values() for i in held]
+
+
+@lru_cache(4)
+def _below(capacity: int) -> list[int]:
+    """Masks of the bits 0 to n."""
+    return [(2 << n) - 1 for n in range(2 * capacity + 1)]
+
+
+def _exchange(e: _Bin, f: _Bin, room: int, most: int, below: list[int]) -> tuple[int, tuple[int, ...], tuple[int, ...]]:
+    """The exchange that brings f most, `most` at the most: how much, the lengths that e gives and those that it takes. A
+    move, one for one, two for one, or one for two."""
+    n = (e.one & below[room]).bit_length() - 1
+    best = (n, (n,), ()) if n > 0 else (0, (), ())
+    for t in f.lengths:
+        if best[0] == most:
+            return best
+        g = (e.one & below[t + room]).bit_length() - 1
+        if g - t > best[0]:
+            best = (g - t, (g,), (t,))
+        g = (e.two & below[t + room]).bit_length() - 1
+        if g - t > best[0]:
+            best = (g - t, e.pair(g), (t,))
+    for g in e.lengths:
+        if best[0] == most:
+            return best
+        low = max(0, g - room)
+        if left := f.two >> low:
+            t = low + (left & -left).bit_length() - 1
+            if g - t > best[0]:
+                best = (g - t, (g,), f.pair(t))
+    return best
+
+
 def empty_bins(bins: list[list[int]], lengths: list[int], capacity: int) -> list[list[int]]:
     """Local search (see above). Bins that are full stay as they are."""
-    least = -(-sum(lengths) // capacity)
+    least = least_bins(lengths, capacity)
     full = [b for b in bins if sum(lengths[i] for i in b) == capacity]
-    open_ = [b for b in bins if sum(lengths[i] for i in b) < capacity]
-    fill = [sum(lengths[i] for i in b) for b in open_]
-    held, fills = dict(enumerate(open_)), dict(enumerate(fill))
+    held = dict(enumerate(_Bin(b, lengths) for b in bins if sum(lengths[i] for i in b) < capacity))
     clock = 1
     changed, tried = dict.fromkeys(held, 1), dict.fromkeys(held, 0)
     while len(full) + len(held) > least and (left := [k for k in held if tried[k] < clock]):
-        e = min(left, key=fills.__getitem__)
-        clock = _drain(e, held, fills, changed, tried[e], clock, lengths, capacity)
+        e = min(left, key=lambda k: held[k].fill)
+        clock = _drain(e, held, changed, tried[e], clock, capacity)
         tried[e] = clock
-        if not held[e]:
+        if not held[e].lengths:
             del held[e]
-    return full + list(held.values())
+    return full + [b.pieces() for b in held.values()]
 
 
-def _drain(e: int, bins: dict[int, list[int]], fill: dict[int, int], changed: dict[int, int], since: int, clock: int, lengths: list[int], capacity: int) -> int:
+def _drain(e: int, bins: dict[int, _Bin], changed: dict[int, int], since: int, clock: int, capacity: int) -> int:
     """Exchanges until bin e is empty or none gains; the clock after them. since: when e was last tried in vain."""
-    size = lengths.__getitem__
-    while bins[e]:
-        best: tuple = (0, None)
+    mine, below = bins[e], _below(capacity)
+    while mine.lengths:
+        gain, best = 0, None
         new = changed[e] > since
-        most = {f: 2 * d * (fill[f] - fill[e] + d) for f in bins if f != e and fill[f] >= fill[e] and (new or changed[f] > since) and (d := min(capacity - fill[f], fill[e])) > 0}
+        most = {f: 2 * d * (b.fill - mine.fill + d) for f, b in bins.items() if f != e and b.fill >= mine.fill and (new or changed[f] > since) and (d := min(capacity - b.fill, mine.fill)) > 0}
         for f in sorted(most, key=most.__getitem__, reverse=True):
-            if most[f] <= best[0]:
+            if most[f] <= gain:
                 break
-            for kind in (_moves, _swaps, _pairs):
-                for given, taken in kind(bins[e], bins[f], capacity - fill[f], size):
-                    d = sum(map(size, given)) - sum(map(size, taken))
-                    gain = 2 * d * (fill[f] - fill[e] + d)
-                    if d > 0 and gain > best[0]:
-                        best = (gain, (f, given, taken, d))
-        if not best[1]:
+            room = capacity - bins[f].fill
+            d, given, taken = _exchange(mine, bins[f], room, min(room, mine.fill), below)
+            if 2 * d * (bins[f].fill - mine.fill + d) > gain:
+                gain, best = 2 * d * (bins[f].fill - mine.fill + d), (f, given, taken)
+        if not best:
             break
-        f, given, taken, d = best[1]
-        bins[e] = [i for i in bins[e] if i not in given] + list(taken)
-        bins[f] = [i for i in bins[f] if i not in taken] + list(given)
-        fill[e] -= d
-        fill[f] += d
+        f, given, taken = best
+        theirs = bins[f]
+        going, coming = [mine.by[n].pop() for n in given], [theirs.by[n].pop() for n in taken]
+        for n, i in zip(given, going, strict=True):
+            theirs.by[n].append(i)
+        for n, i in zip(taken, coming, strict=True):
+            mine.by[n].append(i)
+        mine.settle()
+        theirs.settle()
         clock += 1
         changed[e] = changed[f] = clock
     return clock
 
 
-def _moves(mine: list[int], theirs: list[int], room: int, size) -> list:
-    fit = [i for i in mine if size(i) <= room]
-    return [((max(fit, key=size),), ())] if fit else []
-
-
-def _swaps(mine: list[int], theirs: list[int], room: int, size) -> list:
-    return _exchanges([(size(i), (i,)) for i in mine], sorted((size(i), (i,)) for i in theirs), room)
-
-
-def _pairs(mine: list[int], theirs: list[int], room: int, size) -> list:
-    """Two for one and one for two."""
-    two = lambda own: [(size(a) + size(b), (a, b)) for a, b in combinations(own, 2)]
-    one = lambda own: [(size(i), (i,)) for i in own]
-    return _exchanges(two(mine), sorted(one(theirs)), room) + _exchanges(one(mine), sorted(two(theirs)), room)
-
-
-def _exchanges(given: list, taken: list, room: int) -> list:
-    """For each given the least taken that leaves room for it: the most that can be gained."""
-    sizes = [n for n, _ in taken]
-    out = []
-    for n, what in given:
-        k = bisect_left(sizes, n - room)
-        if k < len(sizes) and sizes[k] < n:
-            out.append((what, taken[k][1]))
-    return out
-
-
 def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_bins: int = SHARD_BINS, shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """pieces (a column length, 1 to capacity, and any others) with sequence_id and offset, under these names (a column
     of pieces that has one of them goes)."""
