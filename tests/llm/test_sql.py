@@ -49,7 +49,7 @@ def small(spark, odd, tmp_path_factory):
     spark.createDataFrame(items, "item_id string, text string").write.parquet(f"{d}/benchmark.parquet")
     spark.createDataFrame([(1, 0, 0), (6, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
     spark.createDataFrame([(1, None), (2, ""), (2, "<p>a"), (None, "<p>a")], "page_id long, html string").write.parquet(f"{d}/pages.parquet")
-    vectors = [(k, [((k * 37 + i * 11) % 19 - 9) / 16 for i in range(64)]) for k in (*range(9), 3, 3, None)]
+    vectors = [(k, [(((k or 0) * 37 + i * 11) % 19 - 9) / 16 for i in range(64)]) for k in (*range(9), 3, 3, None)]
     vectors += [(20, None), (21, []), (22, [0.5] * 63), (23, [float("nan")] + [0.5] * 63), (24, [float("-inf")] + [0.5] * 63), (25, [None] + [0.5] * 63)]
     spark.createDataFrame(vectors, "vec_id long, embedding array<float>").withColumns({n: F.lit("x") for n in ("cluster", "x", "n", "upper")}).write.parquet(f"{d}/embeddings.parquet")
     return d
@@ -69,11 +69,11 @@ def listed(frame):
     return sorted([tuple(float(x) if isinstance(x, (int, float)) and not isinstance(x, bool) else x for x in r) for r in rows], key=repr)
 
 
-@pytest.mark.parametrize("where", ["data", "odd"])
 #: Its tables are the shop's, and each of its runs takes long: test_sale_enrichment.py has it.
 APART = {"op12_sale_enrichment"}
 
 
+@pytest.mark.parametrize("where", ["data", "odd"])
 @pytest.mark.parametrize("name", sorted(catalogue.ORACLES.keys() - APART))
 def test_query_equals_sql(spark, small, name, where):
     d = SF if where == "data" else small
