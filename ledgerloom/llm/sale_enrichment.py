@@ -80,10 +80,11 @@ def change_rows(changes: DataFrame, batch: Column) -> DataFrame:
     return known.select(F.lit(CHANGE).cast("tinyint").alias("kind"), null("client_id").alias("client"), null("change_id").alias("id"), micros("valid_at").alias("at"), null("seq").alias("seq"), F.coalesce(cents, F.lit(NONE)).alias("cents"), F.col("op").cast("string").alias("op"), batch.alias("batch"))
 
 
-def dealt(rows: DataFrame, shards: int | None, shard_rows: int) -> tuple[DataFrame, int | None, DataFrame | None]:
-    """rows with shard and part, the number of shards, and the parts there are but for part 0 (None: no client is hot)."""
+def dealt(rows: DataFrame, shards: int | None, shard_rows: int) -> tuple[DataFrame, int | None, DataFrame | None, int]:
+    """rows with shard and part, the number of shards, the parts there are but for part 0 (None: no client is hot), and
+    the number of rows."""
     if shards is None:  # a key a client
-        return rows.withColumn("shard", F.col("client")).withColumn("part", F.lit(0)), None, None
+        return rows.withColumn("shard", F.col("client")).withColumn("part", F.lit(0)), None, None, rows.count()
     spark = rows.sparkSession
     counts = scratch(rows.groupBy("client").agg(F.count("*").alias("n"), F.count_if(F.col("kind") == SALE).alias("sales")), "client-rows")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
@@ -93,13 +94,13 @@ def dealt(rows: DataFrame, shards: int | None, shard_rows: int) -> tuple[DataFra
     own = F.when(F.col("client") == NONE, F.xxhash64("id", "at")).otherwise(F.xxhash64("client"))
     rows = rows.withColumn("shard", F.pmod(own, F.lit(shards)))
     if not found:
-        return rows.withColumn("part", F.lit(0)), shards, None
+        return rows.withColumn("part", F.lit(0)), shards, None, total
     table = spark.createDataFrame(found, "client long, parts int")
     rows = rows.join(F.broadcast(table), "client", "left")
     turn = 1 + F.pmod(F.xxhash64("id", "at"), F.col("parts")).cast("int")
     part = F.when(F.col("parts").isNull(), F.array(F.lit(0))).when(F.col("kind") == SALE, F.array(turn)).otherwise(F.sequence(F.lit(1), F.col("parts")))
     keys = table.select(F.pmod(F.xxhash64("client"), F.lit(shards)).alias("shard"), F.explode(F.sequence(F.lit(1), F.col("parts"))).alias("part")).distinct()
-    return rows.withColumn("part", F.explode(part)).drop("parts"), shards, keys
+    return rows.withColumn("part", F.explode(part)).drop("parts"), shards, keys, total
 
 
 def watermarks(rows: DataFrame, batches: int, delay: int) -> list[tuple[int, int]]:
@@ -220,6 +221,11 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.minBatchesToRetain": "2",
 }
+#: On a shared folder that is mounted (file:), Spark's usual manager of checkpoint files starts processes for each file it
+#: writes; this one, which renames through the FileSystem, doesn't.
+MOUNTED = {"spark.sql.streaming.checkpointFileManagerClass": "org.apache.spark.sql.execution.streaming.checkpointing.FileSystemBasedCheckpointFileManager"}
+#: Rows of a staged file, about.
+FILE_ROWS = 200_000
 
 
 def enrich(rows: DataFrame, batches: int = BATCHES, delay: int = DELAY, shards: int | None = 0, shard_rows: int = SHARD_ROWS) -> DataFrame:
@@ -229,9 +235,11 @@ def enrich(rows: DataFrame, batches: int = BATCHES, delay: int = DELAY, shards:
     base = f"{scratch_dir(spark)}/sale-enrichment-{uuid.uuid4().hex}"
     if rows.isEmpty():
         return spark.createDataFrame([], RESULT)
-    placed, shards, parts = dealt(rows, shards, shard_rows)
+    placed, shards, parts, total = dealt(rows, shards, shard_rows)
     names = [x.split()[0] for x in ROWS.split(", ")]
-    placed.select(*names, "batch").write.partitionBy("batch").parquet(f"{base}/staged")
+    pieces = max(1, total // FILE_ROWS)  # few files a batch: a stream lists each
+    spread = placed.select(*names, "batch").repartition(max(pieces, int(spark.conf.get("spark.sql.shuffle.partitions"))), "batch", F.pmod(F.xxhash64("id", "part"), F.lit(pieces)))
+    spread.write.partitionBy("batch").parquet(f"{base}/staged")
     staged = spark.read.schema(f"{ROWS}, batch int").parquet(f"{base}/staged")
     marks = watermarks(staged, batches, delay)
     fs_path = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
@@ -243,10 +251,11 @@ def enrich(rows: DataFrame, batches: int = BATCHES, delay: int = DELAY, shards:
         keys = spark.read.schema("shard long, part int").parquet(f"{base}/keys")
     else:
         keys = spark.range(shards).select(F.col("id").alias("shard"), F.lit(0).alias("part"))
-        keys = keys if parts is None else keys.unionByName(parts)
-    held = {k: spark.conf.get(k, None) for k in STATE}
+        keys = (keys if parts is None else keys.unionByName(parts)).coalesce(1 + shards // FILE_ROWS)
+    settings = STATE | (MOUNTED if fs.getUri().getScheme() == "file" else {})
+    held = {k: spark.conf.get(k, None) for k in settings}
     try:
-        for k, v in STATE.items():
+        for k, v in settings.items():
             spark.conf.set(k, v)
         for b in range(batches + 1):
             sold, valid = marks[b] if b < batches else (NONE, NONE)
