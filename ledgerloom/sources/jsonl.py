@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ledgerloom.functions import jsonx
 
@@ -22,27 +22,64 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/ledgerloom/{name}-{uuid.uuid4().hex}"
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """file, ord (by file name and place in it), raw for each non-blank line. ord is a struct to order by; line_numbers()
-    makes numbers of it where they are needed."""
-    lines = spark.read.text(path).select(
+def found(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file of this name or pattern."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop))
+
+
+def _all_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file, ord, raw of each line, blank or not; none if there is no such file. ord is a struct: file, block, and a
+    number that counts the lines of a block one by one, since a task reads it from end to end."""
+    if not found(spark, path):
+        return spark.createDataFrame([], "file string, ord struct<f:string,b:bigint,i:bigint>, raw string")
+    return spark.read.text(path).select(
         F.col("_metadata.file_name").alias("file"),
         F.struct(F.col("_metadata.file_name").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i")).alias("ord"),
         F.col("value").alias("raw"),
     )
-    return lines.where(F.trim("raw") != "")
+
+
+def _blank(raw: str) -> Column:
+    return F.trim(F.regexp_replace(raw, "[\t-\r]", " ")) == ""
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file, ord (by file name and place in it), raw for each non-blank line. ord is a struct to order by."""
+    return _all_lines(spark, path).where(~_blank("raw"))
+
+
+#: Blocks of files whose offsets are sent to all tasks: one of each 128 MB, so these are 256 TB.
+MOST_BLOCKS = 2_000_000
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file, ord, raw, line for each non-blank line; line is its number in its file from 1, blank lines counted. A first
+    pass counts the lines of each block, a second adds what stands before it: no line is moved for it."""
+    lines = _all_lines(spark, path)
+    at = scratch(spark, "blocks")
+    lines.groupBy("ord.f", "ord.b").agg(F.count("*").alias("n"), F.min("ord.i").alias("first")).write.parquet(at)
+    blocks = spark.read.schema("f string, b long, n long, first long").parquet(at)
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("f").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = blocks.select("f", "b", (before - F.col("first") + 1).alias("__start"))
+    few = F.broadcast if blocks.count() <= MOST_BLOCKS else (lambda frame: frame)
+    own = lines.where(~_blank("raw")).withColumns({"f": F.col("ord.f"), "b": F.col("ord.b")})
+    return own.join(few(starts), ["f", "b"]).select("file", "ord", "raw", (F.col("ord.i") + F.col("__start")).alias("line"))
 
 
 def line_numbers(rows: DataFrame, order: str = "ord", start: int = 0) -> DataFrame:
     """Adds `line`: numbers in the order of `order`, without bringing all rows to one task: rows are dealt by range and
-    each range starts where those before it end."""
-    ranged = rows.repartitionByRange(F.col(order)).sortWithinPartitions(order).withColumn("__p", F.spark_partition_id()).withColumn("__i", F.monotonically_increasing_id())
+    written once, so that counts and numbers go by the same ranges, and each range starts where those before it end."""
     spark = rows.sparkSession
+    ranged = rows.repartitionByRange(F.col(order)).sortWithinPartitions(order).withColumn("__p", F.spark_partition_id()).withColumn("__i", F.monotonically_increasing_id())
+    at = scratch(spark, "ranges")
+    ranged.write.parquet(at)
+    ranged = spark.read.schema(ranged.schema).parquet(at)
     sizes = ranged.groupBy("__p").agg(F.count("*").alias("n"), F.min("__i").alias("first")).collect()  # one row a partition
-    at, offsets = start, []
+    end, offsets = start, []
     for r in sorted(sizes, key=lambda r: r["__p"]):
-        offsets.append((r["__p"], at - r["first"]))
-        at += r["n"]
+        offsets.append((r["__p"], end - r["first"]))
+        end += r["n"]
     table = spark.createDataFrame(offsets or [(0, 0)], "__p int, __off long")
     return ranged.join(F.broadcast(table), "__p").withColumn("line", F.col("__i") + F.col("__off")).drop("__p", "__i", "__off")
 
@@ -70,11 +107,18 @@ def read_strict(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def read_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A file that holds one JSON array; an empty table if there is none."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+    """A small file that holds one JSON array; an empty table if there is none, or if it holds anything else."""
+    if not found(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    text = spark.read.option("wholetext", True).text(path)
+    is_array = F.coalesce(F.schema_of_variant(F.try_parse_json("value")).startswith("ARRAY"), F.lit(False))
+    return text.where(is_array).select(F.inline(F.from_json("value", f"array<struct<{schema}>>")))
+
+
+def write_array(rows: DataFrame, path: str) -> None:
+    """One JSON array as a file in a folder, in place of what is there: for tables as small as flags are."""
+    columns = F.struct(*rows.columns)
+    rows.agg(F.coalesce(F.to_json(F.collect_list(columns), {"ignoreNullFields": "false"}), F.lit("[]")).alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
 def write(rows: DataFrame, path: str, append: bool = False) -> None:
