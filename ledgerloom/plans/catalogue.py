@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerloom.functions import jsonx, text as tx
 from ledgerloom.functions.amounts import amounts
 from ledgerloom.operators import audit, evalreport, metrics, reconcile, schedule, select, validate, views
-from ledgerloom.plans import runs as _runs  # noqa: F401  registers its queries too
+from ledgerloom.plans import runs as _runs, streams as _streams  # noqa: F401  these register their queries too
 from ledgerloom.plans.registry import ORACLES, QUERIES, query, table as _t  # noqa: F401
 from ledgerloom.sources import jsonl
 from ledgerloom.streaming import incremental

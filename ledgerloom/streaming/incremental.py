@@ -72,3 +72,14 @@ def correlated(requests: DataFrame, responses: DataFrame, key: str, asked: str,
     right = responses.withColumnRenamed(key, "__id")
     near = (F.col(key) == F.col("__id")) & (F.col(answered) >= F.col(asked)) & (F.col(answered) <= F.col(asked) + F.expr(f"INTERVAL {wait}"))
     return requests.join(right, near, "left").drop("__id")
+
+
+def answers(asked: DataFrame, said: DataFrame, key: str, wait: str = "10 minutes", delay: str = "1 minute") -> DataFrame:
+    """Streams of requests and of answers (key, at) to key, asked, answered: each request with its answer if one comes
+    within `wait`, with null once the watermark says that none will. Both sides have a watermark `delay` behind, which
+    bounds what is held: requests that wait, and the ids of answers, so that an answer that comes again within the delay
+    and the wait counts once. An answer that comes after its watermark is dropped."""
+    left = asked.select(key, F.col("at").alias("asked")).withWatermark("asked", delay)
+    right = said.select(F.col(key).alias("__id"), F.col("at").alias("answered")).withWatermark("answered", delay).dropDuplicatesWithinWatermark(["__id"])
+    near = (F.col(key) == F.col("__id")) & (F.col("answered") >= F.col("asked")) & (F.col("answered") <= F.col("asked") + F.expr(f"INTERVAL {wait}"))
+    return left.join(right, near, "left").drop("__id")
