@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.operators import schedule
 from ledgerloom.plans.registry import query, table
 from ledgerloom.sources import jsonl
 from ledgerloom.streaming import incremental, jobs, logs, sinks
@@ -141,3 +140,66 @@ def log_fan_out(spark, sf):
     asks = lines.where("seq % 50 = 7").withColumn("subscriber", F.concat(F.lit("s"), F.col("seq").cast("string"))).withColumn("line", F.lit(None).cast("string"))
     feed = Feed(_by_time(lines.unionByName(asks), "seq"), "log-lines")
     return appended([feed], RUNS, lambda rows: logs.fan_out(rows, _TAIL), KEYED_STATE)
+
+
+# Folders of runs, and label sources.
+
+
+def _runs(spark, sf) -> DataFrame:
+    k = F.col("s_suppkey")
+    status = F.element_at(F.array(*map(F.lit, ("running", "succeeded", "failed", "stopping", "killed"))), (k % 5 + 1).cast("int"))
+    return table(spark, sf, "supplier").select(F.format_string("run-%08d", k).alias("run"), k.cast("string").alias("id"), F.lit("flow").alias("flow"), F.col("s_name").alias("label"), status.alias("status"), F.when(k % 5 == 1, 0).cast("int").alias("exit_code"), F.lit("2024-01-01T00:00:00Z").alias("started_at"), F.lit(None).cast("string").alias("ended_at"))
+
+
+@query(
+    """SELECT printf('run-%08d', s_suppkey) AS run, CASE WHEN s_suppkey % 7 <> 0 THEN s_name END AS label, s_suppkey % 7 = 0 AS torn,
+    CASE WHEN s_suppkey % 7 <> 0 THEN CASE s_suppkey % 5 WHEN 1 THEN 'succeeded' WHEN 2 THEN 'failed' WHEN 4 THEN 'killed' ELSE 'orphaned' END END AS status, 2::BIGINT AS lines FROM supplier"""
+)
+def run_folders(spark, sf):
+    """Runs written as folders and read again: each seventh meta file is torn, those that had not ended are orphaned, and
+    logs come in two batches."""
+    from ledgerloom.operators import views
+    from ledgerloom.sources import runfolders
+
+    path = jsonl.scratch(spark, "runs").removeprefix("file://")
+    runs = _runs(spark, sf)
+    runfolders.by_run(runs).write.format("runs").mode("append").option("path", path).save()
+    torn = runs.where("CAST(id AS BIGINT) % 7 = 0").select("run")
+    tear(path, torn)
+    lines = runs.select("run", F.inline(F.array(*[F.struct(F.lit(n).cast("bigint").alias("number"), F.format_string("line %d", F.lit(n)).alias("line"), F.lit(n).alias("run_no")) for n in range(2)])))
+    feed = Feed(lines.withColumnRenamed("run_no", "n"), "run-lines", "n")
+    for n in range(2):
+        feed.release(n)
+        runfolders.by_run(feed.stream()).writeStream.format("runs").option("path", path).option("checkpointLocation", f"{feed.base}/state").trigger(availableNow=True).start().awaitTermination()
+    meta, log = runfolders.read_runs(spark, path), runfolders.read_runs(spark, path, "log").groupBy("run").agg(F.count("*").alias("lines"))
+    status = F.when(F.col("status").isNotNull(), views.after_restart(F.col("status")))
+    return meta.join(log, "run", "left").select("run", "label", "torn", status.alias("status"), "lines")
+
+
+def tear(path: str, runs: DataFrame) -> None:
+    """Cuts the meta files of some runs short, in tasks."""
+    from ledgerloom.sources.runfolders import _folder, _put
+
+    def cut(rows) -> None:
+        _, system, at = _folder(path)
+        for row in rows:
+            _put(system, f"{at}/{row['run']}/meta.json", '{"id": "')
+
+    runs.foreachPartition(cut)
+
+
+@query(
+    """WITH a AS (SELECT o_orderkey, o_orderkey % 25 % 4 AS m FROM orders), n AS (SELECT *, CASE m WHEN 1 THEN 2 WHEN 3 THEN 4 ELSE 1 END AS times FROM a)
+    SELECT o_orderkey, t::INTEGER AS attempt, CASE m WHEN 1 THEN CASE WHEN t = 0 THEN 'ThrottlingException' END WHEN 2 THEN 'AccessDenied' WHEN 3 THEN 'ThrottlingException' END AS code,
+    m = 0 OR (m = 1 AND t = 1) AS has_output FROM (SELECT *, unnest(range(times)) AS t FROM n)"""
+)
+def label_attempts(spark, sf):
+    """Orders ask a fixture of nations, by key modulo 4 with an error that passes, one that doesn't, and one that stays."""
+    from ledgerloom.sources import labels
+
+    said = ('{"raw_output": "ok"}', '{"raw_output": "ok", "error": "ThrottlingException", "times": 1}', '{"error": "AccessDenied"}', '{"error": "ThrottlingException"}')
+    nations = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    lines = {r["n_name"]: said[r["n_nationkey"] % 4] for r in nations.collect()}  # a fixture of 25 lines
+    asks = table(spark, sf, "orders").select("o_orderkey", (F.col("o_orderkey") % 25).alias("n_nationkey")).join(F.broadcast(nations), "n_nationkey").select("o_orderkey", "n_name")
+    found = labels.attempts(asks, "n_name", "fake", {"fixture": lines}, base=0.0)
+    return found.select("o_orderkey", "attempt", "code", F.col("raw_output").isNotNull().alias("has_output"))
