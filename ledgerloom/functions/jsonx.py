@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 # The closed sets of the label schema.
 CATEGORIES = ("Food", "Drinks", "Groceries", "Transport", "Shopping", "Entertainment", "Bills", "Health", "Education", "Personal", "Gifts", "Income", "Other")
@@ -51,9 +51,17 @@ def _is_object(v: Column) -> Column:
     return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
 
 
+def json_value(text: Column) -> Column:
+    """A text that is one JSON value, as VARIANT; else null. Spark's parser stops behind the first value and heeds nothing
+    after it; only with nothing after it can both a bracket and a brace close the value."""
+    alone = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>")
+    closed = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}"))).isNotNull()
+    return F.when((F.size(alone) == 1) & closed, F.get(alone, F.lit(0)))
+
+
 def _object(text: Column) -> Column:
     """The text if it is a JSON object."""
-    return F.when(_is_object(F.try_parse_json(text)), text)
+    return F.when(_is_object(json_value(text)), text)
 
 
 def extract_json(text: Column) -> Column:
@@ -81,7 +89,7 @@ LABEL = {
         },
     }}},
 }
-VIOLATIONS = "array<struct<code:string,path:string>>"
+VIOLATIONS = ArrayType(StructType([StructField("code", StringType()), StructField("path", StringType())]))
 _KINDS = {
     "object": lambda v: isinstance(v, dict), "array": lambda v: isinstance(v, list), "string": lambda v: isinstance(v, str), "boolean": lambda v: isinstance(v, bool), "null": lambda v: v is None,
     "integer": lambda v: isinstance(v, int) and not isinstance(v, bool), "number": lambda v: isinstance(v, (int, float)) and not isinstance(v, bool),

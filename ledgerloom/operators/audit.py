@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerloom.functions.amounts import ALL_UNITS, ENGLISH, HINDI
+from ledgerloom.functions.jsonx import json_value
 
 
 def token_counts(rows: DataFrame, text: str, order: str, least: int = 2, contexts: int = 0, known: tuple[str, ...] = ()) -> DataFrame:
@@ -112,6 +113,6 @@ def suggestions(counts: DataFrame, cutoff: float = 0.72, top: int = 80) -> DataF
 
 def failed_texts(rows: DataFrame, raw: str = "raw") -> DataFrame:
     """input of lines of failed rows that have a text there; blank lines, bad JSON and other shapes are skipped."""
-    v = F.try_parse_json(F.col(raw))
+    v = json_value(F.col(raw))
     kind = F.coalesce(F.schema_of_variant(F.try_variant_get(v, "$.input", "variant")), F.lit(""))
     return rows.where(kind == "STRING").select("*", F.try_variant_get(v, "$.input", "string").alias("input"))

@@ -18,7 +18,7 @@ def first_seen(rows: DataFrame, key: Column, order: str) -> DataFrame:
 
 def drop_reason(raw: Column) -> Column:
     """The cleaning cascade on a raw JSON line, but for duplicates: null for a row to keep."""
-    v = F.try_parse_json(raw)
+    v = jsonx.json_value(raw)
     own = jsonx.keys(v)
     text = F.try_variant_get(v, "$.input", "variant")
     said = F.try_variant_get(v, "$.input", "string")

@@ -80,6 +80,23 @@ def reason_counts(failed: DataFrame) -> DataFrame:
     return rows.groupBy("level", "reason", "provider").agg(F.count("*").alias("n"))
 
 
+def pruned_counts(failed: DataFrame) -> DataFrame:
+    """provider, n: rows that go because all their attempts are authentication errors, by the provider of the first
+    (`unknown` for none)."""
+    gone = failed.where(all_auth_failures(F.col("reason"), F.col("attempts")))
+    return gone.groupBy(F.coalesce(F.get("attempts", F.lit(0))["provider"], F.lit("unknown")).alias("provider")).agg(F.count("*").alias("n"))
+
+
+def recovered_counts(attempts: DataFrame, key: str, by: str = "provider") -> DataFrame:
+    """by, n: keys that an attempt recovers, by the provider of the attempt chosen."""
+    return recovery_choice(attempts, key).groupBy(F.coalesce(by, F.lit("unknown")).alias(by)).agg(F.count("*").alias("n"))
+
+
+def orphan_counts(marked: DataFrame, mark: str = "labeled") -> DataFrame:
+    """reason, n of failed rows whose input has been labeled since."""
+    return marked.where(mark).groupBy(F.coalesce("reason", F.lit("unknown")).alias("reason")).agg(F.count("*").alias("n"))
+
+
 def reason_rank(reason: Column) -> Column:
     rank = F.array_position(F.array(*map(F.lit, REASON_ORDER)), F.coalesce(reason, F.lit("")))
     return F.when(rank > 0, rank).otherwise(99)

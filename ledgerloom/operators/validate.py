@@ -6,7 +6,7 @@ txns: typed transactions; amounts: what functions.amounts gives. An amount match
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 #: What in an input justifies a repeated transaction, as substrings.
 REPEAT_CUES = ("twice", "2x", "two times", "do baar", "again", "another", "aur ek", "phir se")
@@ -71,6 +71,18 @@ def codes(errors: Column, severity: str | None = None) -> Column:
     return F.transform(errors if severity is None else F.filter(errors, lambda e: e["severity"] == severity), lambda e: e["code"])
 
 
+def probe(rows: DataFrame, malformed: str = "malformed", errors: str = "errors") -> DataFrame:
+    """kind, name, n of checked lines: kind `rows` with scanned, malformed, ok and failed; `failure` and `warning` by code.
+    A line that is malformed has no errors; one without an error is ok, whatever its warnings. One pass: a line's marks
+    are counted together. Order by kind, n descending, name for a report."""
+    mark = lambda kind, name: F.struct(F.lit(kind).alias("kind"), name.alias("name"))
+    bad, found = F.col(malformed).isNotNull(), F.col(errors)
+    state = F.when(bad, "malformed").when(F.size(codes(found, "error")) > 0, "failed").otherwise("ok")
+    by_code = lambda kind, severity: F.transform(codes(found, severity), lambda c: mark(kind, c))
+    marks = F.concat(F.array(mark("rows", F.lit("scanned")), mark("rows", state)), F.when(~bad, F.concat(by_code("failure", "error"), by_code("warning", "warning"))).otherwise(F.array().cast("array<struct<kind:string,name:string>>")))
+    return rows.select(F.inline(marks)).groupBy("kind", "name").agg(F.count("*").alias("n"))
+
+
 def result(errors: Column, mode: str = "strict") -> Column:
     """ok and the flags. mode `warn`: always ok, errors kept."""
     has = lambda *c: F.arrays_overlap(codes(errors), F.array(*map(F.lit, c)))

@@ -6,7 +6,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.functions import text as tx
+from ledgerloom.functions import jsonx, text as tx
+from ledgerloom.functions.amounts import amounts
 from ledgerloom.operators import audit, evalreport, metrics, reconcile, schedule, select, validate, views
 from ledgerloom.plans.registry import query, table
 from ledgerloom.sources import jsonl
@@ -383,3 +384,86 @@ def log_deltas(spark, sf):
     cut = rows.groupBy("conv_id").agg((F.max("turn") - 1).alias("cut"))
     old = select.tail(rows.join(cut, "conv_id").where("turn <= cut").drop("cut"), "conv_id", "turn", 2)
     return old.unionByName(rows.join(cut, "conv_id").where("turn > cut").drop("cut"))
+
+
+# Lines of files, and counts by provider, reason and severity.
+
+
+@query(
+    """SELECT event_id % 16 AS f, event_id, sum(CASE WHEN event_id % 3 = 0 THEN 2 ELSE 1 END) OVER (PARTITION BY event_id % 16 ORDER BY event_id)::BIGINT AS line FROM events"""
+)
+def jsonl_file_lines(spark, sf):
+    """Sixteen files, each with a blank line before each third event: numbers run in each file, blank lines counted."""
+    e = F.col("event_id")
+    value = F.concat(F.when(e % 3 == 0, F.lit(" \t\n")).otherwise(F.lit("")), F.to_json(F.struct("event_id")))
+    rows = table(spark, sf, "events").select((e % 16).alias("f"), "event_id", value.alias("value"))
+    path = jsonl.scratch(spark, "files")
+    rows.repartition("f").sortWithinPartitions("f", "event_id").select("f", "value").write.partitionBy("f").text(path)
+    lines = jsonl.numbered_lines(spark, f"{path}/*/*")
+    event = F.try_variant_get(F.try_parse_json("raw"), "$.event_id", "bigint")
+    return lines.select((event % 16).alias("f"), event.alias("event_id"), "line")
+
+
+@query(
+    """WITH m AS (SELECT p_partkey % 4 AS m, count(*) AS n FROM part GROUP BY 1), x AS (SELECT 'rows' AS kind, 'scanned' AS name, n FROM m UNION ALL SELECT 'rows', CASE m WHEN 1 THEN 'failed' WHEN 3 THEN 'malformed' ELSE 'ok' END, n FROM m
+    UNION ALL SELECT 'failure', 'AMOUNT_NOT_IN_INPUT', n FROM m WHERE m = 1 UNION ALL SELECT 'warning', 'TXN_COUNT_BELOW_CANDIDATES', n FROM m WHERE m = 2)
+    SELECT kind, name, sum(n)::BIGINT AS n FROM x GROUP BY 1, 2"""
+)
+def probe_report(spark, sf):
+    """From raw lines: by key modulo 4 right, with a wrong amount, with a transaction too few (a warning), and malformed."""
+    k, m = F.col("p_partkey"), F.col("p_partkey") % 4
+    n = k % 900 + 100
+    said = F.when(m == 2, F.format_string("%d tea and %d cake", n, n + 1000)).otherwise(F.format_string("%d tea", n))
+    txn = F.concat(F.lit('{"amount":'), F.when(m == 1, n + 7).otherwise(n).cast("string"), F.lit(',"currency":"INR","item":"tea","category":"Drinks","type":"expense"}'))
+    bad = F.when(k % 8 == 3, F.lit('{"input": "x"')).otherwise(F.lit('{"input": 5, "output": {}}'))
+    line = F.when(m == 3, bad).otherwise(F.concat(F.lit('{"input":"'), said, F.lit('","output":{"transactions":['), txn, F.lit("]}}")))
+    rows = jsonl.parsed(jsonl.read_lines(spark, _written(table(spark, sf, "part").select(line.alias("value")), "probed")))
+    out = F.try_variant_get("v", "$.output", "variant")
+    rows = rows.withColumn("said", F.try_variant_get("v", "$.input", "string")).withColumn("amounts", amounts(F.col("said"))).withColumn("faults", jsonx.schema_errors(out))
+    return validate.probe(rows.withColumn("errors", validate.validate(F.col("said"), jsonx.transactions(out), F.col("amounts"), F.col("faults"))))
+
+
+@query(
+    """SELECT 'pruned' AS what, event_type AS name, count(*) AS n FROM events WHERE event_id % 4 = 0 GROUP BY 2
+    UNION ALL SELECT 'recovered', event_type, count(*) FROM (SELECT user_id, arg_min(event_type, (event_id % 4 = 1, event_id)) AS event_type FROM events WHERE value > 20 GROUP BY 1) GROUP BY 2
+    UNION ALL SELECT 'orphaned', CASE user_id % 2 WHEN 0 THEN 'provider_error' ELSE 'unknown' END, count(*) FROM events WHERE user_id % 5 = 0 GROUP BY 2"""
+)
+def repair_counts(spark, sf):
+    """What pruning, recovery and labels that came later take out of the failed rows, by provider and by reason."""
+    e, u = F.col("event_id"), F.col("user_id")
+    attempt = F.struct(F.lit("provider_error").alias("failure_reason"), F.when(e % 4 == 0, "HTTP 401").otherwise("timeout").alias("error"), F.col("event_type").alias("provider"))
+    events = table(spark, sf, "events")
+    failed = events.select(F.lit("provider_error").alias("reason"), F.array(attempt).alias("attempts"))
+    tried = events.select("user_id", F.col("event_type").alias("provider"), (e % 4 == 1).alias("is_repair_attempt"), e.alias("pos"), (F.col("value") > 20).alias("ok"))
+    late = events.select("user_id", F.when(u % 2 == 0, "provider_error").alias("reason"))
+    marked = reconcile.mark_orphans(late, events.select("user_id").where("user_id % 5 = 0").distinct(), "user_id")
+    named = lambda what, frame: frame.select(F.lit(what).alias("what"), F.col(frame.columns[0]).alias("name"), "n")
+    return named("pruned", select.pruned_counts(failed)).unionByName(named("recovered", select.recovered_counts(tried, "user_id"))).unionByName(named("orphaned", select.orphan_counts(marked)))
+
+
+@query(
+    """SELECT o_orderkey, t::INTEGER AS place, CASE t WHEN 0 THEN CAST(o_orderkey AS VARCHAR) || ' tea' WHEN 2 THEN 'two cakes' ELSE 'Bus ' || CAST(o_orderkey % 7 AS VARCHAR) END AS line
+    FROM orders, range(5) AS r(t) WHERE t IN (0, 2) OR (t = 4 AND o_orderkey % 2 = 0)"""
+)
+def provider_lines(spark, sf):
+    """A provider's answer: bullets, a line that comes again in other letters, a lead-in, and more lines than asked for."""
+    k = F.col("o_orderkey")
+    said = F.concat(F.format_string("1. %d tea\n", k), F.lit("Output: x\n- two cakes\nTWO   cakes\n"), F.when(k % 2 == 0, F.format_string("Bus %d\n", k % 7)).otherwise(F.lit("ab\n")), F.lit("\n"))
+    more = F.when(k % 2 == 0, F.lit("never seen\n")).otherwise(F.lit(""))
+    rows = table(spark, sf, "orders").select("o_orderkey", F.concat(said, more).alias("said"))
+    return tx.clean_lines(rows, "o_orderkey", "said", 3).select("o_orderkey", F.col("pos").alias("place"), "line")
+
+
+@query("SELECT 0::BIGINT AS missing, 0::BIGINT AS broken, 0::BIGINT AS no_array, count(*) AS flags, sum(n_nationkey)::BIGINT AS keys, 0::BIGINT AS lines FROM nation")
+def absent_and_broken_files(spark, sf):
+    """Files that aren't there, or aren't what they should be, are empty tables."""
+    nations = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    path, kind = jsonl.scratch(spark, "flags"), "n_nationkey long, n_name string"
+    count = lambda rows: rows.count()
+    broken, other = _written(nations.limit(1).select(F.lit("[{").alias("value")), "torn"), _written(nations.limit(1).select(F.lit('{"a": 1}').alias("value")), "object")
+    jsonl.write_array(nations.limit(0), path)
+    assert count(jsonl.read_array(spark, path, kind)) == 0
+    jsonl.write_array(nations, path)  # in place of the empty one
+    flags = jsonl.read_array(spark, path, kind).agg(F.count("*").alias("flags"), F.sum("n_nationkey").alias("keys"))
+    none = {"missing": jsonl.read_array(spark, f"{path}-none", kind), "broken": jsonl.read_array(spark, broken, kind), "no_array": jsonl.read_array(spark, other, kind), "lines": jsonl.read_lines(spark, f"{path}-none")}
+    return flags.withColumns({k: F.lit(count(v)).cast("long") for k, v in none.items()})

@@ -35,7 +35,7 @@ def _all_lines(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], "file string, ord struct<f:string,b:bigint,i:bigint>, raw string")
     return spark.read.text(path).select(
         F.col("_metadata.file_name").alias("file"),
-        F.struct(F.col("_metadata.file_name").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i")).alias("ord"),
+        F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i")).alias("ord"),
         F.col("value").alias("raw"),
     )
 
@@ -45,7 +45,7 @@ def _blank(raw: str) -> Column:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """file, ord (by file name and place in it), raw for each non-blank line. ord is a struct to order by."""
+    """file, ord (by file and place in it), raw for each non-blank line. ord is a struct to order by."""
     return _all_lines(spark, path).where(~_blank("raw"))
 
 
@@ -86,7 +86,7 @@ def line_numbers(rows: DataFrame, order: str = "ord", start: int = 0) -> DataFra
 
 def parsed(rows: DataFrame, raw: str = "raw") -> DataFrame:
     """Adds v (VARIANT, null if the line is no JSON) and malformed (why a line is no labelled row, or null)."""
-    v = F.try_parse_json(F.col(raw))
+    v = jsonx.json_value(F.col(raw))
     kind = lambda path: F.coalesce(F.schema_of_variant(F.try_variant_get(v, path, "variant")), F.lit(""))
     why = F.when(v.isNull(), "bad_json").when(kind("$.input") != "STRING", "bad_input").when(~kind("$.output").startswith("OBJECT"), "bad_output")
     return rows.withColumn("v", v).withColumn("malformed", why)
@@ -94,7 +94,7 @@ def parsed(rows: DataFrame, raw: str = "raw") -> DataFrame:
 
 def read_inputs(rows: DataFrame, raw: str = "raw") -> DataFrame:
     """input and state (ok, bad_json, bad_shape) of each line."""
-    v = F.try_parse_json(F.col(raw))
+    v = jsonx.json_value(F.col(raw))
     text = F.try_variant_get(v, "$.input", "string")
     is_text = F.coalesce(F.schema_of_variant(F.try_variant_get(v, "$.input", "variant")) == "STRING", F.lit(False))
     state = F.when(v.isNull(), "bad_json").when(~is_text | (F.trim(text) == ""), "bad_shape").otherwise("ok")
@@ -111,7 +111,7 @@ def read_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     if not found(spark, path):
         return spark.createDataFrame([], schema)
     text = spark.read.option("wholetext", True).text(path)
-    is_array = F.coalesce(F.schema_of_variant(F.try_parse_json("value")).startswith("ARRAY"), F.lit(False))
+    is_array = F.coalesce(F.schema_of_variant(jsonx.json_value(F.col("value"))).startswith("ARRAY"), F.lit(False))
     return text.where(is_array).select(F.inline(F.from_json("value", f"array<struct<{schema}>>")))
 
 
@@ -162,14 +162,14 @@ def response_dropped(text: Column) -> Column:
 def response_rows(text: Column) -> Column:
     """JSON lines of a model's answer that have input and output; blank and fence lines are skipped."""
     lines = said_lines(text)
-    own = lambda x: jsonx.keys(F.try_parse_json(x))
+    own = lambda x: jsonx.keys(jsonx.json_value(x))
     return F.filter(lines, lambda x: F.coalesce(F.array_contains(own(x), "input") & F.array_contains(own(x), "output"), F.lit(False)))
 
 
 def fixture_labels(rows: DataFrame, raw: str = "raw", order: str = "ord") -> DataFrame:
     """input and label of a fixture, the last of each input: raw_output as it stands, else output as compact JSON. A line
     without a text as input, or without either, fails the read."""
-    v = F.try_parse_json(F.col(raw))
+    v = jsonx.json_value(F.col(raw))
     kind = lambda path: F.coalesce(F.schema_of_variant(F.try_variant_get(v, path, "variant")), F.lit(""))
     own = jsonx.keys(v)
     label = F.when(kind("$.raw_output") == "STRING", F.try_variant_get(v, "$.raw_output", "string")).when(
