@@ -11,7 +11,7 @@ from ledgerloom.streaming.feed import KEYED_STATE, Feed, appended
 
 RUNS = 4
 #: Seconds after which a job that says nothing is taken for lost.
-SILENCE = 6 * 86_400
+SILENCE = 2 * 86_400
 _STATUSES = ("running", "stopping", "succeeded", "failed", "killed", "running", "running")
 
 
@@ -27,11 +27,11 @@ def _by_time(rows: DataFrame, order: str, runs: int = RUNS) -> DataFrame:
 def _job_events(spark, sf) -> DataFrame:
     e = F.col("event_id")
     status = F.element_at(F.array(*map(F.lit, _STATUSES)), (F.floor(e / 10) % 7 + 1).cast("int"))
-    return table(spark, sf, "events").select((F.col("user_id") * 10 + e % 10).cast("string").alias("job"), "event_id", F.col("ts").cast("timestamp").alias("at"), status.alias("status"))
+    return table(spark, sf, "events").select((F.col("user_id") * 2 + e % 2).cast("string").alias("job"), "event_id", F.col("ts").cast("timestamp").alias("at"), status.alias("status"))
 
 
-_JOBS = f"""WITH RECURSIVE e AS (SELECT CAST(user_id * 10 + event_id % 10 AS VARCHAR) AS job, event_id, ts, CASE event_id // 10 % 7 {" ".join(f"WHEN {k} THEN '{s}'" for k, s in enumerate(_STATUSES))} END AS status,
-      row_number() OVER (PARTITION BY user_id * 10 + event_id % 10 ORDER BY ts, event_id) AS k FROM events),
+_JOBS = f"""WITH RECURSIVE e AS (SELECT CAST(user_id * 2 + event_id % 2 AS VARCHAR) AS job, event_id, ts, CASE event_id // 10 % 7 {" ".join(f"WHEN {k} THEN '{s}'" for k, s in enumerate(_STATUSES))} END AS status,
+      row_number() OVER (PARTITION BY user_id * 2 + event_id % 2 ORDER BY ts, event_id) AS k FROM events),
     s AS (SELECT job, 0::BIGINT AS k, NULL::VARCHAR AS now, NULL::TIMESTAMP AS heard, NULL::TIMESTAMP AS lost, NULL::BIGINT AS event_id, NULL::TIMESTAMP AS ts, NULL::VARCHAR AS status, false AS applied FROM e WHERE k = 1
       UNION ALL SELECT job, k, CASE WHEN ok THEN status ELSE before END, ts, CASE WHEN gone THEN heard + INTERVAL {SILENCE} SECOND END, event_id, ts, status, ok FROM (
         SELECT *, (before IS NULL AND status IN ('running', 'failed')) OR (before = 'running' AND status IN ('stopping', 'succeeded', 'failed', 'killed')) OR coalesce(before = 'stopping' AND status IN ('killed', 'failed'), false) AS ok FROM (
@@ -47,7 +47,7 @@ _JOBS = f"""WITH RECURSIVE e AS (SELECT CAST(user_id * 10 + event_id % 10 AS VAR
 def job_state_stream(spark, sf):
     feed = Feed(_by_time(_job_events(spark, sf), "event_id"), "job-events")
     found = appended([feed], RUNS, lambda events: jobs.changes(events, SILENCE), KEYED_STATE)
-    return found.select("job", "event_id", F.unix_micros("at").alias("us"), "status", "verdict")
+    return found
 
 
 # Requests and answers.

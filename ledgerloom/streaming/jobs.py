@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ledgerloom.operators.views import LIVE
 
 #: What a job's state may become; a job without one may begin to run, or fail to.
 ALLOWED = {None: ("running", "failed"), "running": ("stopping", "succeeded", "failed", "killed"), "stopping": ("killed", "failed")}
-CHANGES = "job string, event_id long, at timestamp, status string, verdict string"
+CHANGES = "job string, event_id long, us long, status string, verdict string"
 
 
 class JobStates(StatefulProcessor):
@@ -26,31 +25,37 @@ class JobStates(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("job", "status string, heard long")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        status, heard = self.state.get() if self.state.exists() else (None, None)
-        if status in LIVE:
-            self.handle.deleteTimer(self._timer(heard))
-        out = []
-        for event_id, at, said in sorted((r for batch in rows for r in zip(batch["event_id"].tolist(), batch["us"].tolist(), batch["status"].tolist(), strict=True)), key=lambda r: (r[1], r[0])):
+        self.state = handle.getValueState("job", "status string, heard long, timer long")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        status, heard, timer = self.state.get() if self.state.exists() else (None, None, None)
+        for event_id, at, said in sorted(((r.event_id, r.us, r.status) for r in rows), key=lambda r: (r[1], r[0])):
             if status in LIVE and at > heard + self.silence:
                 status = "orphaned"
-                out.append((key[0], None, heard + self.silence, status, "timed out"))
+                yield _change(key[0], None, heard + self.silence, status, "timed out")
             applied = said in ALLOWED.get(status, ())
             status = said if applied else status
             heard = at
-            out.append((key[0], event_id, at, said, "applied" if applied else "refused"))
-        self.state.update((status, heard))
-        if status in LIVE:
-            self.handle.registerTimer(self._timer(heard))
-        yield _changes(out)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        status, heard = self.state.get()
-        if status in LIVE and self._timer(heard) <= expiredTimerInfo.getExpiryTimeInMs():
-            self.state.update(("orphaned", heard))
-            yield _changes([(key[0], None, heard + self.silence, "orphaned", "timed out")])
+            yield _change(key[0], event_id, at, said, "applied" if applied else "refused")
+        if status in LIVE and timer is None:  # one timer a job: it looks again when it rings
+            timer = self._timer(heard)
+            self.handle.registerTimer(timer)
+        self.state.update((status, heard, timer))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        status, heard, _ = self.state.get()
+        timer = None
+        if status in LIVE and self._timer(heard) > expiredTimerInfo.getExpiryTimeInMs():
+            mark = timerValues.getCurrentWatermarkInMs()
+            timer = self._timer(heard)
+            if timer <= mark:  # what is set for the past would ring a batch late
+                timer = None
+            else:
+                self.handle.registerTimer(timer)
+        if status in LIVE and timer is None:
+            yield _change(key[0], None, heard + self.silence, "orphaned", "timed out")
+            status = "orphaned"
+        self.state.update((status, heard, timer))
 
     def close(self) -> None:
         pass
@@ -60,14 +65,12 @@ class JobStates(StatefulProcessor):
         return (heard + self.silence) // 1000 + 1
 
 
-def _changes(rows: list[tuple]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=["job", "event_id", "at", "status", "verdict"])
-    out["event_id"] = out["event_id"].astype("Int64")
-    out["at"] = pd.to_datetime(out["at"], unit="us", utc=True)
-    return out
+def _change(job: str, event_id: int | None, us: int, status: str, verdict: str) -> Row:
+    return Row(job=job, event_id=event_id, us=us, status=status, verdict=verdict)
 
 
 def changes(events: DataFrame, silence: int, delay: str = "0 seconds") -> DataFrame:
-    """A stream of job, event_id, at (a timestamp), status to CHANGES. silence: seconds. Needs KEYED_STATE."""
+    """A stream of job, event_id, at (a timestamp), status to CHANGES; us: microseconds. silence: seconds. Needs
+    KEYED_STATE."""
     rows = events.withWatermark("at", delay).select("job", "event_id", "at", F.unix_micros("at").alias("us"), "status")
-    return rows.groupBy("job").transformWithStateInPandas(JobStates(silence * 1_000_000), CHANGES, "Append", "EventTime")
+    return rows.groupBy("job").transformWithState(JobStates(silence * 1_000_000), CHANGES, "Append", "EventTime")

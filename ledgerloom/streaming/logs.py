@@ -5,8 +5,7 @@ from __future__ import annotations
 from collections import deque
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
@@ -27,26 +26,23 @@ class FanOut(StatefulProcessor):
         self.ring = handle.getListState("ring", "seq long, line string")
         self.subscribers = handle.getListState("subscribers", "subscriber string")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         ring = deque(self.ring.get() if self.ring.exists() else (), self.tail)
         held = [s for (s,) in self.subscribers.get()] if self.subscribers.exists() else []
-        out = []
-        news = [r for batch in rows for r in zip(batch["seq"].tolist(), batch["subscriber"].tolist(), batch["line"].tolist(), strict=True)]
-        for seq, subscriber, line in sorted(news, key=lambda r: (r[0], isinstance(r[1], str), r[1] or "")):
-            if isinstance(subscriber, str):
+        sent = lambda to, kind, seq, line: Row(subscriber=to, job=key[0], kind=kind, seq=seq, line=line)
+        for seq, subscriber, line in sorted(((r.seq, r.subscriber, r.line) for r in rows), key=lambda r: (r[0], r[1] is not None, r[1] or "")):
+            if subscriber is not None:
                 held.append(subscriber)
-                out += [(subscriber, key[0], "snapshot", *kept) for kept in ring]
+                for kept in ring:
+                    yield sent(subscriber, "snapshot", *kept)
             else:
                 ring.append((seq, line))
-                out += [(s, key[0], "line", seq, line) for s in held]
-            if len(out) >= 10_000:
-                yield pd.DataFrame(out, columns=["subscriber", "job", "kind", "seq", "line"])
-                out = []
+                for to in held:
+                    yield sent(to, "line", seq, line)
         if ring:
             self.ring.put(list(ring))
         if held:
             self.subscribers.put([(s,) for s in held])
-        yield pd.DataFrame(out, columns=["subscriber", "job", "kind", "seq", "line"])
 
     def close(self) -> None:
         pass
@@ -54,7 +50,7 @@ class FanOut(StatefulProcessor):
 
 def fan_out(rows: DataFrame, tail: int = TAIL) -> DataFrame:
     """A stream of job, seq, line (of a line), subscriber (of a subscription, else null) to SENT. Needs KEYED_STATE."""
-    return rows.select("job", "seq", "line", "subscriber").groupBy("job").transformWithStateInPandas(FanOut(tail), SENT, "Append", "None")
+    return rows.select("job", "seq", "line", "subscriber").groupBy("job").transformWithState(FanOut(tail), SENT, "Append", "None")
 
 
 class Progress(StreamingQueryListener):

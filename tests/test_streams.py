@@ -4,9 +4,8 @@ import difflib
 import os
 import random
 
-import pandas as pd
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from ledgerloom.functions import jsonx
 from ledgerloom.operators import audit, validate
@@ -164,6 +163,8 @@ class Expired:
     def getExpiryTimeInMs(self):
         return self.at
 
+    getCurrentWatermarkInMs = getExpiryTimeInMs
+
 
 def by_batches(events, cuts, silence):
     """What the processor of one job says when its events come in batches, timers fired after each by the largest time."""
@@ -172,13 +173,12 @@ def by_batches(events, cuts, silence):
     for k in range(len(cuts) + 1):
         part = events[([0] + cuts)[k] : (cuts + [len(events)])[k]]
         if part:
-            out += one.handleInputRows(("j",), iter([pd.DataFrame(part, columns=["event_id", "us", "status"])]), None)
+            out += one.handleInputRows(("j",), iter([Row(event_id=e, us=us, status=said) for e, us, said in part]), None)
         mark = max((e[1] for e in events[: (cuts + [len(events)])[k]]), default=0) // 1000
         for at in sorted(t for t in held.timers if t <= mark):
             held.timers.discard(at)
-            out += one.handleExpiredTimer(("j",), None, Expired(at))
-    rows = (tuple(None if pd.isna(x) else x for x in r) for f in out for r in f.assign(event_id=f["event_id"].astype(object)).itertuples(index=False))
-    return sorted(rows, key=repr)
+            out += one.handleExpiredTimer(("j",), Expired(mark), Expired(at))
+    return sorted(map(tuple, out), key=repr)
 
 
 def test_job_states_do_not_depend_on_batches():
