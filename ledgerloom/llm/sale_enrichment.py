@@ -8,7 +8,7 @@ their clients), lets the others wait, and then prunes: of the versions at or bef
 the last.
 
 A key of the state is a shard of clients, and all clients of a shard are treated in one vectorized pass: a key a client
-costs some calls over a socket for each client and batch (`shards=None` does so; README has figures). A shard's ListStates
+costs some calls over a socket for each client and batch (`shards=None` does so). A shard's ListStates
 hold blocks of sorted rows rather than a row an entry, for the same reason. A client with more than `shard_rows` rows is
 hot: its sales are dealt over several parts by a hash of their ids, and each part has its versions; fewer than HOT_KEYS
 clients can be hot. What a task holds is a shard's rows of one batch and what it keeps, so the versions of one client
