@@ -24,6 +24,8 @@ def _folder(path: str):
     """The file system of a path, and the path in it."""
     from pyarrow import fs
 
+    if path.startswith("file:/") and not path.startswith("file:///"):  # as Hadoop writes it
+        path = path.removeprefix("file:")
     system, at = fs.FileSystem.from_uri(path)
     return fs, system, at.rstrip("/")
 

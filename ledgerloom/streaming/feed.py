@@ -3,9 +3,10 @@ so a query that is started again on its checkpoint takes in what is new and ends
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.sources.jsonl import scratch
 
@@ -17,7 +18,9 @@ class Feed:
         self.spark: SparkSession = rows.sparkSession
         self.base, self.run = scratch(self.spark, name), run
         self.schema = rows.drop(run).schema
-        rows.repartition(run).write.partitionBy(run).parquet(f"{self.base}/staged")
+        cores = self.spark.sparkContext.defaultParallelism
+        spread = F.pmod(F.xxhash64(*rows.columns), F.lit(cores))  # no run is one task's work
+        rows.repartition(cores, run, spread).write.partitionBy(run).parquet(f"{self.base}/staged")
         path = self._path(self.base)
         self.fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
         self.fs.mkdirs(self._path(f"{self.base}/in"))
@@ -36,22 +39,32 @@ class Feed:
         return reader.parquet(f"{self.base}/in")
 
 
+@contextmanager
+def held(spark: SparkSession, base: str, settings: dict[str, str] | None = None) -> Iterator[None]:
+    """The session with some settings, and what it had before afterwards. base: where checkpoints stand."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    mounted = path.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme() == "file"
+    settings = (settings or {}) | (MOUNTED if mounted else {})
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def appended(feeds: list[Feed], runs: int, query: Callable[..., DataFrame], settings: dict[str, str] | None = None) -> DataFrame:
     """What a streaming query emits over all runs: it is started anew for each, on one checkpoint. query: from the feeds'
     streams to the streaming frame. settings: of the session, while it runs."""
     spark, base = feeds[0].spark, feeds[0].base
-    held = {k: spark.conf.get(k, None) for k in settings or {}}
-    try:
-        for k, v in (settings or {}).items():
-            spark.conf.set(k, v)
+    with held(spark, base, settings):
         for n in range(runs):
             for feed in feeds:
                 feed.release(n)
             found = query(*(feed.stream() for feed in feeds))
             found.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start(f"{base}/out").awaitTermination()
-    finally:
-        for k, v in held.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.schema(found.schema).parquet(f"{base}/out")
 
 
@@ -60,3 +73,6 @@ KEYED_STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
+#: On a shared folder that is mounted (file:), Spark's usual manager of checkpoint files starts processes for each file it
+#: writes; this one, which renames through the FileSystem, doesn't.
+MOUNTED = {"spark.sql.streaming.checkpointFileManagerClass": "org.apache.spark.sql.execution.streaming.checkpointing.FileSystemBasedCheckpointFileManager"}

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ledgerloom.sources import blocks
 from ledgerloom.sources.jsonl import found
+from ledgerloom.streaming.feed import held
 
 
 def split_sinks(rows: DataFrame, kept: Column, train: str, failed: str, checkpoint: str, flush_every: int = 50, between: Callable[[int], None] | None = None) -> None:
@@ -23,11 +25,12 @@ def split_sinks(rows: DataFrame, kept: Column, train: str, failed: str, checkpoi
             for k, (path, own) in enumerate(((train, F.col("__kept")), (failed, ~F.col("__kept")))):
                 if k and between:
                     between(number)
-                marked.where(own).drop("__kept").write.mode("overwrite").option("maxRecordsPerFile", flush_every).option("ignoreNullFields", False).json(f"{path}/batch={number}")
+                blocks.write(marked.where(own).drop("__kept"), f"{path}/batch={number}", flush_every)
         finally:
             marked.unpersist()
 
-    rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    with held(rows.sparkSession, checkpoint):
+        rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def written(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Row, functions as F
 
 from ledgerloom.functions import jsonx
 from ledgerloom.operators import audit, validate
-from ledgerloom.sources import jsonl, labels, runfolders
+from ledgerloom.sources import blocks, jsonl, labels, runfolders
 from ledgerloom.streaming import logs, sinks
 from ledgerloom.streaming.feed import Feed
 from ledgerloom.streaming.jobs import ALLOWED, JobStates
@@ -234,6 +234,23 @@ def test_sinks_hold_each_row_once_after_a_crash(spark):
     assert sum(n for _, _, n, _ in listener.batches) == 1000 and any(e for _, e in listener.ended)
 
 
+def test_a_run_is_the_work_of_several_tasks(spark):
+    feed = Feed(spark.range(4000).select("id", (F.col("id") % 2).cast("int").alias("run")), "spread")
+    files = [r for r in os.walk(feed.base) if r[0].endswith(("run=0", "run=1"))]
+    assert len(files) == 2 and all(sum(f.endswith(".parquet") for f in r[2]) > 1 for r in files)
+
+
+def test_blocks_replace_their_folder(spark, tmp_path):
+    at = f"{tmp_path}/out/batch=0"
+    for rows in (90, 25):  # the second time there are fewer
+        blocks.write(spark.range(rows).select("id", F.when(F.col("id") % 2 == 0, "ü\n").alias("t")).repartition(3), at, 10)
+    got = spark.read.schema("id long, t string, batch long").json(f"{tmp_path}/out")
+    assert {tuple(r) for r in got.collect()} == {(k, None if k % 2 else "ü\n", 0) for k in range(25)} and got.count() == 25
+    assert max(r["n"] for r in got.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()) <= 10
+    assert os.listdir(tmp_path / "out") == ["batch=0"]
+    assert '"t":null' in "".join(open(f"{d}/{f}").read() for d, _, fs in os.walk(at) for f in fs)
+
+
 def test_run_folders_round_trip(spark, tmp_path):
     at = str(tmp_path / "runs")
     assert runfolders.read_runs(spark, at).count() == 0
