@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.functions import jsonx, text as tx
-from ledgerloom.functions.amounts import amounts
+from ledgerloom.functions.amounts import with_amounts
 from ledgerloom.operators import audit, evalreport, metrics, reconcile, schedule, select, validate, views
 from ledgerloom.plans.registry import query, table
 from ledgerloom.sources import jsonl
@@ -419,7 +419,7 @@ def probe_report(spark, sf):
     line = F.when(m == 3, bad).otherwise(F.concat(F.lit('{"input":"'), said, F.lit('","output":{"transactions":['), txn, F.lit("]}}")))
     rows = jsonl.parsed(jsonl.read_lines(spark, _written(table(spark, sf, "part").select(line.alias("value")), "probed")))
     out = F.try_variant_get("v", "$.output", "variant")
-    rows = rows.withColumn("said", F.try_variant_get("v", "$.input", "string")).withColumn("amounts", amounts(F.col("said"))).withColumn("faults", jsonx.schema_errors(out))
+    rows = with_amounts(rows.withColumn("said", F.try_variant_get("v", "$.input", "string")), F.col("said")).withColumn("faults", jsonx.schema_errors(out))
     return validate.probe(rows.withColumn("errors", validate.validate(F.col("said"), jsonx.transactions(out), F.col("amounts"), F.col("faults"))))
 
 
