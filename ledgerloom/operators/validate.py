@@ -6,6 +6,8 @@ txns: typed transactions; amounts: what functions.amounts gives. An amount match
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: What in an input justifies a repeated transaction, as substrings.
@@ -29,40 +31,55 @@ def _none() -> Column:
     return F.array().cast(ERRORS)
 
 
-def validate(text: Column, txns: Column, amounts: Column, schema_errors: Column) -> Column:
-    """Errors in the order of the checks. A label with schema errors has those alone."""
-    active = F.filter(amounts, lambda a: a["status"] == "active")
-    unmatched = F.when((F.size(active) == 0) & (F.size(txns) > 0), F.array(_error("NO_AMOUNT_IN_INPUT", F.lit("/transactions"))))
-
-    def of_amount(t: Column, i: Column) -> Column:
-        near = F.filter(amounts, lambda a: close(a["value"], t["amount"]))
-        return (
-            F.when(F.size(near) == 0, _error("AMOUNT_NOT_IN_INPUT", _path(i, "/amount")))
-            .when(F.forall(near, lambda a: a["status"] == "superseded"), _error("SUPERSEDED_AMOUNT_USED", _path(i, "/amount")))
-        )
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once: an expression that a lambda names is computed anew for each element."""
+    return F.transform(F.array(value), body)[0]
 
-    def of_currency(t: Column, i: Column) -> Column:
-        hints = F.array_compact(F.transform(F.filter(active, lambda a: close(a["value"], t["amount"])), lambda a: a["currency_hint"]))
-        return F.when((F.size(hints) > 0) & ~F.array_contains(hints, t["currency"]), _error("CURRENCY_MISMATCH", _path(i, "/currency")))
 
-    count = (
-        F.when(F.size(txns) > F.size(active), F.array(_error("TXN_COUNT_EXCEEDS_CANDIDATES", F.lit("/transactions"))))
-        .when(F.size(txns) < F.size(active), F.array(_error("TXN_COUNT_BELOW_CANDIDATES", F.lit("/transactions"), "warning")))
-        .otherwise(_none())
-    )
+def repeats(text: Column, txns: Column, amounts: Column) -> Column:
+    """The check of repeated transactions alone, for a label without schema errors."""
     key = lambda t: F.struct(F.round(t["amount"], 3), F.lower(F.trim(t["item"])), t["category"], t["type"], t["currency"])
-    keys = F.transform(txns, key)
 
-    def of_repeat(t: Column, i: Column) -> Column:
-        same = F.size(F.filter(keys, lambda k: k == keys[i]))
-        cue = F.lower(text).rlike("|".join(REPEAT_CUES))
-        named = F.regexp_count(F.lower(text), F.concat(F.lit("(?U)\\b\\Q"), F.lower(F.trim(t["item"])), F.lit("\\E\\b")))
-        spoken = F.size(F.filter(amounts, lambda a: close(a["value"], F.round(t["amount"], 3))))
-        first = F.array_position(keys, keys[i]) == i + 1
-        return F.when((same > 1) & ~first & ~cue & ~((spoken >= same) & (named >= same)), _error("SUSPICIOUS_DUPLICATE", _path(i)))
+    def of_keys(keys: Column) -> Column:
+        def of_repeat(t: Column, i: Column) -> Column:
+            same = F.size(F.filter(keys, lambda k: k == keys[i]))
+            first = F.array_position(keys, keys[i]) == i + 1
+            cue = F.lower(text).rlike("|".join(REPEAT_CUES))
+            named = F.regexp_count(F.lower(text), F.concat(F.lit("(?U)\\b\\Q"), F.lower(F.trim(t["item"])), F.lit("\\E\\b")))
+            spoken = F.size(F.filter(amounts, lambda a: close(a["value"], F.round(t["amount"], 3))))
+            return _let(same, lambda n: F.when((n > 1) & ~first & ~cue & ~((spoken >= n) & (named >= n)), _error("SUSPICIOUS_DUPLICATE", _path(i))))
+
+        return F.array_compact(F.transform(txns, of_repeat))
 
+    return F.when(F.size(txns) > 1, _let(F.transform(txns, key), of_keys)).otherwise(_none())
+
+
+def validate(text: Column, txns: Column, amounts: Column, schema_errors: Column) -> Column:
+    """Errors in the order of the checks. A label with schema errors has those alone."""
     each = lambda f: F.array_compact(F.transform(txns, f))
-    semantic = F.concat(F.coalesce(unmatched, each(of_amount)), each(of_currency), count, each(of_repeat))
+
+    def of_amount(t: Column, i: Column) -> Column:
+        return _let(
+            F.filter(amounts, lambda a: close(a["value"], t["amount"])),
+            lambda near: F.when(F.size(near) == 0, _error("AMOUNT_NOT_IN_INPUT", _path(i, "/amount")))
+            .when(F.forall(near, lambda a: a["status"] == "superseded"), _error("SUPERSEDED_AMOUNT_USED", _path(i, "/amount"))),
+        )
+
+    def of_active(active: Column) -> Column:
+        unmatched = F.when((F.size(active) == 0) & (F.size(txns) > 0), F.array(_error("NO_AMOUNT_IN_INPUT", F.lit("/transactions"))))
+
+        def of_currency(t: Column, i: Column) -> Column:
+            hints = F.array_compact(F.transform(F.filter(active, lambda a: close(a["value"], t["amount"])), lambda a: a["currency_hint"]))
+            return _let(hints, lambda h: F.when((F.size(h) > 0) & ~F.array_contains(h, t["currency"]), _error("CURRENCY_MISMATCH", _path(i, "/currency"))))
+
+        count = (
+            F.when(F.size(txns) > F.size(active), F.array(_error("TXN_COUNT_EXCEEDS_CANDIDATES", F.lit("/transactions"))))
+            .when(F.size(txns) < F.size(active), F.array(_error("TXN_COUNT_BELOW_CANDIDATES", F.lit("/transactions"), "warning")))
+            .otherwise(_none())
+        )
+        return F.concat(F.coalesce(unmatched, each(of_amount)), each(of_currency), count)
+
+    semantic = F.concat(_let(F.filter(amounts, lambda a: a["status"] == "active"), of_active), repeats(text, txns, amounts))
     structural = F.transform(schema_errors, lambda e: _error("SCHEMA_INVALID", e["path"]))
     return F.when(F.size(schema_errors) > 0, structural).otherwise(semantic)
 
