@@ -234,6 +234,26 @@ def test_sinks_hold_each_row_once_after_a_crash(spark):
     assert sum(n for _, _, n, _ in listener.batches) == 1000 and any(e for _, e in listener.ended)
 
 
+def test_lines_of_many_jobs_under_one_key():
+    """What a shard of jobs sends doesn't depend on batches, and equals what each job sends alone."""
+
+    class Blocks(Held):
+        put = Held.update
+
+    def said(rows, cuts):
+        one, out = logs.FanOut(3), []
+        one.jobs = Blocks()
+        for a, b in zip([0, *cuts], [*cuts, len(rows)], strict=True):
+            out += map(tuple, one.handleInputRows((7,), iter(rows[a:b]), None))
+        return sorted(out, key=repr)
+
+    rnd = random.Random(2)
+    rows = [Row(job=rnd.choice(["a", "b", None, "c"]), seq=k, subscriber=f"s{k}" if rnd.random() < 0.2 else None, line=rnd.choice(["x", "ü", None])) for k in range(300)]
+    whole = said(rows, [])
+    assert whole == said(rows, [100, 101, 250])
+    assert whole == sorted(sum((said([r for r in rows if r.job == j], []) for j in ("a", "b", None, "c")), []), key=repr)
+
+
 def test_a_run_is_the_work_of_several_tasks(spark):
     feed = Feed(spark.range(4000).select("id", (F.col("id") % 2).cast("int").alias("run")), "spread")
     files = [r for r in os.walk(feed.base) if r[0].endswith(("run=0", "run=1"))]
