@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.plans.registry import query, table
@@ -53,6 +55,8 @@ def job_state_stream(spark, sf):
 # Requests and answers.
 
 _WAIT, _DELAY = 600, 60
+#: Requests of a slice for each core: what waits for its answer is held in the executors' memory, about 750 bytes a request.
+SLICE = 250_000
 
 
 @query(
@@ -61,18 +65,20 @@ _WAIT, _DELAY = 600, 60
 )
 def request_answers_stream(spark, sf):
     """By key modulo 5: no answer, one twice (the second in the run after), one that comes after the wait, one of the first
-    run that arrives two runs late, and one in time."""
+    run that arrives two runs late, and one in time. Requests and answers are one feed, by key, so that a slice of a run holds
+    the answers to its own requests, and those that come runs late come with the same slice of a later run."""
     k, m = F.col("o_orderkey"), F.col("o_orderkey") % 5
-    asked = F.timestamp_seconds(F.lit(1_700_000_000) + k)
-    orders = _by_time(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey")
+    orders = table(spark, sf, "orders").select("o_orderkey")
+    slices = max(1, math.ceil(orders.count() / (RUNS * SLICE * spark.sparkContext.defaultParallelism)))
     after = lambda s: F.timestamp_seconds(F.lit(1_700_000_000) + k + s)
-    one = lambda s, late: F.struct(after(s).alias("answered"), (F.col("run") + late).alias("run"))
-    answers = F.when(m == 1, F.array(one(10, 0), one(20, 1))).when(m == 2, F.array(one(_WAIT + 300, 0))).when((m == 3) & (F.col("run") == 0), F.array(one(10, 2))).when(m != 0, F.array(one(10, 0)))
+    ask = F.struct(F.lit(False).alias("answer"), after(0).alias("at"), F.col("run"))
+    one = lambda s, late: F.struct(F.lit(True).alias("answer"), after(s).alias("at"), (F.col("run") + late * slices).alias("run"))
+    said = F.when(m == 0, F.array(ask)).when(m == 1, F.array(ask, one(10, 0), one(20, 1))).when(m == 2, F.array(ask, one(_WAIT + 300, 0))).when((m == 3) & (F.col("run") < slices), F.array(ask, one(10, 2))).otherwise(F.array(ask, one(10, 0)))
     far = F.timestamp_seconds(F.lit(4_000_000_000))  # moves both watermarks past all there is
-    last = spark.range(1).select(F.lit(-1).cast("bigint").alias("o_orderkey"), far.alias("at"), F.lit(RUNS + 1).alias("run"))
-    asks = orders.select("o_orderkey", asked.alias("at"), "run").unionByName(last)
-    said = orders.select("o_orderkey", F.inline(answers)).select("o_orderkey", F.col("answered").alias("at"), "run").unionByName(last)
-    found = appended([Feed(asks, "asks"), Feed(said, "answers")], RUNS + 2, lambda a, b: incremental.answers(a, b, "o_orderkey", f"{_WAIT} seconds", f"{_DELAY} seconds"))
+    last = spark.range(2).select(F.lit(-1).cast("bigint").alias("o_orderkey"), (F.col("id") == 1).alias("answer"), far.alias("at"), F.lit((RUNS + 1) * slices).alias("run"))
+    rows = _by_time(orders, "o_orderkey", RUNS * slices).select("o_orderkey", F.inline(said)).unionByName(last)
+    answers = lambda rows: incremental.answers(rows.where("NOT answer"), rows.where("answer"), "o_orderkey", f"{_WAIT} seconds", f"{_DELAY} seconds")
+    found = appended([Feed(rows, "asks")], RUNS + 2, answers, slices=slices)
     return found.where("o_orderkey >= 0").select("o_orderkey", F.col("answered").isNotNull().alias("answered"))
 
 

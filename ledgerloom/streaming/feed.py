@@ -55,16 +55,32 @@ def held(spark: SparkSession, base: str, settings: dict[str, str] | None = None)
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def appended(feeds: list[Feed], runs: int, query: Callable[..., DataFrame], settings: dict[str, str] | None = None) -> DataFrame:
+def appended(feeds: list[Feed], runs: int, query: Callable[..., DataFrame], settings: dict[str, str] | None = None, slices: int = 1) -> DataFrame:
     """What a streaming query emits over all runs: it is started anew for each, on one checkpoint. query: from the feeds'
-    streams to the streaming frame. settings: of the session, while it runs."""
+    streams to the streaming frame. settings: of the session, while it runs. slices: of a run; the feed then counts slices,
+    n * slices and on for run n, and each is released when the one before it has been taken in and what the watermark has
+    passed is gone, so the state of a query with a watermark is that of a slice. Only one feed can be released so: of two, a
+    batch may begin when one alone has been, and move the watermark past rows of the other."""
+    if slices > 1 and len(feeds) > 1:
+        raise ValueError("slices are of one feed")
     spark, base = feeds[0].spark, feeds[0].base
     with held(spark, base, settings):
         for n in range(runs):
-            for feed in feeds:
-                feed.release(n)
+            if slices == 1:
+                for feed in feeds:
+                    feed.release(n)
             found = query(*(feed.stream() for feed in feeds))
-            found.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start(f"{base}/out").awaitTermination()
+            writer = found.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{base}/state")
+            if slices == 1:
+                writer.trigger(availableNow=True).start(f"{base}/out").awaitTermination()
+                continue
+            started = writer.start(f"{base}/out")
+            try:
+                for k in range(n * slices, (n + 1) * slices):
+                    if feeds[0].release(k):
+                        started.processAllAvailable()
+            finally:
+                started.stop()
     return spark.read.schema(found.schema).parquet(f"{base}/out")
 
 

@@ -9,9 +9,10 @@ from pyspark.sql import Row, functions as F
 
 from ledgerloom.functions import jsonx
 from ledgerloom.operators import audit, validate
+from ledgerloom.plans import streams
 from ledgerloom.sources import blocks, jsonl, labels, runfolders
 from ledgerloom.streaming import logs, sinks
-from ledgerloom.streaming.feed import Feed
+from ledgerloom.streaming.feed import Feed, appended
 from ledgerloom.streaming.jobs import ALLOWED, JobStates
 
 
@@ -198,6 +199,39 @@ def test_refused_changes_leave_the_state():
     assert set(ALLOWED) == {None, "running", "stopping"}
 
 
+# Requests and answers.
+
+
+class States(logs.Progress):
+    """Rows that the join holds, and sources, of each batch."""
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        held = [s.numRowsTotal for s in p.stateOperators if s.operatorName == "symmetricHashJoin"]
+        self.batches.append((max(held, default=0), len(p.sources)))
+
+
+def test_requests_that_wait_are_those_of_a_slice(spark, tmp_path, monkeypatch):
+    spark.range(1000).select((F.col("id") * 41).alias("o_orderkey")).write.parquet(f"{tmp_path}/orders.parquet")
+    monkeypatch.setattr(streams, "SLICE", 84 / spark.sparkContext.defaultParallelism, raising=False)  # of the 250 of a run
+    states = States()
+    spark.streams.addListener(states)
+    try:
+        rows = [tuple(r) for r in streams.request_answers_stream(spark, str(tmp_path)).collect()]
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(states)
+    assert sorted(rows) == [(k, k % 5 in (1, 4) or (k % 5 == 3 and k * 4 // (999 * 41 + 1) > 0)) for k in range(0, 1000 * 41, 41)]
+    most = max(held for held, _ in states.batches)
+    assert 84 <= most < 250  # a run would be 400 and more
+    assert {n for _, n in states.batches} == {1}  # requests and answers come in together
+
+
+def test_slices_are_of_one_feed():
+    with pytest.raises(ValueError, match="one feed"):
+        appended([None, None], 1, None, slices=2)
+
+
 # Sinks, logs, runs, label sources.
 
 
