@@ -59,7 +59,7 @@ def duration(seconds: Column) -> Column:
     """`1h02m03s`, `2m03s` or `3s`."""
     s = F.floor(seconds).cast("long")
     h, m, r = F.floor(s / 3600).cast("long"), F.floor(s % 3600 / 60).cast("long"), s % 60
-    return F.when(h > 0, F.format_string("%dh%02dm%02ds", h, m, r)).when(m > 0, F.format_string("%dm%02ds", m, r)).otherwise(F.format_string("%ds", r))
+    return F.when(h > 0, F.format_string("%dh%02dm%02ds", h, m, r)).when(m > 0, F.format_string("%dm%02ds", m, r)).when(s.isNotNull(), F.format_string("%ds", r))
 
 
 def percent(part: Column, whole: Column) -> Column:
@@ -67,18 +67,19 @@ def percent(part: Column, whole: Column) -> Column:
 
 
 def iso_utc(seconds: Column) -> Column:
-    """ISO 8601 in UTC, to the microsecond, of seconds since 1970; the session's time zone doesn't matter."""
+    """ISO 8601 in UTC, to the microsecond, of seconds since 1970; the session's time zone doesn't matter. Years of five
+    digits have no sign before them."""
     whole = F.floor(seconds).cast("long")
     micros = F.round((seconds - whole) * 1_000_000).cast("int")
     day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(whole / 86400).cast("int"))
     left = F.pmod(whole, F.lit(86400))
     clock = F.format_string("%02d:%02d:%02d", F.floor(left / 3600).cast("int"), F.floor(left % 3600 / 60).cast("int"), (left % 60).cast("int"))
-    return F.concat(day.cast("string"), F.lit("T"), clock, F.when(micros > 0, F.format_string(".%06d", micros)).otherwise(""), F.lit("Z"))
+    return F.concat(F.ltrim(day.cast("string"), F.lit("+")), F.lit("T"), clock, F.when(micros > 0, F.format_string(".%06d", micros)).otherwise(""), F.lit("Z"))
 
 
 def batch_id(run: Column, number: Column) -> Column:
-    """`run-000007`: sorts like its number."""
-    return F.format_string("%s-%06d", run, number)
+    """`run-000007`: sorts like its number up to six digits, and longer numbers stay whole; null of null."""
+    return F.when(run.isNotNull() & number.isNotNull(), F.format_string("%s-%06d", run, number))
 
 
 def clamped_ms(began: Column, ended: Column) -> Column:
